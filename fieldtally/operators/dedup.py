@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fieldtally.constants import BUSINESS_KEY
 from fieldtally.functions.columns import present
 from fieldtally.operators.latest import mark_latest
+from fieldtally.sources.tables import materialize
 
 CHUNK = 65_536
 
@@ -64,7 +65,8 @@ def resolve_near_duplicates(
     keys = [column_named(df, name) for name in keys]
     newest = [column_named(df, timestamp)]
     newest += [name for name in present(df, ["created", "value"]) if name not in newest + keys]
-    marked = mark_latest(collapse_copies(df), keys, newest + [
+    counted = materialize(collapse_copies(df), "counted")
+    marked = mark_latest(counted, keys, newest + [
         name for name in df.columns if name not in newest + keys])
     latest = marked.filter("is_latest").select(*df.columns)
     superseded = marked.withColumn(

@@ -3,6 +3,9 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOT_SHARE = 1e-4
+HOT_ROWS = 10_000
+
 
 def recency_order(df: DataFrame, newest: list[str], keys: list[str]) -> list[str]:
     """Columns that decide which row is latest: ``newest`` first, then every
@@ -10,14 +13,18 @@ def recency_order(df: DataFrame, newest: list[str], keys: list[str]) -> list[str
     return newest + [name for name in df.columns if name not in newest + keys]
 
 
+def rank_newest(keys: list[str], order: list[str]) -> Column:
+    """Position within the key, largest ordering first."""
+    descending = [F.desc_nulls_last(name) for name in order] or [F.lit(1)]
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(*descending))
+
+
 def latest_per_key(df: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
     """Keep one row per key: the largest by ``newest``, then by the other columns.
 
     The rank filter lets Spark drop losers before the shuffle, so a key that
     holds much of the table sends one row per input partition."""
-    order = [F.desc_nulls_last(name) for name in recency_order(df, newest, keys)]
-    rank = F.row_number().over(
-        Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)])))
+    rank = rank_newest(keys, recency_order(df, newest, keys))
     return df.withColumn("latest_rank", rank).filter("latest_rank = 1").drop("latest_rank")
 
 
@@ -25,67 +32,65 @@ def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = 1e-4, least: int = 10_000,
-             tracked: int = 65_536, top: int = 10_000) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, least: int = HOT_ROWS,
+             tracked: int = 65_536, top: int = 10_000) -> list[int]:
     """Hashes of the keys with more than ``share`` of the rows and ``least`` rows.
 
     A frequent-items sketch per group of input partitions, then one sketch over
-    those: at most ``top`` rows come back however large the input is. It only
-    steers how rows are spread; no result depends on it."""
+    those; at most ``top`` hashes come back however large the input is. They
+    only steer how rows are spread: no result depends on them."""
     sketches = df.select(key_hash(keys).alias("key_hash")).groupBy(
         F.pmod(F.spark_partition_id(), F.lit(256)).alias("slice")
     ).agg(
         F.expr(f"approx_top_k_accumulate(key_hash, {tracked})").alias("sketch"),
         F.count(F.lit(1)).alias("slice_rows"),
     )
-    return sketches.agg(
+    totals = sketches.agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {top})").alias("items"),
         F.sum("slice_rows").alias("row_count"),
-    ).select("row_count", F.inline("items").alias("hot_hash", "hot_rows")).filter(
-        F.col("hot_rows") > F.greatest(F.col("row_count") * share, F.lit(least))
-    ).select("hot_hash")
+    )
+    found = totals.select("row_count", F.inline("items").alias("item", "item_rows")).filter(
+        F.col("item_rows") > F.greatest(F.col("row_count") * share, F.lit(least)))
+    return [row.item for row in found.collect()]
 
 
 def mark_latest(df: DataFrame, keys: list[str], newest: list[str],
-                eligible: Column | None = None, hot_share: float = 1e-4,
-                hot_least: int = 10_000) -> DataFrame:
+                eligible: Column | None = None, hot: list[int] | None = None) -> DataFrame:
     """Add ``is_latest``: true for the latest row per key, false for the rest,
     NULL for rows that are not ``eligible``. Rows must be distinct.
 
-    Ordinary keys are ranked in a window. Keys holding a large share of the
-    table get their winner from a map-side combined maximum instead, and their
-    rows are spread over all partitions and compared with it."""
-    eligible = F.lit(True) if eligible is None else eligible
-    columns = df.columns
-    order = recency_order(df, newest, keys)
-    rows = df.withColumns({
-        "is_eligible": F.coalesce(eligible, F.lit(False)),
-        "key_hash": key_hash(keys),
-        "recency": F.struct(*order) if order else F.struct(F.lit(1)),
-    })
-    candidates = rows.filter("is_eligible")
-    hot = hot_keys(df.filter(eligible), keys, hot_share, hot_least)
-    winners = (
-        candidates.join(F.broadcast(hot), F.col("key_hash") == F.col("hot_hash"), "left_semi")
-        .groupBy(*[F.col(name).alias(f"hot_{name}") for name in keys],
-                 F.col("key_hash").alias("hot_hash"))
-        .agg(F.max("recency").alias("hot_winner"))
-    )
+    Ordinary keys are ranked in a window. Keys in ``hot`` (found in ``df`` if
+    not given) get their winner from a map-side combined maximum instead; their
+    rows spread over all partitions and compare themselves with it."""
+    hot = hot_keys(df, keys) if hot is None else hot
+    columns, order = df.columns, recency_order(df, newest, keys)
+    rows = df.withColumn(
+        "is_eligible", F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False)))
+    spread = F.xxhash64(*columns)
+    salt = F.when(F.col("is_eligible"), F.lit(0)).otherwise(spread)
+    is_latest = rank_newest(keys + ["salt"], order) == 1
+    if hot:
+        rows = with_hot_winner(rows, keys, order, hot)
+        is_hot = F.col("winner").isNotNull()
+        salt = F.when(is_hot, spread).otherwise(salt)
+        is_latest = F.when(is_hot, F.struct(*order).eqNullSafe(F.col("winner"))).otherwise(
+            is_latest)
+    return rows.withColumn("salt", salt).withColumn(
+        "is_latest", F.when(F.col("is_eligible"), is_latest)).select(*columns, "is_latest")
+
+
+def with_hot_winner(rows: DataFrame, keys: list[str], order: list[str],
+                    hot: list[int]) -> DataFrame:
+    """Attach the largest ordering among eligible rows to the rows of hot keys.
+
+    The winners are one row per hot key, so they are always small enough to
+    broadcast."""
+    rows = rows.withColumn("key_hash", key_hash(keys))
+    winners = rows.filter("is_eligible").filter(F.col("key_hash").isin(hot)).groupBy(
+        *[F.col(name).alias(f"hot_{name}") for name in keys]
+    ).agg(F.max(F.struct(*order)).alias("winner"))
+    winners = winners.withColumn("hot_hash", key_hash([f"hot_{name}" for name in keys]))
     same_key = F.col("key_hash") == F.col("hot_hash")
     for name in keys:
         same_key = same_key & F.col(name).eqNullSafe(F.col(f"hot_{name}"))
-    # the hot keys are at most hot_keys(top) in number, so their winners broadcast
-    spread = rows.join(F.broadcast(winners), same_key, "left").withColumn(
-        "salt",
-        F.when(F.col("is_eligible") & F.col("hot_winner").isNull(), F.lit(0))
-        .otherwise(F.xxhash64(*columns)),
-    )
-    rank = F.row_number().over(
-        Window.partitionBy(*keys, "salt")
-        .orderBy(*([F.desc_nulls_last(name) for name in order] or [F.lit(1)])))
-    return spread.withColumn(
-        "is_latest",
-        F.when(~F.col("is_eligible"), F.lit(None).cast("boolean"))
-        .when(F.col("hot_winner").isNotNull(), F.col("recency").eqNullSafe(F.col("hot_winner")))
-        .otherwise(rank == 1),
-    ).select(*columns, "is_latest")
+    return rows.join(F.broadcast(winners), same_key, "left")

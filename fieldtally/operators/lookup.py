@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldtally.functions.columns import present
 from fieldtally.operators.latest import latest_per_key
+from fieldtally.sources.tables import materialize_measured
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -18,28 +19,26 @@ class Resolution(NamedTuple):
     unresolved: DataFrame
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                   max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Measure rows and text size of a frame in one distributed aggregate."""
-    size = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("byte_count"),
-    ).first()
-    return size.row_count <= max_rows and (size.byte_count or 0) <= max_bytes
+def small_enough(rows: int, size: int, max_rows: int = MAX_BROADCAST_ROWS,
+                 max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    return rows <= max_rows and size <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast for a frame measured to fit; anything larger joins by
-    shuffle, where adaptive execution splits the partitions of hot keys."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+def broadcast_if_small(df: DataFrame, name: str = "lookup", **limits: int) -> DataFrame:
+    """Write the frame once, measured, and hint a broadcast if it proves small.
+
+    Anything larger joins by shuffle, where adaptive execution splits the
+    partitions of hot keys."""
+    written, rows, size = materialize_measured(df, name)
+    return F.broadcast(written) if small_enough(rows, size, **limits) else written
 
 
 def lookup_table(table: DataFrame, key: str, attributes: dict[str, str],
                  key_name: str = "lookup_key", **limits: int) -> DataFrame:
     """One row per key (the most recent), attributes renamed, broadcast if small.
 
-    ``attributes`` maps new names to columns of ``table``."""
+    ``attributes`` maps new names to columns of ``table``. The result is a
+    written table, so every use of it is a plain scan."""
     recency = present(table, RECENCY)
     chosen = table.select(
         F.col(key).alias(key_name),
@@ -47,7 +46,7 @@ def lookup_table(table: DataFrame, key: str, attributes: dict[str, str],
         *[F.col(name).alias(f"lookup_{name}") for name in recency],
     ).filter(F.col(key_name).isNotNull())
     unique = latest_per_key(chosen, [key_name], [f"lookup_{name}" for name in recency])
-    return broadcast_if_small(unique.select(key_name, *attributes), **limits)
+    return broadcast_if_small(unique.select(key_name, *attributes), "lookup", **limits)
 
 
 def attach(df: DataFrame, on: str, lookup: DataFrame, key_name: str = "lookup_key",

@@ -14,6 +14,7 @@ from fieldtally.functions.periods import with_late_flag
 from fieldtally.functions.rates import rate
 from fieldtally.operators.dedup import collapse_copies, expand_copies
 from fieldtally.operators.latest import mark_latest
+from fieldtally.sources.tables import materialize
 
 CLEAN = "clean"
 EXACT = "exact_duplicates"
@@ -37,17 +38,18 @@ def with_value_flags(df: DataFrame) -> DataFrame:
 
 
 def judge(counted: DataFrame, keys: list[str] = BUSINESS_KEY, timestamp: str = "lastupdated",
-          reason: Column | None = None, copies: str = "copies") -> DataFrame:
+          reason: Column | None = None, copies: str = "copies",
+          hot: list[int] | None = None) -> DataFrame:
     """Add ``outcome`` to distinct rows that carry their number of copies.
 
     Rows with a ``reason`` keep it; of the others the latest per key is clean
-    and the rest are superseded."""
+    and the rest are superseded. ``hot`` as in ``mark_latest``."""
     reason = F.lit(None).cast("string") if reason is None else reason
     held = [name for name in counted.columns if name != copies]
     newest = [timestamp] + present(counted, ["created", "value"])
     newest += [name for name in held if name not in newest + keys]
     marked = mark_latest(counted.withColumn("reason", reason), keys, newest,
-                         eligible=F.col("reason").isNull())
+                         eligible=F.col("reason").isNull(), hot=hot)
     outcome = F.coalesce(
         F.col("reason"), F.when(F.col("is_latest"), CLEAN).otherwise(SUPERSEDED))
     return marked.withColumn("outcome", outcome).drop("reason", "is_latest")
@@ -62,7 +64,7 @@ def surplus_copies(judged: DataFrame, copies: str = "copies") -> DataFrame:
 def run_quality(df: DataFrame, keys: list[str] = BUSINESS_KEY) -> QualityResult:
     """Prune, set exact and superseded duplicates apart, then type and flag."""
     pruned = prune_columns(df)
-    judged = judge(collapse_copies(pruned), keys)
+    judged = judge(materialize(collapse_copies(pruned), "counted"), keys)
     rows = pruned.columns
     return QualityResult(
         clean=with_value_flags(judged.filter(F.col("outcome") == CLEAN).select(*rows)),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.constants import (
-    CATEGORY_COMBO_ATTRIBUTES, DATA_ELEMENT_ATTRIBUTES, DATA_VALUE_COLUMNS,
+    BUSINESS_KEY, CATEGORY_COMBO_ATTRIBUTES, DATA_ELEMENT_ATTRIBUTES, DATA_VALUE_COLUMNS,
     FACT_CONTRACT, HIERARCHY_LEVELS, MAX_QUARANTINE_RATE, MIN_FACT_ROWS,
 )
 from fieldtally.functions.columns import present
@@ -18,6 +18,7 @@ from fieldtally.operators.gates import (
     enforce_gates, outcome_counts, quarantine_union, run_gates,
 )
 from fieldtally.operators.hierarchy import level_names, path_levels
+from fieldtally.operators.latest import hot_keys
 from fieldtally.operators.lookup import attach, lookup_table, reject_reason
 from fieldtally.operators.marts import all_marts
 from fieldtally.operators.quality import (
@@ -84,14 +85,15 @@ def judge_values(values: DataFrame, elements: DataFrame, combos: DataFrame,
 
     Copies fold on the narrow raw columns before anything is attached: lookups
     hold one row per key, so equal raw rows stay equal. The folded table is
-    written once because finding hot keys, their winners and the ranking all
-    read it."""
+    written because finding hot keys, their winners and the ranking all read
+    it."""
     raw = values.select(*present(values, DATA_VALUE_COLUMNS))
     counted = tables.materialize(collapse_copies(raw), "counted")
+    hot = hot_keys(counted, BUSINESS_KEY)
     known = attach_lookups(with_period_dates(counted), elements, combos, hierarchy)
     bad_period = F.when(F.col("period_start_date").isNull(), F.lit(BAD_PERIOD))
     reason = F.coalesce(bad_period, reject_reason(RESOLUTION_ORDER))
-    return with_value_flags(judge(known, reason=reason))
+    return with_value_flags(judge(known, reason=reason, hot=hot))
 
 
 def split_outcomes(judged: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:

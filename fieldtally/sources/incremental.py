@@ -32,7 +32,7 @@ def new_periods(df: DataFrame, loaded: DataFrame, partition: str = FACT_PARTITIO
                 keep_null: bool = False) -> DataFrame:
     """Rows of periods not loaded yet. Rows without a period are dropped unless
     ``keep_null``."""
-    fresh = df.join(broadcast_if_small(loaded), partition, "left_anti").select(*df.columns)
+    fresh = df.join(broadcast_if_small(loaded, "periods"), partition, "left_anti").select(*df.columns)
     return fresh if keep_null else fresh.filter(F.col(partition).isNotNull())
 
 

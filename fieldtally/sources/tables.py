@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.constants import FACT_PARTITION
@@ -62,6 +62,17 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
     return read_like(df, path)
 
 
+def materialize_measured(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """Materialize and return (table, rows, bytes of its rows as text), both
+    counted while the table is written."""
+    size = Observation(name)
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    written = materialize(df.observe(
+        size, F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(width), F.lit(0)).alias("bytes")), name)
+    return written, size.get["rows"], size.get["bytes"]
+
+
 def write_fact(fact: DataFrame, path: str, partition_by: list[str] = [FACT_PARTITION],
                max_records_per_file: int | None = None) -> None:
     """Publish the fact by partition, replacing only the partitions it brings.
