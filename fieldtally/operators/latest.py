@@ -45,7 +45,8 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, least: in
         F.expr(f"approx_top_k_accumulate(key_hash, {tracked})").alias("sketch"),
         F.count(F.lit(1)).alias("slice_rows"),
     )
-    totals = sketches.agg(
+    # grouped by a constant, because the sketch cannot be combined from no rows
+    totals = sketches.groupBy(F.lit(1).alias("all_slices")).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {top})").alias("items"),
         F.sum("slice_rows").alias("row_count"),
     )
@@ -55,38 +56,35 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, least: in
 
 
 def mark_latest(df: DataFrame, keys: list[str], newest: list[str],
-                eligible: Column | None = None, hot: list[int] | None = None) -> DataFrame:
-    """Add ``is_latest``: true for the latest row per key, false for the rest,
-    NULL for rows that are not ``eligible``. Rows must be distinct.
+                hot: list[int] | None = None) -> DataFrame:
+    """Add ``is_latest``: true for the latest row per key, false for the rest.
+    Rows must be distinct.
 
     Ordinary keys are ranked in a window. Keys in ``hot`` (found in ``df`` if
     not given) get their winner from a map-side combined maximum instead; their
     rows spread over all partitions and compare themselves with it."""
     hot = hot_keys(df, keys) if hot is None else hot
-    columns, order = df.columns, recency_order(df, newest, keys)
-    rows = df.withColumn(
-        "is_eligible", F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False)))
-    spread = F.xxhash64(*columns)
-    salt = F.when(F.col("is_eligible"), F.lit(0)).otherwise(spread)
-    is_latest = rank_newest(keys + ["salt"], order) == 1
-    if hot:
-        rows = with_hot_winner(rows, keys, order, hot)
-        is_hot = F.col("winner").isNotNull()
-        salt = F.when(is_hot, spread).otherwise(salt)
-        is_latest = F.when(is_hot, F.struct(*order).eqNullSafe(F.col("winner"))).otherwise(
-            is_latest)
-    return rows.withColumn("salt", salt).withColumn(
-        "is_latest", F.when(F.col("is_eligible"), is_latest)).select(*columns, "is_latest")
-
-
-def with_hot_winner(rows: DataFrame, keys: list[str], order: list[str],
+    order = recency_order(df, newest, keys)
+    if not hot:
+        return df.withColumn("is_latest", rank_newest(keys, order) == 1)
+    rows = with_hot_winner(df, keys, order, hot)
+    is_hot = F.col("winner").isNotNull()
+    salted = rows.withColumn("salt", F.when(is_hot, F.xxhash64(*df.columns)).otherwise(F.lit(0)))
+    return salted.withColumn(
+        "is_latest",
+        F.when(is_hot, F.struct(*order).eqNullSafe(F.col("winner")))
+        .otherwise(rank_newest(keys + ["salt"], order) == 1),
+    ).select(*df.columns, "is_latest")
+
+
+def with_hot_winner(df: DataFrame, keys: list[str], order: list[str],
                     hot: list[int]) -> DataFrame:
-    """Attach the largest ordering among eligible rows to the rows of hot keys.
+    """Attach the largest ordering of its key to each row of a hot key.
 
     The winners are one row per hot key, so they are always small enough to
     broadcast."""
-    rows = rows.withColumn("key_hash", key_hash(keys))
-    winners = rows.filter("is_eligible").filter(F.col("key_hash").isin(hot)).groupBy(
+    rows = df.withColumn("key_hash", key_hash(keys))
+    winners = rows.filter(F.col("key_hash").isin(hot)).groupBy(
         *[F.col(name).alias(f"hot_{name}") for name in keys]
     ).agg(F.max(F.struct(*order)).alias("winner"))
     winners = winners.withColumn("hot_hash", key_hash([f"hot_{name}" for name in keys]))

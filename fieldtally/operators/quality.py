@@ -2,7 +2,7 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldtally.constants import BUSINESS_KEY, QUALITY_COLUMNS
@@ -38,21 +38,14 @@ def with_value_flags(df: DataFrame) -> DataFrame:
 
 
 def judge(counted: DataFrame, keys: list[str] = BUSINESS_KEY, timestamp: str = "lastupdated",
-          reason: Column | None = None, copies: str = "copies",
-          hot: list[int] | None = None) -> DataFrame:
-    """Add ``outcome`` to distinct rows that carry their number of copies.
-
-    Rows with a ``reason`` keep it; of the others the latest per key is clean
-    and the rest are superseded. ``hot`` as in ``mark_latest``."""
-    reason = F.lit(None).cast("string") if reason is None else reason
-    held = [name for name in counted.columns if name != copies]
+          copies: str = "copies", hot: list[int] | None = None) -> DataFrame:
+    """Add ``outcome`` to distinct rows that carry their number of copies: the
+    latest row per key is clean, the others are superseded."""
     newest = [timestamp] + present(counted, ["created", "value"])
-    newest += [name for name in held if name not in newest + keys]
-    marked = mark_latest(counted.withColumn("reason", reason), keys, newest,
-                         eligible=F.col("reason").isNull(), hot=hot)
-    outcome = F.coalesce(
-        F.col("reason"), F.when(F.col("is_latest"), CLEAN).otherwise(SUPERSEDED))
-    return marked.withColumn("outcome", outcome).drop("reason", "is_latest")
+    newest += [name for name in counted.columns if name not in [*newest, *keys, copies]]
+    marked = mark_latest(counted, keys, newest, hot)
+    outcome = F.when(F.col("is_latest"), CLEAN).otherwise(SUPERSEDED)
+    return marked.withColumn("outcome", outcome).drop("is_latest")
 
 
 def surplus_copies(judged: DataFrame, copies: str = "copies") -> DataFrame:

@@ -1,12 +1,13 @@
 """The complete reporting job: documents to star schema, marts and quarantine."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.constants import (
-    BUSINESS_KEY, CATEGORY_COMBO_ATTRIBUTES, DATA_ELEMENT_ATTRIBUTES, DATA_VALUE_COLUMNS,
+    CATEGORY_COMBO_ATTRIBUTES, DATA_ELEMENT_ATTRIBUTES, DATA_VALUE_COLUMNS,
     FACT_CONTRACT, HIERARCHY_LEVELS, MAX_QUARANTINE_RATE, MIN_FACT_ROWS,
 )
 from fieldtally.functions.columns import present
@@ -18,7 +19,6 @@ from fieldtally.operators.gates import (
     enforce_gates, outcome_counts, quarantine_union, run_gates,
 )
 from fieldtally.operators.hierarchy import level_names, path_levels
-from fieldtally.operators.latest import hot_keys
 from fieldtally.operators.lookup import attach, lookup_table, reject_reason
 from fieldtally.operators.marts import all_marts
 from fieldtally.operators.quality import (
@@ -69,12 +69,16 @@ def attach_lookups(values: DataFrame, elements: DataFrame, combos: DataFrame,
     held = {name: source for name, source in DATA_ELEMENT_ATTRIBUTES.items()
             if source in elements.columns}
     names = {f"{level}_name": f"{level}_name" for level in HIERARCHY_LEVELS}
-    steps = [
-        ("dataelement", lookup_table(elements, "id", held)),
-        ("categoryoptioncombo", lookup_table(combos, "id", CATEGORY_COMBO_ATTRIBUTES)),
-        ("orgunit", lookup_table(hierarchy, "id", names)),
-    ]
-    for on, lookup in steps:
+    steps = {
+        "dataelement": (elements, held),
+        "categoryoptioncombo": (combos, CATEGORY_COMBO_ATTRIBUTES),
+        "orgunit": (hierarchy, names),
+    }
+    # the lookups are written by independent small jobs, so they run side by side
+    with ThreadPoolExecutor(len(steps)) as pool:
+        lookups = list(pool.map(
+            lambda step: lookup_table(step[0], "id", step[1]), steps.values()))
+    for on, lookup in zip(steps, lookups):
         values = attach(values, on, lookup)
     return values
 
@@ -83,30 +87,34 @@ def judge_values(values: DataFrame, elements: DataFrame, combos: DataFrame,
                  hierarchy: DataFrame) -> DataFrame:
     """Distinct values with copies, attributes, flags and an outcome each.
 
-    Copies fold on the narrow raw columns before anything is attached: lookups
-    hold one row per key, so equal raw rows stay equal. The folded table is
-    written because finding hot keys, their winners and the ranking all read
-    it."""
+    Both shuffles move the narrow raw columns only. Copies fold first: lookups
+    hold one row per key, so equal raw rows stay equal. Ranking comes next:
+    whether a row resolves depends on its business key alone, so rejected rows
+    never compete with accepted ones. Attributes are attached last, in place."""
     raw = values.select(*present(values, DATA_VALUE_COLUMNS))
     counted = tables.materialize(collapse_copies(raw), "counted")
-    hot = hot_keys(counted, BUSINESS_KEY)
-    known = attach_lookups(with_period_dates(counted), elements, combos, hierarchy)
+    ranked = with_period_dates(judge(counted))
+    known = attach_lookups(ranked, elements, combos, hierarchy)
     bad_period = F.when(F.col("period_start_date").isNull(), F.lit(BAD_PERIOD))
-    reason = F.coalesce(bad_period, reject_reason(RESOLUTION_ORDER))
-    return with_value_flags(judge(known, reason=reason, hot=hot))
+    reason = F.coalesce(bad_period, reject_reason(RESOLUTION_ORDER), F.col("outcome"))
+    return with_value_flags(known.withColumn("outcome", reason))
 
 
-def split_outcomes(judged: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """(clean rows, quarantine buckets); every input row is in exactly one."""
-    rows = judged.drop("outcome")
-    def bucket(outcome: str) -> DataFrame:
-        return judged.filter(F.col("outcome") == outcome).select(*rows.columns)
+def outcome_rows(judged: DataFrame, outcome: str) -> DataFrame:
+    return judged.filter(F.col("outcome") == outcome).drop("outcome")
 
-    buckets = {reason: expand_copies(bucket(reason))
+
+def clean_rows(judged: DataFrame) -> DataFrame:
+    return outcome_rows(judged, CLEAN).drop("copies")
+
+
+def quarantine_buckets(judged: DataFrame) -> dict[str, DataFrame]:
+    """Every input row that is not clean, in exactly one bucket."""
+    buckets = {reason: expand_copies(outcome_rows(judged, reason))
                for reason in [BAD_PERIOD, *RESOLUTION_ORDER]}
     buckets[EXACT] = expand_copies(surplus_copies(judged))
-    buckets[SUPERSEDED] = bucket(SUPERSEDED).drop("copies")
-    return bucket(CLEAN).drop("copies"), buckets
+    buckets[SUPERSEDED] = outcome_rows(judged, SUPERSEDED).drop("copies")
+    return buckets
 
 
 def run_reporting(spark: SparkSession, inputs: Inputs, output: str,
@@ -135,9 +143,9 @@ def run_reporting(spark: SparkSession, inputs: Inputs, output: str,
     judged = tables.materialize(
         judge_values(values, elements, combos, hierarchy), "judged", ["outcome"])
     counts = tables.materialize(outcome_counts(judged), "counts")
-    clean, buckets = split_outcomes(judged)
+    clean = clean_rows(judged)
 
-    quarantine = quarantine_union(buckets)
+    quarantine = quarantine_union(quarantine_buckets(judged))
     tables.write_parquet(quarantine, f"{output}/quarantine", ["reason"], replace_all=True)
     enforce_gates(run_gates(counts, options.max_quarantine_rate, options.min_fact_rows,
                             options.max_unresolved_rate))

@@ -65,7 +65,7 @@ def judged(spark, sf_dir):
 
 
 def clean(spark, sf_dir):
-    return reporting.split_outcomes(judged(spark, sf_dir))[0]
+    return reporting.clean_rows(judged(spark, sf_dir))
 
 
 def fact(spark, sf_dir):
@@ -420,7 +420,7 @@ def quarantine_rate(spark, sf_dir):
 
 def quarantine_union(spark, sf_dir):
     staged = tables.materialize(judged(spark, sf_dir), "judged", ["outcome"])
-    rejected = gates.quarantine_union(reporting.split_outcomes(staged)[1])
+    rejected = gates.quarantine_union(reporting.quarantine_buckets(staged))
     return rejected.select("reason", "dataelement", "period", "orgunit", "categoryoptioncombo",
                            "attributeoptioncombo", "value", "lastupdated")
 
