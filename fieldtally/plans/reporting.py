@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldtally.constants import (
     CATEGORY_COMBO_ATTRIBUTES, DATA_ELEMENT_ATTRIBUTES, DATA_VALUE_COLUMNS,
-    FACT_CONTRACT, HIERARCHY_LEVELS, MAX_QUARANTINE_RATE, MIN_FACT_ROWS,
+    DATA_VALUES_SCHEMA, FACT_CONTRACT, HIERARCHY_LEVELS, MAX_QUARANTINE_RATE, MIN_FACT_ROWS,
 )
 from fieldtally.functions.columns import present
 from fieldtally.functions.periods import with_period_dates
@@ -56,6 +56,7 @@ class Options:
     max_quarantine_rate: float = MAX_QUARANTINE_RATE
     max_unresolved_rate: float | None = None
     min_fact_rows: int = MIN_FACT_ROWS
+    keep_corrupt: bool = False  # parses the value documents a second time
 
 
 def build_hierarchy(org_units: DataFrame) -> DataFrame:
@@ -133,6 +134,12 @@ def run_reporting(spark: SparkSession, inputs: Inputs, output: str,
     drift = snapshot_drift(elements, reference)
     tables.write_tables({**drift, "summary": drift_summary(drift)}, f"{output}/metadata_drift")
 
+    if options.keep_corrupt:
+        found = documents.read_documents(
+            spark, inputs.data_values, DATA_VALUES_SCHEMA, inputs.lines, keep_corrupt=True)
+        tables.write_tables(
+            {"corrupt_documents": documents.corrupt_documents(found)}, output)
+
     fact_path = f"{output}/facts/fact_service_delivery"
     if options.incremental:
         values = pending_values(spark, values, fact_path, options.refresh_changed)

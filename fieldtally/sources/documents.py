@@ -32,9 +32,15 @@ def read_documents(spark: SparkSession, path: str, schema: str | StructType,
 
 
 def corrupt_documents(documents: DataFrame) -> DataFrame:
-    """File and text of documents that could not be parsed (``keep_corrupt``)."""
-    return documents.select(F.input_file_name().alias("file"), *documents.columns).filter(
-        F.col(CORRUPT).isNotNull()).select("file", CORRUPT)
+    """File and text of documents that could not be parsed (``keep_corrupt``),
+    with the number of fields that could still be read."""
+    fields = [name for name in documents.columns if name != CORRUPT]
+    return documents.select(
+        F.input_file_name().alias("file"),
+        sum((F.col(name).isNotNull().cast("int") for name in fields), F.lit(0))
+        .alias("fields_read"),
+        CORRUPT,
+    ).filter(F.col(CORRUPT).isNotNull())
 
 
 def flatten(documents: DataFrame, payload: str) -> DataFrame:
