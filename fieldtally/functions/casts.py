@@ -25,7 +25,7 @@ def with_typed_values(df: DataFrame) -> DataFrame:
     kind, text = F.col("value_type"), F.col("value")
     return df.withColumns({
         "numeric_value": F.when(kind.isin(INTEGER_TYPES), truncated_int(text).cast("double"))
-        .when(kind.isin(FLOAT_TYPES), text.try_cast("double")),
+        .when(kind.isin(FLOAT_TYPES) & (text != ""), text.try_cast("double")),
         "boolean_value": F.when(kind.isin(BOOLEAN_TYPES), text.try_cast("boolean")),
     })
 

@@ -47,6 +47,30 @@ def test_only_measured_lookups_broadcast(spark, values, table):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_code_splits_when_the_lookup_is_too_large(spark, table):
+    """Beyond the broadcast limit adaptive execution spreads the hot partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "if(id % 2 = 0, 'A', concat('x', id)) as code", "uuid() as v")
+    for name, setting in settings.items():
+        spark.conf.set(name, setting)
+    try:
+        joined = lookup.attach(rows, "code", lookup.lookup_table(table, "id", NAMES, max_rows=0))
+        found = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "skew=true" in plan
+    assert sum(r.name_found == "Anna" for r in found) == 30_000 and len(found) == 60_000
+
+
 def test_first_reason_wins(spark):
     df = spark.createDataFrame([(None, None), ("e", None), ("e", "c")], "e string, c string")
     found = df.select(lookup.reject_reason({"no_e": "e", "no_c": "c"}).alias("r")).collect()

@@ -281,9 +281,7 @@ def duplicate_rate(spark, sf_dir):
 # ---- quality job, star schema
 
 def run_quality(spark, sf_dir):
-    staged = tables.materialize(
-        periods.with_period_dates(enriched(spark, sf_dir).resolved), "enriched")
-    return quality.run_quality(staged)
+    return quality.run_quality(periods.with_period_dates(enriched(spark, sf_dir).resolved))
 
 
 def dq_clean_fact(spark, sf_dir):
