@@ -5,17 +5,39 @@ from pyspark.sql import functions as F
 
 from fieldtally.constants import BOOLEAN_TYPES, FLOAT_TYPES, INTEGER_TYPES
 
-DECIMAL_TEXT = r"^\s*([+-]?\d*)(\.\d*)?\s*$"
+# A failed cast costs far more than a pattern (it builds an error and drops it),
+# so text is matched first and cast only when it can succeed.
+
+# What a cast trims, and the words it reads as a flag.
+PAD = r"[\x00-\x20\x7f]*"
+TRUE_WORDS = "t|true|y|yes|1"
+FALSE_WORDS = "f|false|n|no|0"
+
+SHORT_INT = rf"^{PAD}[+-]?[0-9]{{1,9}}{PAD}$"
+DECIMAL_TEXT = rf"^{PAD}([+-]?[0-9]*)(\.[0-9]*)?{PAD}$"
+BARE_FRACTION = rf"^{PAD}[+-]?\.[0-9]*{PAD}$"
+MAYBE_NUMBER = r"[0-9]|(?i)nan|inf"
 
 
 def truncated_int(text: Column) -> Column:
     """Text to int, dropping decimals ('12.7' is 12, '.5' is 0); other text
-    and overflow give NULL. Whole numbers never reach the pattern."""
+    and overflow give NULL."""
     whole = F.regexp_extract(text, DECIMAL_TEXT, 1)
-    bare_fraction = whole.isin("", "+", "-") & text.rlike(r"^\s*[+-]?\.\d*\s*$")
-    return F.coalesce(
-        text.try_cast("int"),
-        F.when(bare_fraction, F.lit(0)).otherwise(whole.try_cast("int")),
+    return (
+        F.when(text.rlike(SHORT_INT), text.cast("int"))
+        .when(text.rlike(BARE_FRACTION), F.lit(0))
+        .when(whole.rlike("[0-9]"), whole.try_cast("int"))
+    )
+
+
+def number(text: Column) -> Column:
+    return F.when(text.rlike(MAYBE_NUMBER), text.try_cast("double"))
+
+
+def flag(text: Column) -> Column:
+    return (
+        F.when(text.rlike(rf"(?i)^{PAD}({TRUE_WORDS}){PAD}$"), True)
+        .when(text.rlike(rf"(?i)^{PAD}({FALSE_WORDS}){PAD}$"), False)
     )
 
 
@@ -25,8 +47,8 @@ def with_typed_values(df: DataFrame) -> DataFrame:
     kind, text = F.col("value_type"), F.col("value")
     return df.withColumns({
         "numeric_value": F.when(kind.isin(INTEGER_TYPES), truncated_int(text).cast("double"))
-        .when(kind.isin(FLOAT_TYPES) & (text != ""), text.try_cast("double")),
-        "boolean_value": F.when(kind.isin(BOOLEAN_TYPES), text.try_cast("boolean")),
+        .when(kind.isin(FLOAT_TYPES), number(text)),
+        "boolean_value": F.when(kind.isin(BOOLEAN_TYPES), flag(text)),
     })
 
 

@@ -6,10 +6,15 @@ from pyspark.sql.types import StringType
 
 from fieldtally.constants import LATE_REPORTING_DAYS
 
+MONTH = "^[0-9]{4}(0[1-9]|1[0-2])$"
+
 
 def period_start(period: Column) -> Column:
-    """First day of a ``yyyyMM`` period; NULL when it names no month."""
-    return F.try_to_date(F.concat(period, F.lit("01")), "yyyyMMdd")
+    """First day of a ``yyyyMM`` period; NULL when it names no month.
+
+    Text is matched first, so the cast cannot fail and needs no formatter."""
+    day_one = F.concat_ws("-", F.substring(period, 1, 4), F.substring(period, 5, 2), F.lit("01"))
+    return F.when(period.rlike(MONTH), day_one.cast("date"))
 
 
 def with_period_dates(df: DataFrame, period: str = "period") -> DataFrame:

@@ -22,13 +22,15 @@ def test_existing_and_required_columns(spark):
 
 
 def test_period_dates(spark):
-    df = spark.createDataFrame([("202401",), ("202413",), (None,), ("202402",)], "period string")
+    df = spark.createDataFrame([("202401",), ("202413",), (None,), ("202402",),
+                                ("20240",), ("2024011",), ("2024-1",), ("202400",)], "period string")
     rows = {r.period: r for r in periods.with_period_dates(df).collect()}
     first = rows["202401"]
     assert (first.period_start_date, first.period_end_date) == (date(2024, 1, 1), date(2024, 1, 31))
     assert (first.year, first.month, first.quarter, first.year_month) == (2024, 1, 1, "202401")
     assert rows["202402"].period_end_date == date(2024, 2, 29)
-    assert rows["202413"].period_start_date is None and rows[None].quarter is None
+    for bad in ("202413", "20240", "2024011", "2024-1", "202400", None):
+        assert rows[bad].period_start_date is None and rows[bad].quarter is None
 
 
 def test_timestamps_never_throw(spark):
@@ -64,6 +66,28 @@ def test_typed_values(spark, text, kind, number, flag):
     assert (row.numeric_value, row.boolean_value) == (number, flag)
 
 
+def test_guarded_casts_agree_with_plain_ones(spark):
+    """The patterns that save failed casts let through all that a cast reads."""
+    texts = ["1", " 1 ", "\t-5\n", "+7", "1.5", ".5", "5.", "1e3", "-1E-3", "NaN", "nan", "inf",
+             "-Infinity", "1d", "2F", "0x1p3", "abc", "", " ", "12abc", "1 2", "true", " T ",
+             "YES", "y", "no", "N", "0", "false\n", "on", "tr ue", "\x01 3", "999999999",
+             "2147483647", "2147483648", "-2147483648", "0000000000012"]
+    df = spark.createDataFrame([(text,) for text in texts], "v string")
+    text = F.col("v")
+    rows = df.select(
+        "v", casts.number(text).alias("n"), text.try_cast("double").alias("n2"),
+        casts.flag(text).alias("b"), text.try_cast("boolean").alias("b2"),
+        casts.truncated_int(text).alias("i"), text.try_cast("int").alias("i2")).collect()
+    for row in rows:
+        assert repr(row.n) == repr(row.n2), row
+        assert row.b == row.b2, row
+        if row.i2 is not None:
+            assert row.i == row.i2, row
+    found = {row.v: row.i for row in rows}
+    assert found["1.5"] == 1 and found["5."] == 5 and found["0000000000012"] == 12
+    assert found["2147483648"] is None and found["12abc"] is None
+
+
 def test_missing_and_completeness_flags(spark):
     df = spark.createDataFrame([(None,), ("",), ("0",), ("0.0",)], "value string").withColumn(
         "value_type", F.lit("NUMBER"))
