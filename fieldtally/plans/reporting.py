@@ -11,7 +11,7 @@ from fieldtally.constants import (
     DATA_VALUES_SCHEMA, FACT_CONTRACT, HIERARCHY_LEVELS, MAX_QUARANTINE_RATE, MIN_FACT_ROWS,
 )
 from fieldtally.functions.columns import present
-from fieldtally.functions.periods import with_period_dates
+from fieldtally.functions.periods import period_start, with_period_dates
 from fieldtally.operators.contract import enforce_contract
 from fieldtally.operators.dedup import collapse_copies, expand_copies
 from fieldtally.operators.drift import drift_summary, snapshot_drift
@@ -84,16 +84,21 @@ def attach_lookups(values: DataFrame, elements: DataFrame, combos: DataFrame,
     return values
 
 
-def judge_values(values: DataFrame, elements: DataFrame, combos: DataFrame,
+def count_values(values: DataFrame) -> DataFrame:
+    """Distinct raw values with their copies, written: finding hot keys, their
+    winners and the ranking all read them."""
+    raw = values.select(*present(values, DATA_VALUE_COLUMNS))
+    return tables.materialize(collapse_copies(raw), "counted")
+
+
+def judge_values(counted: DataFrame, elements: DataFrame, combos: DataFrame,
                  hierarchy: DataFrame) -> DataFrame:
-    """Distinct values with copies, attributes, flags and an outcome each.
+    """Counted values with attributes, flags and an outcome each.
 
-    Both shuffles move the narrow raw columns only. Copies fold first: lookups
-    hold one row per key, so equal raw rows stay equal. Ranking comes next:
-    whether a row resolves depends on its business key alone, so rejected rows
-    never compete with accepted ones. Attributes are attached last, in place."""
-    raw = values.select(*present(values, DATA_VALUE_COLUMNS))
-    counted = tables.materialize(collapse_copies(raw), "counted")
+    Both shuffles move the narrow raw columns only. Copies are folded already:
+    lookups hold one row per key, so equal raw rows stay equal. Ranking comes
+    next: whether a row resolves depends on its business key alone, so rejected
+    rows never compete with accepted ones. Attributes are attached last."""
     ranked = with_period_dates(judge(counted))
     known = attach_lookups(ranked, elements, combos, hierarchy)
     bad_period = F.when(F.col("period_start_date").isNull(), F.lit(BAD_PERIOD))
@@ -124,31 +129,27 @@ def run_reporting(spark: SparkSession, inputs: Inputs, output: str,
 
     The contract and the gate are checked before anything but drift and
     quarantine is published."""
-    elements, combos = documents.ingest_metadata(spark, inputs.metadata, inputs.lines)
-    reference = documents.ingest_reference_metadata(
-        spark, inputs.reference_metadata, inputs.lines)
-    org_units = documents.ingest_org_units(spark, inputs.org_units, inputs.lines)
-    programs = documents.ingest_programs(spark, inputs.programs, inputs.lines)
+    elements, combos, reference, org_units, programs = read_entities(spark, inputs)
     values = documents.ingest_data_values(spark, inputs.data_values, inputs.lines)
 
-    drift = snapshot_drift(elements, reference)
-    tables.write_tables({**drift, "summary": drift_summary(drift)}, f"{output}/metadata_drift")
-
+    drift = tables.write_tables(snapshot_drift(elements, reference), f"{output}/metadata_drift")
+    tables.write_tables({"summary": drift_summary(drift)}, f"{output}/metadata_drift")
     if options.keep_corrupt:
         found = documents.read_documents(
             spark, inputs.data_values, DATA_VALUES_SCHEMA, inputs.lines, keep_corrupt=True)
-        tables.write_tables(
-            {"corrupt_documents": documents.corrupt_documents(found)}, output)
+        tables.write_tables({"corrupt_documents": documents.corrupt_documents(found)}, output)
 
     fact_path = f"{output}/facts/fact_service_delivery"
     if options.incremental:
         values = pending_values(spark, values, fact_path, options.refresh_changed)
-        if not incremental.load_required(values):
-            return "no_new_periods"
+    counted = count_values(values)
+    # rows without a readable period never load, so they alone are no reason to run
+    if not incremental.load_required(counted.filter(period_start(F.col("period")).isNotNull())):
+        return "no_new_periods"
 
     hierarchy = tables.materialize(build_hierarchy(org_units), "hierarchy")
     judged = tables.materialize(
-        judge_values(values, elements, combos, hierarchy), "judged", ["outcome"])
+        judge_values(counted, elements, combos, hierarchy), "judged", ["outcome"])
     counts = tables.materialize(outcome_counts(judged), "counts")
     clean = clean_rows(judged)
 
@@ -181,6 +182,23 @@ def run_reporting(spark: SparkSession, inputs: Inputs, output: str,
     return "success"
 
 
+def read_entities(spark: SparkSession, inputs: Inputs) -> list[DataFrame]:
+    """Data elements, category combos, reference elements, units and programs,
+    each parsed once: drift, lookups and dimensions all read them."""
+    elements, combos = documents.ingest_metadata(spark, inputs.metadata, inputs.lines)
+    entities = {
+        "elements": elements,
+        "combos": combos,
+        "reference": documents.ingest_reference_metadata(
+            spark, inputs.reference_metadata, inputs.lines),
+        "org_units": documents.ingest_org_units(spark, inputs.org_units, inputs.lines),
+        "programs": documents.ingest_programs(spark, inputs.programs, inputs.lines),
+    }
+    with ThreadPoolExecutor(len(entities)) as pool:
+        return list(pool.map(
+            lambda name: tables.materialize(entities[name], name), entities))
+
+
 def pending_values(spark: SparkSession, values: DataFrame, fact_path: str,
                    refresh_changed: bool = False) -> DataFrame:
     """Values of periods still to load; rows without a period stay, to be

@@ -84,10 +84,15 @@ def write_fact(fact: DataFrame, path: str, partition_by: list[str] = [FACT_PARTI
     write_parquet(balanced, path, partition_by, max_records_per_file=max_records_per_file)
 
 
-def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
-    """Write named tables below a folder: dimensions, marts, drift, quarantine."""
+def write_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Write named tables below a folder (dimensions, marts, drift) and return
+    them as read back."""
+    written = {}
     for name, df in tables.items():
-        write_parquet(df, f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        write_parquet(df, path)
+        written[name] = read_like(df, path)
+    return written
 
 
 def run_metrics(spark: SparkSession, completed_at: Column | None = None,

@@ -199,6 +199,7 @@ def test_the_whole_job(spark, export, tmp_path):
     assert read(spark, output, "dimensions/dim_program").columns == list(C.DIM_PROGRAM.values())
     totals = read(spark, output, "analytics/quarterly_global_totals")
     assert totals.filter("year = 2024 and data_element_name = 'Cases'").first().quarterly_total == 20.0
+    assert run_reporting(spark, export.inputs(), output) == "no_new_periods"
 
 
 def test_only_new_periods_load_and_reopening_is_a_choice(spark, export, tmp_path):

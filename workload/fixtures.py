@@ -77,7 +77,7 @@ def org_units(spark, sf_dir):
     not registered."""
     region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
     customer = table(spark, sf_dir, "customer").join(
-        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        nation, F.col("c_nationkey") == F.col("n_nationkey"))
     segment = "concat('S', n_nationkey, c_mktsegment)"
     levels = [
         region.selectExpr("concat('R', r_regionkey) as id", "r_name as name", "1 as level",
@@ -107,8 +107,7 @@ def hierarchy(spark, sf_dir):
 def programs(spark, sf_dir):
     """One program per nation and customer segment, covering all part types."""
     customer = table(spark, sf_dir, "customer").join(
-        F.broadcast(table(spark, sf_dir, "nation")),
-        F.col("c_nationkey") == F.col("n_nationkey"))
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return customer.select("n_nationkey", "n_name", "c_mktsegment").distinct().selectExpr(
         "concat('PR', n_nationkey, c_mktsegment) as id",
         "concat(c_mktsegment, ' program ', n_name) as name", "c_mktsegment as shortname",

@@ -60,7 +60,7 @@ def enriched(spark, sf_dir):
 
 def judged(spark, sf_dir):
     return reporting.judge_values(
-        fx.data_values(spark, sf_dir), fx.data_elements(spark, sf_dir),
+        reporting.count_values(fx.data_values(spark, sf_dir)), fx.data_elements(spark, sf_dir),
         fx.category_combos(spark, sf_dir), fx.hierarchy(spark, sf_dir))
 
 
