@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.constants import FACT_PARTITION
-from fieldtally.operators.lookup import broadcast_if_small
+from fieldtally.operators.lookup import small_enough
+from fieldtally.sources.tables import materialize_measured
 
 
 def read_fact(spark: SparkSession, path: str, partition: str = FACT_PARTITION) -> DataFrame | None:
@@ -30,9 +31,13 @@ def loaded_periods(spark: SparkSession, path: str, partition: str = FACT_PARTITI
 
 def new_periods(df: DataFrame, loaded: DataFrame, partition: str = FACT_PARTITION,
                 keep_null: bool = False) -> DataFrame:
-    """Rows of periods not loaded yet. Rows without a period are dropped unless
-    ``keep_null``."""
-    fresh = df.join(broadcast_if_small(loaded, "periods"), partition, "left_anti").select(*df.columns)
+    """Rows of periods not loaded yet; all rows when nothing is loaded. Rows
+    without a period are dropped unless ``keep_null``."""
+    written, rows, size = materialize_measured(loaded, "periods")
+    if rows == 0:
+        return df
+    known = F.broadcast(written) if small_enough(rows, size) else written
+    fresh = df.join(known, partition, "left_anti").select(*df.columns)
     return fresh if keep_null else fresh.filter(F.col(partition).isNotNull())
 
 

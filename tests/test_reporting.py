@@ -152,6 +152,7 @@ def test_period_filters(spark, tmp_path):
     df = spark.createDataFrame([("202401", 1), ("202402", 2), (None, 3)], "year_month string, v int")
     assert [r.v for r in incremental.new_periods(df, loaded).collect()] == [2]
     assert sorted(r.v for r in incremental.new_periods(df, loaded, keep_null=True).collect()) == [2, 3]
+    assert incremental.new_periods(df, loaded.filter("false")).count() == 3
     assert incremental.load_required(df) and not incremental.load_required(df.filter("false"))
 
 

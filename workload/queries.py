@@ -79,9 +79,8 @@ def silenced_fact(spark, sf_dir):
         "has_reported_value", F.col("has_reported_value") & ~silent)
 
 
-def early_fact(spark, sf_dir):
+def early_fact(spark, rows):
     """Path of a published fact that holds the periods before 199801."""
-    rows = fact(spark, sf_dir)
     path = tables.scratch_path(spark, "fact")
     tables.write_fact(rows.filter(F.col("year_month") < EARLY), path)
     return path
@@ -463,19 +462,19 @@ def run_metrics(spark, sf_dir):
 # ---- incremental loading and sinks
 
 def incremental_existing_partitions(spark, sf_dir):
-    return incremental.loaded_periods(spark, early_fact(spark, sf_dir))
+    return incremental.loaded_periods(spark, early_fact(spark, fact(spark, sf_dir)))
 
 
 def incremental_filter_periods(spark, sf_dir):
-    loaded = incremental.loaded_periods(spark, early_fact(spark, sf_dir))
+    loaded = incremental.loaded_periods(spark, early_fact(spark, fact(spark, sf_dir)))
     return incremental.new_periods(
         periods.with_period_dates(fx.data_values(spark, sf_dir)), loaded)
 
 
 def incremental_required(spark, sf_dir):
     """Whether a second and a third load of the same values have work to do."""
-    path = early_fact(spark, sf_dir)
-    rows = fact(spark, sf_dir)
+    rows = tables.materialize(fact(spark, sf_dir), "fact")
+    path = early_fact(spark, rows)
     pending = incremental.new_periods(rows, incremental.loaded_periods(spark, path))
     second = incremental.load_required(pending)
     tables.write_fact(pending, path)
@@ -502,7 +501,7 @@ SINK_COLUMNS = ["data_element_id", "org_unit_id", "category_option_combo_id", "v
 
 def sink_parquet_dynamic_overwrite(spark, sf_dir):
     """A second write replaces its own partitions and leaves the others."""
-    rows = fact(spark, sf_dir).select(*SINK_COLUMNS)
+    rows = tables.materialize(fact(spark, sf_dir).select(*SINK_COLUMNS), "rows")
     path = tables.scratch_path(spark, "sink")
     tables.write_parquet(rows, path, ["year_month"], max_records_per_file=250_000)
     later = rows.filter(F.col("year_month") >= EARLY).withColumn("value", F.lit("revised"))
