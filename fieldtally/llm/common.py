@@ -1,7 +1,9 @@
 """What the operators share: reading, staging, and Arrow plumbing."""
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +36,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Let Arrow batches end at ``BATCH_BYTES``, however long the texts are."""
+def prepare_python(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it
+    (on a cluster: a shared folder, ``--py-files`` or an installed copy) and
+    let Arrow batches end at ``BATCH_BYTES``, however long the texts are."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
@@ -43,7 +51,7 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
                 schema: str | StructType) -> DataFrame:
     """Apply ``work`` to each Arrow batch; it returns columns by name."""
     spark = df.sparkSession
-    bounded_batches(spark)
+    prepare_python(spark)
     fields = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
     arrow = arrow_schema(fields)
 

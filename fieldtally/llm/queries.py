@@ -4,8 +4,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldtally.llm import byte_bpe
-from fieldtally.llm.common import table
+from fieldtally.llm import byte_bpe, token_counts, token_files
+from fieldtally.llm.common import staging_path, table
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "token_files")
+    token_files.write_segments(table(spark, sf_dir, "documents"), path)
+    return token_files.document_digests(token_files.read_segments(spark, path))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +24,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_token_files": op6_token_files,
+        "op8_token_counts": op8_token_counts,
         "op9_byte_bpe": op9_byte_bpe,
     }
 
