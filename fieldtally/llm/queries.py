@@ -4,10 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldtally.llm import byte_bpe, token_counts, token_files
+from fieldtally.llm import byte_bpe, token_counts, token_files, toxicity
 from fieldtally.llm.common import staging_path, table
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", "held_out", "score", "predicted", "n_passages")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "token_files")
     token_files.write_segments(table(spark, sf_dir, "documents"), path)
@@ -24,6 +31,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_toxicity": op4_toxicity,
         "op6_token_files": op6_token_files,
         "op8_token_counts": op8_token_counts,
         "op9_byte_bpe": op9_byte_bpe,
