@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldtally.llm import byte_bpe, token_counts, token_files, toxicity
+from fieldtally.llm import byte_bpe, pii, token_counts, token_files, toxicity
 from fieldtally.llm.common import staging_path, table
 
 
@@ -21,6 +21,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_digests(token_files.read_segments(spark, path))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crf = pii.train(pii.labelled_table(spark))
+    return pii.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), crf).drop("text")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -33,6 +38,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_toxicity": op4_toxicity,
         "op6_token_files": op6_token_files,
+        "op7_pii": op7_pii,
         "op8_token_counts": op8_token_counts,
         "op9_byte_bpe": op9_byte_bpe,
     }
