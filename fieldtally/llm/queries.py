@@ -4,10 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldtally.llm import byte_bpe, pii, token_counts, token_files, toxicity
+from fieldtally.llm import byte_bpe, near_copies, pii, token_counts, token_files, toxicity
 from fieldtally.llm.common import staging_path, table
 
 
+def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.classify(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -36,6 +40,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_near_copies": op3_near_copies,
         "op4_toxicity": op4_toxicity,
         "op6_token_files": op6_token_files,
         "op7_pii": op7_pii,
