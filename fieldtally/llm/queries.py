@@ -3,11 +3,24 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldtally.llm import byte_bpe, near_copies, pii, token_counts, token_files, toxicity
+from fieldtally.llm import byte_bpe, mixing, near_copies, pii, token_counts, token_files, toxicity
 from fieldtally.llm.common import staging_path, table
 
 
+def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table of the mixing query: the language of labelled rows."""
+    return labels.select("doc_id").distinct().join(
+        docs.select("doc_id", F.col("lang").alias("domain")), "doc_id")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labelled = language_labels(docs, table(spark, sf_dir, "labels"))
+    return mixing.mix(docs, labelled).select("doc_id", "n_tokens", "copies", "domain", "rate")
+
+
 def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.classify(table(spark, sf_dir, "documents"))
 
@@ -40,6 +53,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_mixing": op2_mixing,
         "op3_near_copies": op3_near_copies,
         "op4_toxicity": op4_toxicity,
         "op6_token_files": op6_token_files,
