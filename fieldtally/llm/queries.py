@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import byte_bpe, mixing, near_copies, pii, token_counts, token_files, toxicity
+from fieldtally.llm import byte_bpe, mixing, near_copies, pii, sliced_topk, token_counts, token_files, toxicity
 from fieldtally.llm.common import staging_path, table
 
 
@@ -32,6 +32,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted", "n_passages")
 
 
+def op5_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return sliced_topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "token_files")
     token_files.write_segments(table(spark, sf_dir, "documents"), path)
@@ -56,6 +61,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mixing": op2_mixing,
         "op3_near_copies": op3_near_copies,
         "op4_toxicity": op4_toxicity,
+        "op5_sliced_topk": op5_sliced_topk,
         "op6_token_files": op6_token_files,
         "op7_pii": op7_pii,
         "op8_token_counts": op8_token_counts,
