@@ -5,10 +5,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import byte_bpe, mixing, near_copies, pii, sliced_topk, token_counts, token_files, toxicity
+from fieldtally.llm import (
+    binary_codes, byte_bpe, mixing, near_copies, pii, sliced_topk, token_counts, token_files,
+    toxicity,
+)
 from fieldtally.llm.common import staging_path, table
 
 
+def op1_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_codes.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The labelled table of the mixing query: the language of labelled rows."""
     return labels.select("doc_id").distinct().join(
@@ -58,6 +65,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_binary_codes": op1_binary_codes,
         "op2_mixing": op2_mixing,
         "op3_near_copies": op3_near_copies,
         "op4_toxicity": op4_toxicity,
