@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.llm import (
-    binary_codes, byte_bpe, mixing, near_copies, pii, sliced_topk, token_counts, token_files,
+    binary_codes, byte_bpe, licenses, mixing, near_copies, pii, sliced_topk, token_counts, token_files,
     toxicity,
 )
 from fieldtally.llm.common import staging_path, table
@@ -63,6 +63,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents")).drop("notices")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_binary_codes": op1_binary_codes,
@@ -74,6 +78,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_pii": op7_pii,
         "op8_token_counts": op8_token_counts,
         "op9_byte_bpe": op9_byte_bpe,
+        "op10_licenses": op10_licenses,
     }
 
 
