@@ -2,7 +2,7 @@
 
 Unit vectors are centred, turned to their principal axes and then by a rotation
 learnt by iterative quantisation, so that the signs lose little; thresholds at
-the medians balance the bits. One rotation gives at most one bit per axis; more
+the medians balance the bits (data far off the origin are not centred). One rotation gives at most one bit per axis; more
 rotations, learnt from other starts, give the bits the tables need.
 
 Retrieval: codes are cut into substrings, one hash table each (multi-index
@@ -41,7 +41,8 @@ from fieldtally.llm.components import components
 
 THRESHOLD = 0.98
 MISS = 1e-4
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 8_000
+MOST_SHIFT = 0.3
 ROUNDS = 30
 BLOCK = 1024
 PAIRS = 1 << 17
@@ -51,13 +52,20 @@ class Codes:
     """Codes of vectors of one length: ``tables`` substrings of ``width`` bits."""
 
     def __init__(self, sample: np.ndarray, width: int, threshold: float, seed: int = 7):
+        sample = thinned(sample, threshold)
+        # A plane through the origin parts a pair with chance angle / pi; one
+        # through a point m of the ball with at most 1 / (1 - |m|) times that.
+        # Far means would cost too much: such data keep the origin.
+        mean = sample.mean(axis=0)
+        centre = float(np.linalg.norm(mean)) <= MOST_SHIFT
+        self.mean = mean if centre else np.zeros_like(mean)
         flip = math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+        flip /= 1 - float(np.linalg.norm(self.mean))
         self.width = width
         self.tables = max(1, math.ceil(math.log(MISS) / math.log1p(-(1 - flip) ** width)))
         # Far outside what pairs at the threshold reach, far inside chance.
         bits = self.tables * width
         self.radius = int(bits * flip + 6 * math.sqrt(bits * flip * (1 - flip))) + 1
-        self.mean = sample.mean(axis=0)
         centred = sample - self.mean
         axes = np.linalg.svd(centred.T @ centred)[0][:, :64]
         random = np.random.default_rng(seed)
@@ -65,7 +73,7 @@ class Codes:
         while sum(t.shape[1] for t in turns) < bits:
             turns.append(axes @ self._rotation(centred @ axes, random))
         self.turn = np.hstack(turns)[:, :bits]
-        self.cut = np.median(centred @ self.turn, axis=0)
+        self.cut = np.median(centred @ self.turn, axis=0) if centre else np.zeros(bits)
 
     @staticmethod
     def _rotation(projected: np.ndarray, random: np.random.Generator) -> np.ndarray:
@@ -86,6 +94,16 @@ class Codes:
                 @ (1 << np.arange(self.width))).astype(np.uint32)
 
 
+def thinned(unit: np.ndarray, threshold: float) -> np.ndarray:
+    """The rows without a near earlier row: a large group of near copies must
+    not draw the mean or the medians into itself."""
+    kept = np.ones(len(unit), bool)
+    for at in range(0, len(unit), 1000):
+        near = unit[at:at + 1000] @ unit[:at + 1000].T >= threshold
+        kept[at:at + 1000] = ~np.tril(near, at - 1).any(axis=1)
+    return unit[kept]
+
+
 def unit_rows(values: np.ndarray) -> np.ndarray:
     values = values / np.abs(values).max(axis=1, keepdims=True)
     return values / np.sqrt((values * values).sum(axis=1, keepdims=True))

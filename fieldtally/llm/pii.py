@@ -94,6 +94,8 @@ please mail [email:anna.k AT host DOT example DOT org] soon
 her address is [email:peter at example.com] she said
 send it to [email:team(at)example(dot)com] now
 or [email:bob[at]mail.example.org] if urgent
+ask for [email:lena (at) mail (dot) example (dot) org] there
+was over and you call [email:hans (at) post (dot) example] soon
 mail [email:kim.lee@example.com] or come by
 the mail went to [email:office.12@mail3.example.com] in the end
 call [phone:(555) 010-1234] after noon
@@ -195,7 +197,7 @@ def shape_of(word: str) -> str:
     written-out address stand for themselves, other words are all alike."""
     bare = word.strip(".,;:!?\"'()")
     if bare.lower() in WRITTEN_OUT:
-        return "=" + bare.lower()
+        return ("=(" if word[0] == "(" else "=") + bare.lower()
     if bare.isalpha():
         return "x"
     plain = "".join(c if c.isascii() else "x" if c.isalpha() else "?" for c in word[:80])
