@@ -36,7 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import arrow_schema, map_batches, prepare_python, staged
+from fieldtally.llm.common import (
+    arrow_schema, map_batches, prepare_python, spanning, staged, whole_units,
+)
 from fieldtally.llm.components import components
 
 THRESHOLD = 0.98
@@ -202,47 +204,12 @@ def unit_pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = stop
 
 
-def whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of whole units: the last, open unit waits for the next batch."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        here = pa.Table.from_batches([batch])
-        here = here if rest is None else pa.concat_tables([rest, here])
-        unit = here["unit"].to_numpy()
-        cut = int(np.flatnonzero(unit == unit[-1])[0])
-        if cut:
-            yield here.slice(0, cut).combine_chunks()
-        rest = here.slice(cut)
-    if rest is not None:
-        yield rest.combine_chunks()
-
-
 def first_together(keys: np.ndarray, place: np.ndarray, left: np.ndarray,
                    right: np.ndarray) -> np.ndarray:
     """Whether no earlier table brings a pair together."""
     return (keys[left] == keys[right]).argmax(axis=1) == place[left]
 
 
-def spanning(links: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what all the links connect."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = x = parent.get(up, up)
-        return x
-
-    kept = []
-    for a, b in links.tolist():
-        x, y = root(a), root(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append((a, b))
-    return kept
-
-
 def mark_near(rows: DataFrame, radii: dict[int, int]) -> DataFrame:
     """node and place of the rows with a near code in their bucket."""
     spark = rows.sparkSession

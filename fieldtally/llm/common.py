@@ -5,6 +5,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -70,3 +71,39 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
 def arrow_schema(fields: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return to_arrow_schema(fields)
+
+
+def whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole units: the last, open unit waits for the next batch."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        here = pa.Table.from_batches([batch])
+        here = here if rest is None else pa.concat_tables([rest, here])
+        unit = here["unit"].to_numpy()
+        cut = int(np.flatnonzero(unit == unit[-1])[0])
+        if cut:
+            yield here.slice(0, cut).combine_chunks()
+        rest = here.slice(cut)
+    if rest is not None:
+        yield rest.combine_chunks()
+
+
+def spanning(links: np.ndarray, known: dict[int, int] | None = None) -> list[tuple[int, int]]:
+    """Links that connect what all the links connect; ``known`` gives vertices
+    the component they already have."""
+    parent: dict[int, int] = dict(known or {})
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    kept = []
+    for a, b in links.tolist():
+        x, y = root(a), root(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return kept

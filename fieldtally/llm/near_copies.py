@@ -14,10 +14,11 @@ so a document costs one draw per shingle. Bands of ``ROWS`` bins are bucket keys
 Links have a weighted Jaccard similarity of at least ``threshold`` and are
 always computed from whole texts. Within a bucket, first all documents are held
 against the smallest one, then those without a link against the smallest of
-them. What is still apart within a bucket is compared pair by pair; the
-distance is a metric, so the distances to the common leader rule most of these
-pairs out. Pairs within one component need no comparison, therefore a bucket
-of thousands of copies costs one comparison per copy.
+them. Only documents that are then in different components of one bucket are
+compared pair by pair, in blocks of about ``BLOCK`` members: pairs of blocks are
+the units of tasks, and of their links only those that connect something new
+are emitted. A bucket whose documents are all one component costs one comparison
+per document.
 
 Result: one class per component; its id is the smallest doc_id.
 
@@ -40,7 +41,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import arrow_schema, map_batches, prepare_python, staged
+from fieldtally.llm.common import (
+    arrow_schema, map_batches, prepare_python, spanning, staged, whole_units,
+)
 from fieldtally.llm.components import components
 
 SHINGLE = 5
@@ -49,6 +52,7 @@ IDF_SHARE = 0.25
 BINS, ROWS = 96, 4
 THRESHOLD = 0.8
 BLOCK_SHINGLES = 200_000
+BLOCK, LEVELS = 256, 4096
 CACHED_WORDS = 400_000
 WORD = re.compile(r"\w+")
 U = np.uint64
@@ -265,32 +269,98 @@ def links(buckets: DataFrame, vecs: DataFrame, threshold: float = THRESHOLD) ->
     # What is still apart in a bucket: members of different components. Only
     # buckets in which a document failed can hold such pairs.
     groups = staged(components(found), "groups")
-    open_bands = failed.select("band").distinct()
-    members = (first.join(open_bands, "band", "left_semi")
-               .join(near, ["leader", "node"], "left")
-               .join(groups, "node", "left")
-               .select("band", "node", F.coalesce("component", "node").alias("component"),
-                       F.when(F.col("node") == F.col("leader"), 0.0)
-                       .otherwise(1 - F.col("similarity")).alias("distance")))
-    members = staged(members, "members")
-    parts = members.groupBy("band", "component").agg(
-        F.min("distance").alias("low"), F.max("distance").alias("high"))
-    reach = 1 - threshold + 1e-9
-    other = parts.select("band", F.col("component").alias("component_b"),
-                         F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-    apart = (parts.join(other, "band").where("component < component_b")
-             .where((F.col("low") - F.col("high_b") <= reach) & (F.col("low_b") - F.col("high") <= reach))
-             .select("band", "component", "component_b"))
-    pairs = (apart.join(members.withColumnRenamed("distance", "da"), ["band", "component"])
-             .join(members.select("band", F.col("component").alias("component_b"),
-                                  F.col("node").alias("node_b"), F.col("distance").alias("db")),
-                   ["band", "component_b"])
-             .where(F.abs(F.col("da") - F.col("db")) <= reach)
-             .select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
-             .distinct()
-             .join(measured.union(second).select("a", "b"), ["a", "b"], "left_anti"))
-    rest = staged(measure(pairs, vecs), "rest").where(F.col("similarity") >= threshold).select("a", "b")
-    return found.union(rest)
+    members = staged(first.select("band", "node")
+                     .join(failed.select("band").distinct(), "band", "left_semi")
+                     .join(groups, "node", "left")
+                     .select("band", "node", F.coalesce("component", "node").alias("component")), "members")
+    return found.union(staged(compare_blocks(members, vecs, threshold), "rest"))
+
+
+def in_blocks(members: DataFrame) -> DataFrame:
+    """Members of buckets with several components under the units (unit_a,
+    unit_b) of block pairs. The largest component of a bucket has blocks of its
+    own, which meet the blocks of the rest but not one another."""
+    parts = members.groupBy("band", "component").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("band").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"),
+        (F.sum("n") - F.max("n")).alias("n_rest")).where("n_rest > 0").select(
+        "band", "main", F.ceil(F.col("n_main") / BLOCK).cast("int").alias("mains"),
+        F.ceil(F.col("n_rest") / BLOCK).cast("int").alias("rests"))
+    placed = members.join(sizes, "band").withColumn("is_main", F.col("component") == F.col("main"))
+    block = F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("rests")))
+    placed = placed.withColumn("block", block.cast("int")).withColumn("other", F.explode(F.when(
+        F.col("is_main"), F.sequence(F.lit(0), F.col("rests") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("rests") + F.col("mains") - 1))))
+    own = F.when(F.col("is_main"), F.col("rests") + F.col("block")).otherwise(F.col("block"))
+    return placed.select("band", "node", "component", F.least(own, "other").alias("unit_a"),
+                         F.greatest(own, "other").alias("unit_b"), (own > F.col("other")).cast("int").alias("side"))
+
+
+def compare_blocks(members: DataFrame, vecs: DataFrame, threshold: float) -> DataFrame:
+    """Links between components, all pairs of each unit compared in its task.
+    Only links that connect something new leave the task."""
+    spark = members.sparkSession
+    prepare_python(spark)
+    schema = spark.createDataFrame([], "a long, b long").schema
+    arrow = arrow_schema(schema)
+    unit = ["band", "unit_a", "unit_b"]
+    rows = (in_blocks(members).join(vecs, "node").repartition(*unit)
+            .sortWithinPartitions(*unit, "side", "node")
+            .select(F.xxhash64(*unit).alias("unit"), "side", "node", "component", "hashes", "weights"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_units(batches):
+            numbers = table["unit"].to_numpy()
+            begins = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+            found: list[tuple[int, int]] = []
+            for at, size in zip(begins, np.diff(np.append(begins, len(numbers)))):
+                part = table.slice(at, size).to_pydict()
+                sets = [(np.frombuffer(h, U), np.frombuffer(w, np.float32))
+                        for h, w in zip(part["hashes"], part["weights"])]
+                near = block_similarity(sets) >= threshold
+                node, component = np.array(part["node"]), np.array(part["component"])
+                side = np.array(part["side"])
+                left, right = np.nonzero(np.triu(near & (component[:, None] != component[None]), 1))
+                if side.any():
+                    across = side[left] != side[right]
+                    left, right = left[across], right[across]
+                found += spanning(np.stack([node[left], node[right]], axis=1),
+                                  dict(zip(part["node"], part["component"])))
+            links = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], schema=arrow)
+
+    return rows.mapInArrow(run, schema)
+
+
+def block_similarity(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weighted Jaccard of all pairs of a block, by products over the shingles
+    that at least two sets hold. A shingle's weights are cut into levels, so
+    that the smaller of two weights is the sum of the levels both reach."""
+    total = np.array([w.sum(dtype=float) for _, w in sets])
+    owner = np.repeat(np.arange(len(sets)), [len(h) for h, _ in sets])
+    hashes, weight = np.concatenate([h for h, _ in sets]), np.concatenate([w for _, w in sets]).astype(float)
+    order = np.lexsort((weight, hashes))
+    owner, hashes, weight = owner[order], hashes[order], weight[order]
+    first = np.append(True, hashes[1:] != hashes[:-1])
+    group = np.cumsum(first) - 1
+    shared = np.bincount(group)[group] > 1
+    owner, first, weight = owner[shared], first[shared], weight[shared]
+    both = np.zeros((len(sets), len(sets)))
+    # Within a shingle, ascending weights: each rise is a level that this and
+    # all later sets of the shingle reach.
+    rise = weight - np.where(first, 0.0, np.append(0.0, weight[:-1]))
+    begins = np.flatnonzero(first)
+    ends = np.append(begins[1:], len(weight))
+    level = np.flatnonzero(rise > 0)
+    stop = ends[np.searchsorted(begins, level, "right") - 1]
+    for at in range(0, len(level), LEVELS):
+        some, until = level[at:at + LEVELS], stop[at:at + LEVELS]
+        reach = np.zeros((len(sets), len(some)))
+        column = np.repeat(np.arange(len(some)), until - some)
+        place = np.arange(len(column)) - np.repeat(np.cumsum(until - some) - (until - some), until - some)
+        reach[owner[np.repeat(some, until - some) + place], column] = 1.0
+        both += (reach * rise[some]) @ reach.T
+    return both / np.maximum(total[:, None] + total[None] - both, 1e-300)
 
 
 def classify(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
