@@ -34,5 +34,5 @@ def require_columns(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     held = set(df.columns)
     absent = [name for name in columns if name not in held]
     if absent:
-        raise ValueError(f"{label} is missing required columns: {absent}")
+        raise ValueError(f"{label} lacks {absent}")
     return df

@@ -15,7 +15,7 @@ def column_named(df: DataFrame, name: str) -> str:
     """The frame's own spelling of ``name``, compared without case."""
     found = [held for held in df.columns if held.lower() == name.lower()]
     if not found:
-        raise ValueError(f"Column '{name}' not found in dataframe")
+        raise ValueError(f"The frame has no column like '{name}'")
     return found[0]
 
 
@@ -30,26 +30,30 @@ def collapse_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
 def expand_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
     """Repeat each row ``copies`` times; zero or less gives none.
 
-    Large counts are cut into chunks that are spread over the cluster before
+    Rows of up to ``CHUNK`` copies multiply where they are, without a shuffle.
+    Larger counts are cut into chunks that are spread over the cluster before
     they multiply. The partition number is set because the chunks weigh next to
     nothing until then and would be merged again."""
     columns = [name for name in df.columns if name != copies]
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = df.filter(F.col(copies) > 0).withColumn(
+    few = df.filter((F.col(copies) > 0) & (F.col(copies) <= CHUNK)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+    chunks = df.filter(F.col(copies) > CHUNK).withColumn(
         "chunk", F.explode(F.expr(f"sequence(0L, (`{copies}` - 1) div {CHUNK})"))
     )
     spread = chunks.repartition(partitions, F.xxhash64(*columns), F.col("chunk"))
     left = F.col(copies) - F.col("chunk") * CHUNK
-    return spread.withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.least(left, F.lit(CHUNK)).cast("int")))
-    ).select(*columns)
+    many = spread.withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.least(left, F.lit(CHUNK)).cast("int"))))
+    return few.select(*columns).union(many.select(*columns))
 
 
 def remove_exact_duplicates(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(distinct rows, surplus copies): n equal rows give one and n - 1."""
-    counted = collapse_copies(df)
-    surplus = counted.withColumn("copies", F.col("copies") - 1)
-    return df.dropDuplicates(), expand_copies(surplus)
+    """(distinct rows, surplus copies): n equal rows give one and n - 1. Copies
+    are folded once, for both."""
+    counted = materialize(collapse_copies(df), "counted")
+    surplus = counted.filter("copies > 1").withColumn("copies", F.col("copies") - 1)
+    return counted.select(*df.columns), expand_copies(surplus)
 
 
 def resolve_near_duplicates(
@@ -61,7 +65,7 @@ def resolve_near_duplicates(
     held = {name.lower() for name in df.columns}
     absent = [name for name in keys if name.lower() not in held]
     if absent:
-        raise ValueError(f"Missing deduplication keys: {absent}")
+        raise ValueError(f"Key columns are absent: {absent}")
     keys = [column_named(df, name) for name in keys]
     newest = [column_named(df, timestamp)]
     newest += [name for name in present(df, ["created", "value"]) if name not in newest + keys]

@@ -12,7 +12,7 @@ from fieldtally.operators.lookup import RECENCY
 
 def added(current: DataFrame, reference: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key the reference snapshot lacks."""
-    return current.join(reference.select(key).distinct(), key, "left_anti")
+    return current.join(reference.select(key), key, "left_anti")
 
 
 def removed(current: DataFrame, reference: DataFrame, key: str = "id") -> DataFrame:

@@ -1,5 +1,7 @@
 """Latest row per key, with a total order so that ties always fall the same way."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,12 +35,14 @@ def key_hash(keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, least: int = HOT_ROWS,
-             tracked: int = 65_536, top: int = 10_000) -> list[int]:
+             tracked: int = 65_536) -> list[int]:
     """Hashes of the keys with more than ``share`` of the rows and ``least`` rows.
 
     A frequent-items sketch per group of input partitions, then one sketch over
-    those; at most ``top`` hashes come back however large the input is. They
-    only steer how rows are spread: no result depends on them."""
+    those; at most 1 / ``share`` keys can hold that much, so no more hashes come
+    back however large the input is. They only steer how rows are spread: no
+    result depends on them."""
+    top = min(tracked, math.ceil(1 / share))
     sketches = df.select(key_hash(keys).alias("key_hash")).groupBy(
         F.pmod(F.spark_partition_id(), F.lit(256)).alias("slice")
     ).agg(

@@ -50,7 +50,8 @@ def judge(counted: DataFrame, keys: list[str] = BUSINESS_KEY, timestamp: str = "
 
 def surplus_copies(judged: DataFrame, copies: str = "copies") -> DataFrame:
     """Copies beyond the first of the rows that passed resolution."""
-    return judged.filter(F.col("outcome").isin(CLEAN, SUPERSEDED)).withColumn(
+    passed = F.col("outcome").isin(CLEAN, SUPERSEDED)
+    return judged.filter((F.col(copies) > 1) & passed).withColumn(
         copies, F.col(copies) - 1).drop("outcome")
 
 

@@ -1,6 +1,6 @@
 """The complete reporting job: documents to star schema, marts and quarantine."""
 
-from concurrent.futures import ThreadPoolExecutor
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldtally.constants import (
     CATEGORY_COMBO_ATTRIBUTES, DATA_ELEMENT_ATTRIBUTES, DATA_VALUE_COLUMNS,
-    DATA_VALUES_SCHEMA, FACT_CONTRACT, HIERARCHY_LEVELS, MAX_QUARANTINE_RATE, MIN_FACT_ROWS,
+    FACT_CONTRACT, HIERARCHY_LEVELS, MAX_QUARANTINE_RATE, MIN_FACT_ROWS,
 )
 from fieldtally.functions.columns import present
 from fieldtally.functions.periods import period_start, with_period_dates
@@ -30,6 +30,7 @@ from fieldtally.operators.star import (
 from fieldtally.sources import documents, incremental, tables
 
 BAD_PERIOD = "bad_period"
+CORRUPT = "corrupt_document"
 
 # first reason wins, in this order: reason to the attribute that must be there
 RESOLUTION_ORDER = {
@@ -56,7 +57,6 @@ class Options:
     max_quarantine_rate: float = MAX_QUARANTINE_RATE
     max_unresolved_rate: float | None = None
     min_fact_rows: int = MIN_FACT_ROWS
-    keep_corrupt: bool = False  # parses the value documents a second time
 
 
 def build_hierarchy(org_units: DataFrame) -> DataFrame:
@@ -75,10 +75,8 @@ def attach_lookups(values: DataFrame, elements: DataFrame, combos: DataFrame,
         "categoryoptioncombo": (combos, CATEGORY_COMBO_ATTRIBUTES),
         "orgunit": (hierarchy, names),
     }
-    # the lookups are written by independent small jobs, so they run side by side
-    with ThreadPoolExecutor(len(steps)) as pool:
-        lookups = list(pool.map(
-            lambda step: lookup_table(step[0], "id", step[1]), steps.values()))
+    lookups = tables.side_by_side(
+        lambda step: lookup_table(step[0], "id", step[1]), list(steps.values()))
     for on, lookup in zip(steps, lookups):
         values = attach(values, on, lookup)
     return values
@@ -127,39 +125,45 @@ def run_reporting(spark: SparkSession, inputs: Inputs, output: str,
                   options: Options = Options()) -> str:
     """Run the job below ``output``; returns 'success' or 'no_new_periods'.
 
-    The contract and the gate are checked before anything but drift and
-    quarantine is published."""
+    Every value of the export that is pending ends in the fact or in the
+    quarantine of this run, whatever the status. The contract and the gate are
+    checked before anything but drift and quarantine is published. Staged tables
+    are deleted at the end."""
+    with tables.run_staging(spark):
+        return load(spark, inputs, output, options)
+
+
+def load(spark: SparkSession, inputs: Inputs, output: str, options: Options) -> str:
+    run_id = uuid.uuid4().hex
     elements, combos, reference, org_units, programs = read_entities(spark, inputs)
-    values = documents.ingest_data_values(spark, inputs.data_values, inputs.lines)
+    parsed = documents.parse_data_values(spark, inputs.data_values, inputs.lines)
+    values = parsed.rows
 
     drift = tables.write_tables(snapshot_drift(elements, reference), f"{output}/metadata_drift")
     tables.write_tables({"summary": drift_summary(drift)}, f"{output}/metadata_drift")
-    if options.keep_corrupt:
-        found = documents.read_documents(
-            spark, inputs.data_values, DATA_VALUES_SCHEMA, inputs.lines, keep_corrupt=True)
-        tables.write_tables({"corrupt_documents": documents.corrupt_documents(found)}, output)
 
     fact_path = f"{output}/facts/fact_service_delivery"
-    if options.incremental:
+    stored = incremental.read_fact(spark, fact_path)
+    if options.incremental and stored is not None:
         values = pending_values(spark, values, fact_path, options.refresh_changed)
     counted = count_values(values)
-    # rows without a readable period never load, so they alone are no reason to run
-    if not incremental.load_required(counted.filter(period_start(F.col("period")).isNotNull())):
-        return "no_new_periods"
 
     hierarchy = tables.materialize(build_hierarchy(org_units), "hierarchy")
     judged = tables.materialize(
         judge_values(counted, elements, combos, hierarchy), "judged", ["outcome"])
     counts = tables.materialize(outcome_counts(judged), "counts")
-    clean = clean_rows(judged)
+    write_quarantine(judged, parsed.corrupt, output, run_id)
+    documents.require_rows(parsed.rows, f"{inputs.data_values} dataValues")
 
-    quarantine = quarantine_union(quarantine_buckets(judged))
-    tables.write_parquet(quarantine, f"{output}/quarantine", ["reason"], replace_all=True)
+    # rows without a readable period never load, so they alone are no reason to run
+    if not incremental.load_required(counted.filter(period_start(F.col("period")).isNotNull())):
+        write_metrics(spark, counts, parsed.corrupt, output, run_id, "no_new_periods")
+        return "no_new_periods"
     enforce_gates(run_gates(counts, options.max_quarantine_rate, options.min_fact_rows,
                             options.max_unresolved_rate))
     # one load time for the whole run, fixed before the checks read the fact
     loaded_at = spark.sql("select current_timestamp() as now").first().now
-    fact = build_fact(clean, F.lit(loaded_at))
+    fact = build_fact(clean_rows(judged), F.lit(loaded_at))
     enforce_contract(fact, FACT_CONTRACT)
 
     tables.write_tables({
@@ -167,24 +171,39 @@ def run_reporting(spark: SparkSession, inputs: Inputs, output: str,
         "dim_org_unit": dim_org_unit(hierarchy),
         "dim_program": dim_program(programs),
     }, f"{output}/dimensions")
+    if options.refresh_changed and stored is not None:
+        fact = tables.materialize(
+            incremental.keep_unsent(fact, stored, FACT_CONTRACT["primary_grain"]), "fact")
     tables.write_fact(fact, fact_path)
 
     stored = incremental.read_fact(spark, fact_path)
     tables.write_tables({"dim_period": dim_period(stored)}, f"{output}/dimensions")
     tables.write_tables(all_marts(stored), f"{output}/analytics")
+    write_metrics(spark, counts, parsed.corrupt, output, run_id, "success")
+    return "success"
+
 
+def write_quarantine(judged: DataFrame, corrupt: DataFrame, output: str, run_id: str) -> None:
+    """Rejects of a run in a folder of their own, with their ``reason``; earlier
+    runs keep theirs. The folder can be read when there are none."""
+    rejected = quarantine_union(quarantine_buckets(judged) | {CORRUPT: corrupt})
+    tables.write_parquet(rejected, f"{output}/quarantine/run_id={run_id}")
+
+
+def write_metrics(spark: SparkSession, counts: DataFrame, corrupt: DataFrame, output: str,
+                  run_id: str, status: str) -> None:
     rows = {row.outcome: row.row_count for row in counts.collect()}
     quarantined = sum(count for outcome, count in rows.items() if outcome != CLEAN)
     metrics = tables.run_metrics(
-        spark, input_rows=quarantined + rows.get(CLEAN, 0),
-        fact_rows=rows.get(CLEAN, 0), quarantine_rows=quarantined)
-    tables.append_run_metrics(metrics, f"{output}/run_metrics")
-    return "success"
+        spark, status=status, input_rows=quarantined + rows.get(CLEAN, 0),
+        fact_rows=rows.get(CLEAN, 0), quarantine_rows=quarantined,
+        corrupt_documents=corrupt.count())
+    tables.append_run_metrics(metrics.withColumn("run_id", F.lit(run_id)), f"{output}/run_metrics")
 
 
 def read_entities(spark: SparkSession, inputs: Inputs) -> list[DataFrame]:
-    """Data elements, category combos, reference elements, units and programs,
-    each parsed once: drift, lookups and dimensions all read them."""
+    """Data elements, category combos, reference elements, units and programs:
+    drift, lookups and dimensions all read them."""
     elements, combos = documents.ingest_metadata(spark, inputs.metadata, inputs.lines)
     entities = {
         "elements": elements,
@@ -194,9 +213,7 @@ def read_entities(spark: SparkSession, inputs: Inputs) -> list[DataFrame]:
         "org_units": documents.ingest_org_units(spark, inputs.org_units, inputs.lines),
         "programs": documents.ingest_programs(spark, inputs.programs, inputs.lines),
     }
-    with ThreadPoolExecutor(len(entities)) as pool:
-        return list(pool.map(
-            lambda name: tables.materialize(entities[name], name), entities))
+    return tables.side_by_side(lambda name: tables.materialize(entities[name], name), list(entities))
 
 
 def pending_values(spark: SparkSession, values: DataFrame, fact_path: str,

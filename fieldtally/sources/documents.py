@@ -5,6 +5,8 @@ printed document is one parse task whatever its size; exports meant for large
 clusters should come as many documents or, with ``lines=True``, one per line.
 """
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -14,6 +16,7 @@ from fieldtally.constants import (
 )
 from fieldtally.functions.columns import standardize_names
 from fieldtally.functions.periods import standardize_timestamps, with_period_dates
+from fieldtally.sources.tables import materialize
 
 CORRUPT = "_corrupt_record"
 
@@ -43,6 +46,26 @@ def corrupt_documents(documents: DataFrame) -> DataFrame:
     ).filter(F.col(CORRUPT).isNotNull())
 
 
+class Parsed(NamedTuple):
+    rows: DataFrame
+    corrupt: DataFrame
+
+
+def parse(spark: SparkSession, path: str, schema: str, payload: str, lines: bool = False) -> Parsed:
+    """One parse, written: the elements of a payload array, and source_file and
+    corrupt_record of the documents that could not be read in full."""
+    found = read_documents(spark, path, schema, lines, keep_corrupt=True)
+    items = found.select(F.input_file_name().alias("source_file"), CORRUPT,
+                         F.posexplode_outer(payload).alias("position", "item"))
+    first = F.coalesce("position", F.lit(0)) == 0
+    staged = materialize(items.select(
+        F.when(F.col(CORRUPT).isNotNull() & first, F.col("source_file")).alias("source_file"),
+        F.when(first, F.col(CORRUPT)).alias("corrupt_record"), "position", "item",
+    ).filter("position is not null or corrupt_record is not null"), payload)
+    return Parsed(staged.filter("position is not null").select("item.*"),
+                  staged.filter("corrupt_record is not null").select("source_file", "corrupt_record"))
+
+
 def flatten(documents: DataFrame, payload: str) -> DataFrame:
     """One row per element of an array of structs; a NULL or empty array gives
     no rows."""
@@ -52,7 +75,7 @@ def flatten(documents: DataFrame, payload: str) -> DataFrame:
 def require_rows(df: DataFrame, label: str) -> DataFrame:
     """Pass the frame on, or raise ``ValueError`` when it holds no rows."""
     if df.isEmpty():
-        raise ValueError(f"{label} is empty")
+        raise ValueError(f"No rows in {label}")
     return df
 
 
@@ -64,16 +87,17 @@ def standardize_entity(df: DataFrame) -> DataFrame:
 def ingest(spark: SparkSession, path: str, schema: str, payload: str,
            lines: bool = False) -> DataFrame:
     """Read, flatten and standardise one payload array, which must hold rows."""
-    documents = read_documents(spark, path, schema, lines)
-    rows = require_rows(flatten(documents, payload), f"{path} {payload}")
+    rows = require_rows(parse(spark, path, schema, payload, lines).rows, f"{path} {payload}")
     return standardize_entity(rows)
 
 
 def ingest_metadata(spark: SparkSession, path: str,
                     lines: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(data elements, category option combos)."""
-    return (ingest(spark, path, METADATA_SCHEMA, "dataElements", lines),
-            ingest(spark, path, METADATA_SCHEMA, "categoryOptionCombos", lines))
+    """(data elements, category option combos), from one parse."""
+    found = materialize(read_documents(spark, path, METADATA_SCHEMA, lines).select(
+        "dataElements", "categoryOptionCombos"), "metadata")
+    return tuple(standardize_entity(require_rows(flatten(found, payload), f"{path} {payload}"))
+                 for payload in found.columns)
 
 
 def ingest_reference_metadata(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -89,6 +113,13 @@ def ingest_programs(spark: SparkSession, path: str, lines: bool = False) -> Data
     return ingest(spark, path, PROGRAMS_SCHEMA, "programs", lines)
 
 
+def parse_data_values(spark: SparkSession, path: str, lines: bool = False) -> Parsed:
+    """Reported values with their period columns, and unreadable documents; an
+    export without values passes."""
+    found = parse(spark, path, DATA_VALUES_SCHEMA, "dataValues", lines)
+    return found._replace(rows=with_period_dates(standardize_entity(found.rows)))
+
+
 def ingest_data_values(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Reported values with their period columns."""
-    return with_period_dates(ingest(spark, path, DATA_VALUES_SCHEMA, "dataValues", lines))
+    """Reported values with their period columns; there must be some."""
+    return require_rows(parse_data_values(spark, path, lines).rows, f"{path} dataValues")

@@ -3,6 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fieldtally.constants import FACT_PARTITION
 from fieldtally.operators.lookup import small_enough
@@ -13,12 +14,15 @@ def read_fact(spark: SparkSession, path: str, partition: str = FACT_PARTITION) -
     """The published fact with its partition column as text; None before the
     first run."""
     try:
-        fact = spark.read.parquet(path)
+        found = spark.read.parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return fact.withColumn(partition, F.col(partition).cast("string"))
+    # a stated type keeps partition values as they are written, leading zeros too
+    stated = StructType([StructField(field.name, StringType()) if field.name == partition else field
+                         for field in found.fields])
+    return spark.read.schema(stated).parquet(path)
 
 
 def loaded_periods(spark: SparkSession, path: str, partition: str = FACT_PARTITION) -> DataFrame:
@@ -31,14 +35,14 @@ def loaded_periods(spark: SparkSession, path: str, partition: str = FACT_PARTITI
 
 def new_periods(df: DataFrame, loaded: DataFrame, partition: str = FACT_PARTITION,
                 keep_null: bool = False) -> DataFrame:
-    """Rows of periods not loaded yet; all rows when nothing is loaded. Rows
-    without a period are dropped unless ``keep_null``."""
+    """Rows of periods not loaded yet. Rows without a period stay if
+    ``keep_null`` and go otherwise, whether or not anything is loaded."""
     written, rows, size = materialize_measured(loaded, "periods")
+    dated = df if keep_null else df.filter(F.col(partition).isNotNull())
     if rows == 0:
-        return df
+        return dated
     known = F.broadcast(written) if small_enough(rows, size) else written
-    fresh = df.join(known, partition, "left_anti").select(*df.columns)
-    return fresh if keep_null else fresh.filter(F.col(partition).isNotNull())
+    return dated.join(known, partition, "left_anti").select(*df.columns)
 
 
 def changed_periods(df: DataFrame, fact: DataFrame, partition: str = FACT_PARTITION) -> DataFrame:
@@ -48,5 +52,14 @@ def changed_periods(df: DataFrame, fact: DataFrame, partition: str = FACT_PARTIT
     return incoming.join(stored, partition).filter("incoming > stored").select(partition)
 
 
+def keep_unsent(fact: DataFrame, stored: DataFrame, grain: list[str],
+                partition: str = FACT_PARTITION) -> DataFrame:
+    """``fact`` with the stored rows of its periods whose grain it does not
+    bring, so that overwriting a reopened period loses none of them."""
+    periods = fact.select(partition).distinct()
+    kept = stored.join(periods, partition, "left_semi").join(fact.select(*grain), grain, "left_anti")
+    return fact.unionByName(kept.select(*fact.columns))
+
+
 def load_required(df: DataFrame) -> bool:
     return not df.isEmpty()

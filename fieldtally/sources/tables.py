@@ -1,7 +1,10 @@
 """Write and read back tables."""
 
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -9,22 +12,53 @@ from pyspark.sql import functions as F
 from fieldtally.constants import FACT_PARTITION
 from fieldtally.functions.columns import require_columns
 
+run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder every executor can reach: ``spark.checkpoint.dir``. Only a
-    local session without the setting falls back to a temporary folder."""
+    """A folder every executor can reach: ``spark.checkpoint.dir``, or the
+    warehouse where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="fieldtally-")
-    raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """(file system, path) of a path in any store Spark reaches."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path nothing else uses, grouped by application for later clean-up."""
+    """A path nothing else uses, below the folder of the run if there is one;
+    it goes with the run, or when the application ends."""
+    app = spark.sparkContext.applicationId
+    folder = run_folder.get() or f"{shared_folder(spark)}/fieldtally-{app}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    if not run_folder.get():
+        system, target = hadoop_path(spark, path)
+        system.deleteOnExit(target)
+    return path
+
+
+@contextmanager
+def run_staging(spark: SparkSession) -> Iterator[str]:
+    """Staged tables made inside are deleted at the end, on failure too."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/fieldtally-{app}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/fieldtally-{app}/run-{uuid.uuid4().hex}"
+    token = run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        run_folder.reset(token)
+        system, target = hadoop_path(spark, folder)
+        system.delete(target, True)
+
+
+def side_by_side(work: Callable, items: list) -> list:
+    """Run independent small jobs at the same time, in the same run."""
+    with ThreadPoolExecutor(max(1, len(items))) as pool:
+        return [job.result() for job in [
+            pool.submit(copy_context().run, work, item) for item in items]]
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -63,10 +97,11 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
 
 
 def materialize_measured(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
-    """Materialize and return (table, rows, bytes of its rows as text), both
-    counted while the table is written."""
+    """Materialize and return (table, rows, bytes): text counts its length,
+    every other cell eight. Both are counted while the table is written."""
     size = Observation(name)
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    width = sum((F.coalesce(F.octet_length(column), F.lit(0)) if kind == "string" else F.lit(8)
+                 for column, kind in df.dtypes), F.lit(0))
     written = materialize(df.observe(
         size, F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(width), F.lit(0)).alias("bytes")), name)

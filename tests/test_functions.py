@@ -17,7 +17,7 @@ def test_standard_names_and_clashes(spark):
 def test_existing_and_required_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert columns.select_existing(df, ["b", "c", "a"]).columns == ["b", "a"]
-    with pytest.raises(ValueError, match=r"t is missing required columns: \['c'\]"):
+    with pytest.raises(ValueError, match=r"t lacks \['c'\]"):
         columns.require_columns(df, ["a", "c"], "t")
 
 

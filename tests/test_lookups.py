@@ -42,7 +42,7 @@ def test_only_measured_lookups_broadcast(spark, values, table):
 
         assert "BroadcastHashJoin" in plan()
         assert "SortMergeJoin" in plan(max_rows=2)
-        assert "SortMergeJoin" in plan(max_bytes=20)
+        assert "SortMergeJoin" in plan(max_bytes=10)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -1,6 +1,7 @@
 """Sources, sinks and the whole job over literal documents."""
 
 import json
+import os
 from collections import Counter
 from datetime import datetime
 
@@ -87,7 +88,7 @@ def test_documents_flatten_and_standardise(spark, export):
 
 def test_empty_payload_and_corrupt_documents(spark, export):
     export.values()
-    with pytest.raises(ValueError, match="is empty"):
+    with pytest.raises(ValueError, match="No rows in"):
         documents.ingest_data_values(spark, export.inputs().data_values)
     lines = export.folder / "lines.json"
     good = {"dataValues": [value("1"), value("2")], "unknown": 1}
@@ -120,15 +121,25 @@ def test_materialize_reads_back_only_its_own_rows(spark):
     empty = tables.materialize(spark.createDataFrame([], "a int, p string"), "none", ["p"])
     assert empty.count() == 0
     written, rows, size = tables.materialize_measured(spark.range(4), "measured")
-    assert (written.count(), rows, size) == (4, 4, 4 * len('{"id":0}'))
+    assert (written.count(), rows, size) == (4, 4, 4 * 8)
+    texts = spark.createDataFrame([("é", 1), (None, 2)], "t string, n int")
+    assert tables.materialize_measured(texts, "measured")[1:] == (2, 2 + 2 * 8)
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    if before:
-        assert tables.shared_folder(spark) == before.rstrip("/")
-    else:
-        assert "fieldtally-" in tables.shared_folder(spark)
+    assert tables.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_run_leaves_no_staged_table_behind(spark):
+    with tables.run_staging(spark) as folder:
+        assert tables.materialize(spark.range(3), "mine").count() == 3
+        rows = tables.side_by_side(lambda n: tables.materialize(spark.range(n), "more").count(), [1, 2])
+        assert rows == [1, 2] and len(os.listdir(folder)) == 3
+    assert not os.path.exists(folder)
+    with pytest.raises(ZeroDivisionError), tables.run_staging(spark) as folder:
+        tables.materialize(spark.range(3), "mine")
+        1 / 0
+    assert not os.path.exists(folder) and tables.run_folder.get() is None
 
 
 def test_fact_needs_its_partition_column(spark, tmp_path):
@@ -152,7 +163,9 @@ def test_period_filters(spark, tmp_path):
     df = spark.createDataFrame([("202401", 1), ("202402", 2), (None, 3)], "year_month string, v int")
     assert [r.v for r in incremental.new_periods(df, loaded).collect()] == [2]
     assert sorted(r.v for r in incremental.new_periods(df, loaded, keep_null=True).collect()) == [2, 3]
-    assert incremental.new_periods(df, loaded.filter("false")).count() == 3
+    none = loaded.filter("false")
+    assert incremental.new_periods(df, none).count() == 2
+    assert incremental.new_periods(df, none, keep_null=True).count() == 3
     assert incremental.load_required(df) and not incremental.load_required(df.filter("false"))
 
 
@@ -169,8 +182,10 @@ DIRTY = [
 def test_the_whole_job(spark, export, tmp_path):
     export.values(*DIRTY)
     output = str(tmp_path / "out")
-    assert run_reporting(spark, export.inputs(), output, Options(
-        max_unresolved_rate=0.15, keep_corrupt=True)) == "success"
+    assert run_reporting(spark, export.inputs(), output, Options(max_unresolved_rate=0.15)) == "success"
+    app = f"fieldtally-{spark.sparkContext.applicationId}"
+    held = os.path.join(tables.shared_folder(spark), app)
+    assert not [name for name in os.listdir(held) if name.startswith("run-")]
 
     fact = read(spark, output, "facts/fact_service_delivery")
     assert fact.count() == 3 + 36
@@ -192,7 +207,7 @@ def test_the_whole_job(spark, export, tmp_path):
     metrics = read(spark, output, "run_metrics").first()
     assert (metrics.status, metrics.input_rows, metrics.fact_rows, metrics.quarantine_rows) == (
         "success", len(DIRTY), 39, 9)
-    assert read(spark, output, "corrupt_documents").count() == 0
+    assert metrics.corrupt_documents == 0
     drift = read(spark, output, "metadata_drift/summary").first()
     assert tuple(drift) == (1, 1, 1)
     assert read(spark, output, "dimensions/dim_period").count() == 14
@@ -200,7 +215,12 @@ def test_the_whole_job(spark, export, tmp_path):
     assert read(spark, output, "dimensions/dim_program").columns == list(C.DIM_PROGRAM.values())
     totals = read(spark, output, "analytics/quarterly_global_totals")
     assert totals.filter("year = 2024 and data_element_name = 'Cases'").first().quarterly_total == 20.0
+    # values without a readable period are accounted for on every load
     assert run_reporting(spark, export.inputs(), output) == "no_new_periods"
+    later = read(spark, output, "quarantine")
+    assert later.count() == 9 + 2 and later.select("run_id").distinct().count() == 2
+    again = read(spark, output, "run_metrics").filter("status = 'no_new_periods'").first()
+    assert (again.input_rows, again.fact_rows, again.quarantine_rows) == (2, 0, 2)
 
 
 def test_only_new_periods_load_and_reopening_is_a_choice(spark, export, tmp_path):
@@ -224,11 +244,56 @@ def test_only_new_periods_load_and_reopening_is_a_choice(spark, export, tmp_path
         "202401": None, "202402": 1.0, "202403": 1.0}
     assert run(refresh_changed=True) == "success"
     assert amounts() == {"202401": 9.0, "202402": 2.0, "202403": 3.0}
-    assert read(spark, output, "run_metrics").count() == 3
+    statuses = Counter(r.status for r in read(spark, output, "run_metrics").collect())
+    assert statuses == {"success": 3, "no_new_periods": 1}
+    assert read(spark, output, "quarantine").count() == 0
     assert run(incremental=False) == "success"
     assert amounts()["202401"] == 9.0
 
 
+def test_a_reopened_month_keeps_what_the_export_does_not_bring(spark, export, tmp_path):
+    output = str(tmp_path / "out")
+    sent = [value("1"), value("true", element="DE2"), value("3", unit="C")]
+    export.values(*sent, value("4", period="202402"))
+    assert run_reporting(spark, export.inputs(), output) == "success"
+    export.values(value("9", updated="2024-04-01"), value("5", unit="D", updated="2024-04-01"))
+    assert run_reporting(spark, export.inputs(), output, Options(refresh_changed=True)) == "success"
+    fact = read(spark, output, "facts/fact_service_delivery").collect()
+    assert sorted((str(r.year_month), r.data_element_id, r.org_unit_id, r.value) for r in fact) == [
+        ("202401", "DE1", "C", "3"), ("202401", "DE1", "D", "5"), ("202401", "DE1", "F", "9"),
+        ("202401", "DE2", "F", "true"), ("202402", "DE1", "F", "4")]
+
+
+def test_corrupt_documents_are_quarantined(spark, export, tmp_path):
+    output = str(tmp_path / "out")
+    lines = export.folder / "lines.json"
+    lines.write_text(json.dumps({"dataValues": [value("1"), value("2", unit="C")]}) + "\n{broken\n"
+                     + json.dumps({"dataValues": []}) + "\n")
+    for name in ("metadata", "reference", "org_units", "programs"):
+        path = export.folder / f"{name}.json"
+        path.write_text(json.dumps(json.loads(path.read_text())))
+    names = ["metadata", "reference", "org_units", "programs", "lines"]
+    inputs = Inputs(*[str(export.folder / f"{name}.json") for name in names], lines=True)
+    assert run_reporting(spark, inputs, output) == "success"
+    row = read(spark, output, "quarantine").first()
+    assert (row.reason, row.corrupt_record) == ("corrupt_document", "{broken")
+    assert row.source_file.endswith("lines.json")
+    assert read(spark, output, "run_metrics").first().corrupt_documents == 1
+    lines.write_text("{broken\n")
+    with pytest.raises(ValueError, match="No rows in"):
+        run_reporting(spark, inputs, output)
+    assert read(spark, output, "quarantine").count() == 2
+
+
+def test_periods_keep_leading_zeros(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    tables.write_fact(spark.createDataFrame([("000101", 1)], "year_month string, v int"), path)
+    loaded = incremental.loaded_periods(spark, path)
+    assert [r.year_month for r in loaded.collect()] == ["000101"]
+    again = spark.createDataFrame([("000101", 2)], "year_month string, v int")
+    assert incremental.new_periods(again, loaded).count() == 0
+
+
 def test_a_failed_gate_or_contract_publishes_no_fact(spark, export, tmp_path):
     output = str(tmp_path / "out")
     export.values(value("1"), value("2", element="GHOST"))
