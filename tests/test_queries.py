@@ -8,9 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload.oracle import statements
+from workload.queries import registered
 
 SF_DIR = Path("/root/testdata/sf0.001")
-QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
+QUERIES, STATEMENTS = registered(), statements()
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
          "boolean": "BOOLEAN"}
 
@@ -31,6 +33,7 @@ def plain(cell):
 
 def test_each_query_has_a_counterpart():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(entry.queries()) and set(STATEMENTS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -9,13 +9,15 @@ STAMP = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def element(df: DataFrame, fields: dict[str, str]):
-    """A struct with document field names, timestamps as text."""
+    """A struct with document field names, of the columns there are; timestamps
+    as text."""
     def field(source: str):
         if df.schema[source].dataType.typeName().startswith("timestamp"):
             return F.date_format(source, STAMP)
         return F.col(source)
 
-    return F.struct(*[field(source).alias(name) for name, source in fields.items()])
+    return F.struct(*[field(source).alias(name) for name, source in fields.items()
+                      if source in df.columns])
 
 
 def write_documents(documents: DataFrame, name: str) -> str:
@@ -69,8 +71,14 @@ def entity_documents(df: DataFrame, payload: str, fields: dict[str, str]) -> str
 
 
 def value_documents(sent: DataFrame) -> str:
-    """A value sent twice appears twice in its document."""
-    documents = sent.select(
-        F.lit("dataValueSet").alias("responseType"),
-        F.array_repeat(element(sent, DATA_VALUE), F.col("sent")).alias("dataValues"))
-    return write_documents(documents, "dataValues")
+    """One document per unit and period with all its values; a value sent twice
+    appears twice. One document has no array and one an empty array."""
+    copies = F.array_repeat(element(sent, DATA_VALUE), F.col("sent"))
+    documents = sent.groupBy("orgunit", "period").agg(
+        F.flatten(F.collect_list(copies)).alias("dataValues"))
+    bare = documents.limit(1)
+    documents = documents.select("dataValues").union(
+        bare.select(F.filter("dataValues", lambda value: F.lit(False)))).union(
+        bare.select(F.when(F.lit(False), F.col("dataValues"))))
+    return write_documents(
+        documents.select(F.lit("dataValueSet").alias("responseType"), "dataValues"), "dataValues")

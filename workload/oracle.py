@@ -403,11 +403,15 @@ STATEMENTS = {
             reportingfrequency, created, lastupdated from fx_program""",
     "dim_period": f"select distinct {PERIOD} from fx_clean",
     "contract_schema": """
-        select 'required_columns' as rule, 'country_name' as column_name,
-            'column is absent' as detail, cast(null as bigint) as violating_rows
-        union all
-        select 'column_types', 'numeric_value',
-            'expected double but found decimal(18,4)', null""",
+        with held as (select column_name, lower(column_type) as found from (describe orders)),
+        wanted(column_name, type, known) as (values ('o_orderkey', 'string', 'varchar'),
+            ('o_orderstatus', 'string', 'varchar'), ('o_approved', 'boolean', 'boolean'))
+        select case when found is null then 'required_columns' else 'column_types' end as rule,
+            column_name, case when found is null then 'column is absent'
+                else concat('expected ', type, ' but found ', found) end as detail,
+            cast(null as bigint) as violating_rows
+        from wanted left join held using (column_name)
+        where found is null or found <> known""",
     "contract_nullability": f"({NULL_NUMBER}) union all ({NULL_VALUE})",
     "contract_ranges": RANGE,
     "contract_grain": """
@@ -489,8 +493,24 @@ STATEMENTS = {
     "incremental_existing_partitions": """
         select distinct year_month from fx_fact where year_month < '199801'""",
     "incremental_filter_periods": f"""
-        select {VALUE}, {PERIOD} from fx_dated where year_month not in
-            (select year_month from fx_fact where year_month < '199801')""",
+        select {VALUE}, {PERIOD} from fx_dated d where year_month is not null and not exists
+            (select 1 from (select distinct year_month from fx_fact where year_month < '199801') f
+            where f.year_month = d.year_month)""",
+    "job_two_loads": """
+        select load, outcome, count(*) as row_count from (
+            select period, reason as outcome from fx_reasoned where reason is not null
+            union all
+            select period, case when latest_rank = 1 then 'fact' else 'superseded_records' end
+            from fx_ranked
+            union all
+            select period, 'exact_duplicates' from (select * from fx_reasoned where reason is null
+                except all select distinct * from fx_reasoned where reason is null))
+        cross join lateral (select case when period < '199801' then 'first' else 'second' end as load)
+        group by all""",
+    "job_reopened_month": """
+        select data_element_id, org_unit_id, category_option_combo_id, year_month,
+            case when year_month = '199706' and regexp_matches(org_unit_id, '[02468]$')
+                then '7' else value end as value from fx_fact""",
     "incremental_required": """
         select 'second' as load,
             (select count(*) from fx_fact where year_month >= '199801') > 0 as required

@@ -13,6 +13,7 @@ from fieldtally.plans import reporting
 from fieldtally.sources import documents, incremental, tables
 from workload import documents as docs
 from workload import fixtures as fx
+from workload import jobs
 
 EARLY = "199801"
 REGISTRY = {
@@ -328,10 +329,11 @@ def over_silenced(mart):
 # ---- contract
 
 def contract_schema(spark, sf_dir):
-    """The fact against the contract without one column and with another typed."""
-    rows = fact(spark, sf_dir).drop("country_name").withColumn(
-        "numeric_value", F.col("numeric_value").cast("decimal(18,4)"))
-    return contract.schema_violations(rows, C.FACT_CONTRACT)
+    """The schema of a given table against a contract it breaks twice."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return contract.schema_violations(orders, {"table_name": "orders", "columns": [
+        {"name": "o_orderkey", "type": "string"}, {"name": "o_orderstatus", "type": "string"},
+        {"name": "o_approved", "type": "boolean"}]})
 
 
 def nullable_contract(**limits):
@@ -564,6 +566,7 @@ REGISTERED = {
         incremental_existing_partitions, incremental_filter_periods, incremental_required,
         incremental_changed_periods, sink_parquet_dynamic_overwrite, sink_csv_roundtrip,
         sink_fact_partitioned, sink_named_tables, materialize_roundtrip,
+        jobs.job_two_loads, jobs.job_reopened_month,
     ]
 } | {
     "monthly_mom_change": over_fact(marts.monthly_mom_change),
