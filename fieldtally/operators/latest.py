@@ -5,7 +5,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1e-4
+HOT_SHARE = 1e-3
 HOT_ROWS = 10_000
 
 
@@ -35,7 +35,7 @@ def key_hash(keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, least: int = HOT_ROWS,
-             tracked: int = 65_536) -> list[int]:
+             tracked: int = 16_384) -> list[int]:
     """Hashes of the keys with more than ``share`` of the rows and ``least`` rows.
 
     A frequent-items sketch per group of input partitions, then one sketch over
@@ -85,8 +85,8 @@ def with_hot_winner(df: DataFrame, keys: list[str], order: list[str],
                     hot: list[int]) -> DataFrame:
     """Attach the largest ordering of its key to each row of a hot key.
 
-    The winners are one row per hot key, so they are always small enough to
-    broadcast."""
+    The winners are one row per hot key, at most 1 / ``HOT_SHARE`` of them, so
+    they are always few enough to broadcast."""
     rows = df.withColumn("key_hash", key_hash(keys))
     winners = rows.filter(F.col("key_hash").isin(hot)).groupBy(
         *[F.col(name).alias(f"hot_{name}") for name in keys]

@@ -1,13 +1,26 @@
-"""Reporting marts over the fact table."""
+"""Reporting marts over the fact table, or over a fact folded to fewer rows."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldtally.functions.rates import share_true
+from fieldtally.functions.rates import rate, share_true
+from fieldtally.sources.tables import materialize
 
 SERIES = ["country_name", "data_element_name"]
 
 
+def reported_counts() -> list[Column]:
+    return [F.count_if(F.col("has_reported_value")).alias("reported_rows"),
+            F.count(F.lit(1)).alias("folded_rows")]
+
+
+def reported_share(df: DataFrame) -> Column:
+    """Share of the rows that reported, of a fact or of a folded fact."""
+    if "folded_rows" in df.columns:
+        return rate(F.sum("reported_rows"), F.sum("folded_rows"))
+    return share_true("has_reported_value")
+
+
 def monthly_totals(fact: DataFrame) -> DataFrame:
     """Sum of numeric values per country, data element and month."""
     return fact.groupBy(*SERIES, "year_month").agg(
@@ -65,7 +78,7 @@ def country_reporting_rate(fact: DataFrame, facility: str = "facility_name") ->
 def underreporting_facilities(fact: DataFrame, threshold: float = 0.50,
                               facility: str = "facility_name") -> DataFrame:
     return fact.groupBy("country_name", facility).agg(
-        share_true("has_reported_value").alias("reporting_score")
+        reported_share(fact).alias("reporting_score")
     ).filter(F.col("reporting_score") < threshold)
 
 
@@ -76,27 +89,43 @@ def quarterly_global_totals(fact: DataFrame) -> DataFrame:
 
 def completeness_comparison(fact: DataFrame) -> DataFrame:
     return fact.groupBy("country_name").agg(
-        share_true("has_reported_value").alias("completeness_score"))
+        reported_share(fact).alias("completeness_score"))
 
 
 def indicator_coverage_matrix(fact: DataFrame) -> DataFrame:
     """Coverage per country and indicator, in long form."""
     return fact.groupBy(*SERIES).agg(
-        share_true("has_reported_value").alias("coverage_score"))
+        reported_share(fact).alias("coverage_score"))
 
 
 def low_completeness_countries(fact: DataFrame, threshold: float = 0.70) -> DataFrame:
     return completeness_comparison(fact).filter(F.col("completeness_score") < threshold)
 
 
+def fold_series(fact: DataFrame) -> DataFrame:
+    """Sums and row counts per country, indicator and month; averages come from
+    the counts, never from averages."""
+    return fact.groupBy(*SERIES, "year", "quarter", "year_month").agg(
+        F.sum("numeric_value").alias("numeric_value"), *reported_counts())
+
+
+def fold_facilities(fact: DataFrame, facility: str = "facility_name") -> DataFrame:
+    """Whether each facility reported in a month, and row counts."""
+    return fact.groupBy("country_name", "year_month", facility).agg(
+        F.max("has_reported_value").alias("has_reported_value"), *reported_counts())
+
+
 def all_marts(fact: DataFrame) -> dict[str, DataFrame]:
+    """The eight marts from two scans of the fact."""
+    series = materialize(fold_series(fact), "series")
+    facilities = materialize(fold_facilities(fact), "facilities")
     return {
-        "monthly_mom_change": monthly_mom_change(fact),
-        "rolling_3month_avg": rolling_3month_avg(fact),
-        "country_reporting_rate": country_reporting_rate(fact),
-        "underreporting_facilities": underreporting_facilities(fact),
-        "quarterly_global_totals": quarterly_global_totals(fact),
-        "completeness_comparison": completeness_comparison(fact),
-        "indicator_coverage_matrix": indicator_coverage_matrix(fact),
-        "low_completeness_countries": low_completeness_countries(fact),
+        "monthly_mom_change": monthly_mom_change(series),
+        "rolling_3month_avg": rolling_3month_avg(series),
+        "country_reporting_rate": country_reporting_rate(facilities),
+        "underreporting_facilities": underreporting_facilities(facilities),
+        "quarterly_global_totals": quarterly_global_totals(series),
+        "completeness_comparison": completeness_comparison(series),
+        "indicator_coverage_matrix": indicator_coverage_matrix(series),
+        "low_completeness_countries": low_completeness_countries(series),
     }

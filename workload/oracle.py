@@ -594,6 +594,22 @@ STATEMENTS = {
 }
 
 
+STATEMENTS["near_dup_hot_events"] = """
+    select event_type, event_id, cast(ts as varchar) as ts from (select *, row_number() over (
+        partition by event_type order by ts desc nulls last, event_id desc) as latest_rank
+    from events) where latest_rank = 1"""
+STATEMENTS["sink_marts"] = " union all ".join(
+    f"select '{mart}' as mart, {key} as key, {score} as score from ({STATEMENTS[name]})"
+    for mart, name, key, score in [
+        ("completeness_comparison", "completeness_comparison", "country_name", "completeness_score"),
+        ("indicator_coverage_matrix", "coverage_matrix",
+         "concat(country_name, '|', data_element_name)", "coverage_score"),
+        ("underreporting_facilities", "underreporting_facilities",
+         "concat(country_name, '|', facility_name)", "reporting_score"),
+        ("country_reporting_rate", "country_reporting_rate",
+         "concat(country_name, '|', year_month)", "reporting_rate")])
+
+
 def needed(sql: str) -> list[str]:
     """Inputs a statement refers to, directly or through others, in order."""
     names, text = set(), [sql]

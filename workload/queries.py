@@ -7,7 +7,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 from fieldtally import constants as C
 from fieldtally.functions import casts, columns, periods
 from fieldtally.operators import (
-    contract, dedup, drift, gates, hierarchy, lookup, marts, quality, star,
+    contract, dedup, drift, gates, hierarchy, latest, lookup, marts, quality, star,
 )
 from fieldtally.plans import reporting
 from fieldtally.sources import documents, incremental, tables
@@ -274,6 +274,14 @@ def near_dup_events_superseded(spark, sf_dir):
         daily_events(spark, sf_dir), ["user_id", "event_type", "day"], "ts")[1]
 
 
+def near_dup_hot_events(spark, sf_dir):
+    """Latest event per type, where each type holds much of the table."""
+    events = fx.table(spark, sf_dir, "events")
+    hot = latest.hot_keys(events, ["event_type"], share=0.01, least=10)
+    return latest.mark_latest(events, ["event_type"], ["ts"], hot).filter("is_latest").select(
+        "event_type", "event_id", "ts")
+
+
 def duplicate_rate(spark, sf_dir):
     return quality.duplicate_rate(fx.data_values(spark, sf_dir))
 
@@ -542,6 +550,20 @@ def sink_named_tables(spark, sf_dir):
     return counts[0].union(counts[1]).union(counts[2])
 
 
+def sink_marts(spark, sf_dir):
+    """The shares of four marts as the job writes them."""
+    rows = tables.materialize(silenced_fact(spark, sf_dir), "fact")
+    written = tables.write_tables(marts.all_marts(rows), tables.scratch_path(spark, "analytics"))
+    shares = {"completeness_comparison": (["country_name"], "completeness_score"),
+              "indicator_coverage_matrix": (marts.SERIES, "coverage_score"),
+              "underreporting_facilities": (["country_name", "facility_name"], "reporting_score"),
+              "country_reporting_rate": (["country_name", "year_month"], "reporting_rate")}
+    parts = [written[name].select(F.lit(name).alias("mart"), F.concat_ws("|", *keys).alias("key"),
+                                  F.col(score).alias("score"))
+             for name, (keys, score) in shares.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 def materialize_roundtrip(spark, sf_dir):
     rows = fact(spark, sf_dir).select(*SINK_COLUMNS)
     return tables.materialize(rows, "roundtrip", ["year_month"])
@@ -566,7 +588,7 @@ REGISTERED = {
         incremental_existing_partitions, incremental_filter_periods, incremental_required,
         incremental_changed_periods, sink_parquet_dynamic_overwrite, sink_csv_roundtrip,
         sink_fact_partitioned, sink_named_tables, materialize_roundtrip,
-        jobs.job_two_loads, jobs.job_reopened_month,
+        jobs.job_two_loads, jobs.job_reopened_month, near_dup_hot_events, sink_marts,
     ]
 } | {
     "monthly_mom_change": over_fact(marts.monthly_mom_change),
