@@ -333,8 +333,8 @@ def compare_blocks(members: DataFrame, vecs: DataFrame, threshold: float) -> Dat
 
 
 def block_similarity(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Weighted Jaccard of all pairs of a block, by products over the shingles
-    that at least two sets hold. A shingle's weights are cut into levels, so
+    """Weighted Jaccard of all pairs of different sets of a block, by products
+    over the shingles that at least two sets hold. A shingle's weights are cut into levels, so
     that the smaller of two weights is the sum of the levels both reach."""
     total = np.array([w.sum(dtype=float) for _, w in sets])
     owner = np.repeat(np.arange(len(sets)), [len(h) for h, _ in sets])

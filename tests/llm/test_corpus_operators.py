@@ -159,6 +159,31 @@ def test_near_copies_like_every_pair(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
 
 
+def test_block_similarity_is_that_of_pairs(monkeypatch):
+    monkeypatch.setattr(near_copies, "LEVELS", 7)
+    rng, idf = random.Random(6), np.linspace(1, 1.25, near_copies.BUCKETS).astype(np.float32)
+    words = [f"v{rng.randrange(40)}" for _ in range(80)]
+    texts = [*variants(rng, words, 12, (0, 30)), "a b c d e " * 30, "a b c d e " * 3, "lone words"]
+    sets = [(h, near_copies.weights(h, c, idf)) for h, c in map(near_copies.shingles, texts)]
+    found = near_copies.block_similarity(sets)
+    expected = np.array([[near_copies.similarity(a, b) for b in sets] for a in sets])
+    apart = ~np.eye(len(sets), dtype=bool)
+    assert np.allclose(found[apart], expected[apart], atol=1e-6) and expected[apart].max() > 0.3
+
+
+def test_hot_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """Near copies around the threshold: many components share each bucket."""
+    monkeypatch.setattr(near_copies, "BLOCK", 8)
+    rng = random.Random(7)
+    words = [f"v{k}" for k in range(150)]
+    rows = list(enumerate(variants(rng, words, 70, (2, 6))))
+    docs = documents(spark, rows)
+    idf = near_copies.inverse_frequency(*near_copies.document_frequency(docs))
+    expected = plain_classes(rows, idf)
+    assert 1 < len(set(expected.values())) < len(rows)
+    assert {r.doc_id: r.class_id for r in near_copies.classify(docs).collect()} == expected
+
+
 def test_samples_meet_in_proportion_to_similarity():
     rng, idf = random.Random(8), np.ones(near_copies.BUCKETS, np.float32)
     words = [f"w{k}" for k in range(3000)]
