@@ -3,12 +3,13 @@
 Units are words and word beginnings. A unit's score is its log-odds between
 toxic and clean training documents under a Dirichlet prior (a flat part plus
 its share of all counts); units whose association could be chance among so many
-are left out. A text is a sequence of word scores less a small drift, where
-repeats of a word fade; one linear scan finds all disjoint maximal segments. The best segment of clean text
-follows an extreme-value law in the text's length, fitted on documents that
-gave no units, so each segment has a p-value whatever the length. The
-significant segments are the toxic passages; their normalised scores add up,
-and a logistic curve over the sum gives the score.
+are left out. A text is a sequence of word scores less a small drift; one
+linear scan finds all disjoint maximal segments. A word scores the same wherever
+and however often it stands. The best segment of clean text follows an
+extreme-value law in the text's length, fitted on documents that gave no units,
+so each segment has a p-value whatever the length. The significant segments are
+the toxic passages; their normalised scores add up, and a logistic curve over
+the sum gives the score.
 
 Only texts and labels of training rows enter; near copies among them count
 once. At most about ``sample`` labelled rows are used, chosen by a hash of
@@ -108,12 +109,6 @@ class ToxicModel:
         scores = [known(chunk) for chunk in chunks]
         scores = np.array([self._chunk(chunk) if score is None else score
                            for chunk, score in zip(chunks, scores)])
-        # Evidence is counted per document, so a word said k times before adds
-        # little: its score is divided by (k + 1) squared.
-        said: dict[str, int] = {}
-        for at in np.flatnonzero(scores > 0).tolist():
-            said[chunks[at]] = times = said.get(chunks[at], 0) + 1
-            scores[at] = (scores[at] + DRIFT) / times ** 2 - DRIFT
         return len(chunks), maximal_segments(scores)
 
     def normalised(self, score: float, length: int) -> float:

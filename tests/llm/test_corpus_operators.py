@@ -1,5 +1,6 @@
 """Toxicity, near copies, personal data, mixing, and the pipeline."""
 
+import dataclasses
 import hashlib
 import random
 import re
@@ -88,6 +89,26 @@ def test_held_out_accuracy_and_passages(toxic_corpus, toxic_model):
                         for r in hits for p in r.passages)
 
 
+def test_earlier_words_take_nothing_from_a_passage(toxic_model):
+    rng, passage = random.Random(9), ["vile1", "vile2", "vile3"]
+    model = dataclasses.replace(toxic_model, known={})
+    plain = [f"w{rng.randrange(3000)}" for _ in range(6000)]
+
+    def found(*places):
+        words = plain[:]
+        for at, put in places:
+            words[at:at + len(put)] = put
+        return {(a, b): x for a, b, x, _ in model.passages(" ".join(words))}
+
+    alone = found((5000, passage))
+    assert alone.keys() == {(5000, 5003)}
+    twice = found((1000, passage), (5000, passage))
+    assert twice.keys() == {(1000, 1003), (5000, 5003)}
+    assert twice[1000, 1003] == pytest.approx(alone[5000, 5003]) == pytest.approx(twice[5000, 5003])
+    mentions = [(300 * k, [word]) for k, word in enumerate(passage * 4, 1)]
+    assert found(*mentions, (5000, passage))[5000, 5003] == pytest.approx(alone[5000, 5003])
+
+
 def test_labels_of_held_out_rows_are_not_used(toxic_corpus, toxic_model):
     docs, labels = toxic_corpus
     other = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
