@@ -40,7 +40,7 @@ BEGINNINGS = (3, 4, 5, 6)
 DRIFT = 0.05
 FLAT_PRIOR, SHARE_PRIOR = 0.5, 10.0
 SIGNIFICANT = 0.01
-CACHED_WORDS = 500_000
+CACHED_WORDS, CACHED_LENGTH = 500_000, 64
 WORD = re.compile(r"\w+")
 RESULTS = ["held_out", "score", "predicted", "n_passages", "passages"]
 
@@ -98,9 +98,10 @@ class ToxicModel:
 
     def _chunk(self, chunk: str) -> float:
         found = sum(self.word(word) for word in WORD.findall(chunk)) - DRIFT
-        if len(self.known) >= CACHED_WORDS:
-            self.known.clear()
-        self.known[chunk[:64]] = found
+        if len(chunk) <= CACHED_LENGTH:
+            if len(self.known) >= CACHED_WORDS:
+                self.known.clear()
+            self.known[chunk] = found
         return found
 
     def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:

@@ -109,6 +109,15 @@ def test_earlier_words_take_nothing_from_a_passage(toxic_model):
     assert found(*mentions, (5000, passage))[5000, 5003] == pytest.approx(alone[5000, 5003])
 
 
+def test_scores_do_not_depend_on_earlier_texts(toxic_model):
+    start = ("w1-" * 30)[:64]
+    fresh = dataclasses.replace(toxic_model, known={}).segments(start)
+    model = dataclasses.replace(toxic_model, known={})
+    long = [model.segments(start + "-vile1") for _ in range(2)]
+    assert long[0] == long[1] != fresh
+    assert model.segments(start) == fresh
+
+
 def test_labels_of_held_out_rows_are_not_used(toxic_corpus, toxic_model):
     docs, labels = toxic_corpus
     other = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
