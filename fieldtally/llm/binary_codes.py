@@ -69,7 +69,7 @@ class Codes:
         bits = self.tables * width
         self.radius = int(bits * flip + 6 * math.sqrt(bits * flip * (1 - flip))) + 1
         centred = sample - self.mean
-        axes = np.linalg.svd(centred.T @ centred)[0][:, :64]
+        axes = np.linalg.svd(centred.T @ centred)[0]
         random = np.random.default_rng(seed)
         turns = []
         while sum(t.shape[1] for t in turns) < bits:

@@ -92,6 +92,22 @@ def test_codes_are_balanced_and_near():
     assert linked.mean() > 0.9 and met[linked].mean() >= 0.999
 
 
+@pytest.mark.parametrize("dims", [256, 384])
+def test_small_groups_off_the_main_axes_are_found(spark, dims):
+    rng, rows = np.random.default_rng(12), []
+    scale = np.where(np.arange(dims) < 64, 1.0, 0.002)
+    for i in range(1000):
+        rows.append((i, (scale * rng.normal(size=dims)).tolist(), 1))
+    for group in range(8):
+        centre = scale[::-1] * rng.normal(size=dims)
+        for k in range(6):
+            shift = 0.12 * np.linalg.norm(centre) / np.sqrt(dims)
+            rows.append((2000 + 10 * group + k, (centre + shift * rng.normal(size=dims)).tolist(), 1))
+    expected = plain_links(rows)
+    assert sum(links for _, links, _, _ in expected) > 100
+    assert found_links(vectors(spark, rows)) == expected
+
+
 # ---- operator 5
 
 def plain_topk(rows, queries, k=10):
