@@ -190,6 +190,7 @@ RUN = re.compile(r"(.)\1+")
 
 
 WRITTEN_OUT = {"at", "dot"}
+LONG_SHAPE = 80
 
 
 def shape_of(word: str) -> str:
@@ -200,7 +201,7 @@ def shape_of(word: str) -> str:
         return ("=(" if word[0] == "(" else "=") + bare.lower()
     if bare.isalpha():
         return "x"
-    plain = "".join(c if c.isascii() else "x" if c.isalpha() else "?" for c in word[:80])
+    plain = "".join(c if c.isascii() else "x" if c.isalpha() else "?" for c in word)
     return RUN.sub(lambda m: m.group(1) * (min(len(m.group()), 5) if m.group(1) == "d" else 1),
                    plain.translate(SHAPE))
 
@@ -254,16 +255,19 @@ class Crf:
 
     def _reset(self) -> None:
         self.words: dict[str, int] = {}
-        self.shapes: dict[str, int] = {}
+        self.shapes: dict[str | tuple[str, ...], int] = {}
         self.rows: list[np.ndarray] = []
         self._shape("x")
         self._shape("")
         self.table = np.array(self.rows)
 
     def _shape(self, shape: str) -> int:
-        found = self.shapes.get(shape)
+        # Of a long shape the features that score are remembered, not its text.
+        key = shape if len(shape) <= LONG_SHAPE else tuple(
+            f for f in features(shape) if f in self.own or f in self.left or f in self.right)
+        found = self.shapes.get(key)
         if found is None:
-            found = self.shapes[shape] = len(self.rows)
+            found = self.shapes[key] = len(self.rows)
             self.rows.append(np.array([
                 np.sum([part[f] for f in features(shape) if f in part] or [np.zeros(len(LABELS))],
                        axis=0) for part in (self.own, self.left, self.right)]))

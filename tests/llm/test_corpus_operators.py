@@ -279,6 +279,19 @@ def crf(spark):
     return pii.train(pii.labelled_table(spark))
 
 
+def test_shapes_cover_whole_words(crf):
+    start = "key=" + "ab" * 60
+    assert pii.shape_of(start + ":12") == "x=x:dd"
+    ids = crf.shape_ids([[start, start + ";a@b.org:2001", "a1," * 5000, "a1," * 9000]])[1:5]
+    rows = crf.table[ids]
+    for row, shape in zip(rows, ("x=x", "x=x;x@x.x:dddd", "xd," * 5000)):
+        for part, weights in zip((crf.own, crf.left, crf.right), row):
+            known = [part[f] for f in pii.features(shape) if f in part]
+            assert np.allclose(weights, np.sum(known or [np.zeros(len(pii.LABELS))], axis=0))
+    assert not np.allclose(rows[0], rows[1])
+    assert max(len(key) for key in crf.shapes) <= pii.LONG_SHAPE
+
+
 def test_decoding_equals_whole_viterbi(crf):
     rng = random.Random(3)
     words = ("the at dot com example anna (at) 555-0101 (555) 12 2001:db8::1 4111.1111.1111.1111 x@y.z "
