@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.llm import (
-    binary_codes, byte_bpe, licenses, mixing, near_copies, pii, sliced_topk, token_counts, token_files,
-    toxicity,
+    binary_codes, byte_bpe, hard_negatives, licenses, mixing, near_copies, piece_bpe, pii, ranked_search,
+    sliced_topk, statements as sql, token_counts, token_files, toxicity,
 )
 from fieldtally.llm.common import staging_path, table
 
@@ -67,6 +67,20 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_documents(table(spark, sf_dir, "documents")).drop("notices")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digest_documents(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_binary_codes": op1_binary_codes,
@@ -79,9 +93,16 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_licenses": op10_licenses,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_piece_bpe": op13_piece_bpe,
     }
 
 
 def statements() -> dict[str, str]:
     """SQL where it can express an operator over whole tables."""
-    return {}
+    return {
+        "op5_sliced_topk": sql.SLICED_TOPK,
+        "op11_hard_negatives": sql.HARD_NEGATIVES,
+        "op12_ranked_search": sql.RANKED_SEARCH,
+    }
