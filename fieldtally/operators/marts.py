@@ -117,8 +117,13 @@ def fold_facilities(fact: DataFrame, facility: str = "facility_name") -> DataFra
 
 def all_marts(fact: DataFrame) -> dict[str, DataFrame]:
     """The eight marts from two scans of the fact."""
-    series = materialize(fold_series(fact), "series")
-    facilities = materialize(fold_facilities(fact), "facilities")
+    return marts_of_folds(materialize(fold_series(fact), "series"),
+                          materialize(fold_facilities(fact), "facilities"))
+
+
+def marts_of_folds(series: DataFrame, facilities: DataFrame) -> dict[str, DataFrame]:
+    """The eight marts from the fact's folds alone. A fold holds no row that
+    belongs to two months, so folds of single months can be kept and joined."""
     return {
         "monthly_mom_change": monthly_mom_change(series),
         "rolling_3month_avg": rolling_3month_avg(series),

@@ -1,34 +1,39 @@
 """The complete reporting job: documents to star schema, marts and quarantine."""
 
-import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.constants import (
-    CATEGORY_COMBO_ATTRIBUTES, DATA_ELEMENT_ATTRIBUTES, DATA_VALUE_COLUMNS,
-    FACT_CONTRACT, HIERARCHY_LEVELS, MAX_QUARANTINE_RATE, MIN_FACT_ROWS,
+    CATEGORY_COMBO_ATTRIBUTES, DATA_ELEMENT_ATTRIBUTES, DATA_VALUE_COLUMNS, FACT_COLUMNS,
+    FACT_CONTRACT, FACT_PARTITION, HIERARCHY_LEVELS, MAX_QUARANTINE_RATE, MIN_FACT_ROWS,
 )
 from fieldtally.functions.columns import present
 from fieldtally.functions.periods import period_start, with_period_dates
-from fieldtally.operators.contract import enforce_contract
+from fieldtally.operators.contract import ContractError, enforce_contract
 from fieldtally.operators.dedup import collapse_copies, expand_copies
 from fieldtally.operators.drift import drift_summary, snapshot_drift
 from fieldtally.operators.gates import (
-    enforce_gates, outcome_counts, quarantine_union, run_gates,
+    GateError, enforce_gates, outcome_counts, quarantine_union, run_gates,
 )
 from fieldtally.operators.hierarchy import level_names, path_levels
 from fieldtally.operators.lookup import attach, lookup_table, reject_reason
-from fieldtally.operators.marts import all_marts
+from fieldtally.operators.marts import fold_facilities, fold_series, marts_of_folds
 from fieldtally.operators.quality import (
     CLEAN, EXACT, SUPERSEDED, judge, surplus_copies, with_value_flags,
 )
 from fieldtally.operators.star import (
     build_fact, dim_data_element, dim_org_unit, dim_period, dim_program,
 )
-from fieldtally.sources import documents, incremental, tables
+from fieldtally.sources import documents, incremental, publish, tables
 
+FACT = "facts/fact_service_delivery"
+PERIOD_STATISTICS = "facts/period_statistics"
+# folds of the fact by month: what the marts need of a month
+FOLDS = {"facts/fold_series": fold_series, "facts/fold_facilities": fold_facilities}
 BAD_PERIOD = "bad_period"
 CORRUPT = "corrupt_document"
 
@@ -57,6 +62,8 @@ class Options:
     max_quarantine_rate: float = MAX_QUARANTINE_RATE
     max_unresolved_rate: float | None = None
     min_fact_rows: int = MIN_FACT_ROWS
+    #: Called as the run gets on, with 'fact', 'marts', 'staged' and 'committed'.
+    on_step: Callable[[str], None] = lambda step: None
 
 
 def build_hierarchy(org_units: DataFrame) -> DataFrame:
@@ -126,79 +133,158 @@ def run_reporting(spark: SparkSession, inputs: Inputs, output: str,
     """Run the job below ``output``; returns 'success' or 'no_new_periods'.
 
     Every value of the export that is pending ends in the fact or in the
-    quarantine of this run, whatever the status. The contract and the gate are
-    checked before anything but drift and quarantine is published. Staged tables
-    are deleted at the end."""
+    quarantine of this run, whatever the status. All tables are published together
+    (``sources/publish.py``); a run that fails a check publishes drift and
+    quarantine only, one that dies publishes nothing. Staged tables are deleted at
+    the end."""
     with tables.run_staging(spark):
         return load(spark, inputs, output, options)
 
 
 def load(spark: SparkSession, inputs: Inputs, output: str, options: Options) -> str:
-    run_id = uuid.uuid4().hex
+    release = publish.open_release(spark, output)
+    try:
+        status = stage_run(spark, inputs, release, options)
+    except (GateError, ContractError, ValueError):
+        release.publish(release.commit(failed=True))
+        raise
+    options.on_step("staged")
+    manifest = release.commit()
+    options.on_step("committed")
+    release.publish(manifest)
+    return status
+
+
+def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
+              options: Options) -> str:
+    """Write all tables of the run beside the published ones."""
     elements, combos, reference, org_units, programs = read_entities(spark, inputs)
     parsed = documents.parse_data_values(spark, inputs.data_values, inputs.lines)
     values = parsed.rows
 
-    drift = tables.write_tables(snapshot_drift(elements, reference), f"{output}/metadata_drift")
-    tables.write_tables({"summary": drift_summary(drift)}, f"{output}/metadata_drift")
+    drift = release.stage_all(snapshot_drift(elements, reference), "metadata_drift", evidence=True)
+    release.stage_all({"summary": drift_summary(drift)}, "metadata_drift", evidence=True)
 
-    fact_path = f"{output}/facts/fact_service_delivery"
-    stored = incremental.read_fact(spark, fact_path)
-    if options.incremental and stored is not None:
-        values = pending_values(spark, values, fact_path, options.refresh_changed)
+    statistics = incremental.stored_statistics(
+        spark, f"{release.output}/{FACT}", f"{release.output}/{PERIOD_STATISTICS}")
+    if options.incremental:
+        values = pending_values(values, statistics, options.refresh_changed)
     counted = count_values(values)
 
     hierarchy = tables.materialize(build_hierarchy(org_units), "hierarchy")
     judged = tables.materialize(
         judge_values(counted, elements, combos, hierarchy), "judged", ["outcome"])
     counts = tables.materialize(outcome_counts(judged), "counts")
-    write_quarantine(judged, parsed.corrupt, output, run_id)
+    # one load time for the whole run
+    loaded_at = F.lit(spark.sql("select current_timestamp() as now").first().now)
+    fact, lost = build_fact(clean_rows(judged), loaded_at), {}
+    if options.refresh_changed:
+        fact, lost = merge_reopened(fact, judged, statistics, f"{release.output}/{FACT}")
+    stage_quarantine(release, judged, parsed.corrupt, lost)
     documents.require_rows(parsed.rows, f"{inputs.data_values} dataValues")
 
     # rows without a readable period never load, so they alone are no reason to run
     if not incremental.load_required(counted.filter(period_start(F.col("period")).isNotNull())):
-        write_metrics(spark, counts, parsed.corrupt, output, run_id, "no_new_periods")
+        stage_metrics(release, counts, parsed.corrupt, lost, "no_new_periods")
         return "no_new_periods"
     enforce_gates(run_gates(counts, options.max_quarantine_rate, options.min_fact_rows,
                             options.max_unresolved_rate))
-    # one load time for the whole run, fixed before the checks read the fact
-    loaded_at = spark.sql("select current_timestamp() as now").first().now
-    fact = build_fact(clean_rows(judged), F.lit(loaded_at))
-    enforce_contract(fact, FACT_CONTRACT)
-
-    tables.write_tables({
+    stage_fact(release, fact, statistics, options)
+    release.stage_all({
         "dim_data_element": dim_data_element(elements),
         "dim_org_unit": dim_org_unit(hierarchy),
         "dim_program": dim_program(programs),
-    }, f"{output}/dimensions")
-    if options.refresh_changed and stored is not None:
-        fact = tables.materialize(
-            incremental.keep_unsent(fact, stored, FACT_CONTRACT["primary_grain"]), "fact")
-    tables.write_fact(fact, fact_path)
-
-    stored = incremental.read_fact(spark, fact_path)
-    tables.write_tables({"dim_period": dim_period(stored)}, f"{output}/dimensions")
-    tables.write_tables(all_marts(stored), f"{output}/analytics")
-    write_metrics(spark, counts, parsed.corrupt, output, run_id, "success")
+    }, "dimensions")
+    stage_metrics(release, counts, parsed.corrupt, lost, "success")
     return "success"
 
 
-def write_quarantine(judged: DataFrame, corrupt: DataFrame, output: str, run_id: str) -> None:
+def stage_fact(release: publish.Release, fact: DataFrame, statistics: DataFrame,
+               options: Options) -> None:
+    """The touched periods of the fact and of its folds, and what follows from
+    all periods: statistics, the period dimension and the marts. Of periods the run
+    does not touch only folds and statistics are read."""
+    spark, output = release.spark, release.output
+    fact = release.stage_partitions(fact, FACT, FACT_PARTITION)
+    options.on_step("fact")
+    enforce_contract(fact, FACT_CONTRACT)
+    fresh = tables.materialize(incremental.partition_statistics(fact), "fresh")
+    # as many as there are months in the run
+    touched = [row[0] for row in fresh.select(FACT_PARTITION).collect()]
+
+    held = release.stage(
+        incremental.replace_periods(statistics, fresh, touched), PERIOD_STATISTICS)
+    folds = {}
+    for name, fold in FOLDS.items():
+        here = release.stage_partitions(fold(fact), name, FACT_PARTITION)
+        folds[name] = incremental.replace_periods(
+            stored_fold(spark, output, name, fold, statistics, here), here, touched)
+    series, facilities = (
+        tables.materialize(folds[name], "fold") for name in FOLDS)
+    release.stage_all({"dim_period": dim_period(held)}, "dimensions")
+    release.stage_all(marts_of_folds(series, facilities), "analytics")
+    options.on_step("marts")
+
+
+def stored_fold(spark: SparkSession, output: str, name: str, fold: Callable,
+                statistics: DataFrame, like: DataFrame) -> DataFrame:
+    """The published fold of the fact, or of the whole stored fact where it is lost."""
+    known = {row[0] for row in statistics.select(FACT_PARTITION).collect()}
+    folders = {unquote(part.split("=", 1)[1])
+               for part in publish.folder_names(spark, f"{output}/{name}") if "=" in part}
+    if known <= folders:
+        return spark.read.schema(like.schema).parquet(f"{output}/{name}") if folders else like.limit(0)
+    return fold(incremental.read_fact(spark, f"{output}/{FACT}"))
+
+
+def merge_reopened(fact: DataFrame, judged: DataFrame, statistics: DataFrame,
+                   fact_path: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The fact rows to store, and those that lost by reason: stored rows of the
+    periods the run touches compete with the rows sent. Only the folders of those
+    periods are read."""
+    sent = judged.filter(F.col("outcome") == CLEAN).select("year_month").distinct()
+    reopened = [row[0] for row in statistics.join(sent, FACT_PARTITION).select(FACT_PARTITION).collect()]
+    if not reopened:
+        return fact, {}
+    stored = fact.sparkSession.read.schema(fact.schema).parquet(fact_path).filter(
+        F.col(FACT_PARTITION).isin(reopened))
+    merged = tables.materialize(incremental.merge_stored(
+        fact, stored, FACT_CONTRACT["primary_grain"], ["lastupdated", "created", "value"]), "merged",
+        ["merge_outcome"])
+    rows = {outcome: merged.filter(F.col("merge_outcome") == outcome).drop("merge_outcome")
+            for outcome in (incremental.KEPT, incremental.REPEATED, incremental.STALE, incremental.REPLACED)}
+    return rows.pop(incremental.KEPT), rows
+
+
+def stage_quarantine(release: publish.Release, judged: DataFrame, corrupt: DataFrame,
+                     lost: dict[str, DataFrame]) -> None:
     """Rejects of a run in a folder of their own, with their ``reason``; earlier
-    runs keep theirs. The folder can be read when there are none."""
+    runs keep theirs. The folder can be read when there are none. Rows that lost
+    against the stored fact (or were replaced in it) carry its columns."""
+    names = {fact: raw for raw, fact in FACT_COLUMNS.items()}
     rejected = quarantine_union(quarantine_buckets(judged) | {CORRUPT: corrupt})
-    tables.write_parquet(rejected, f"{output}/quarantine/run_id={run_id}")
-
-
-def write_metrics(spark: SparkSession, counts: DataFrame, corrupt: DataFrame, output: str,
-                  run_id: str, status: str) -> None:
+    if lost:
+        late = quarantine_union({
+            reason: df.withColumn("period", F.col(FACT_PARTITION)).withColumnsRenamed(names)
+            for reason, df in lost.items()})
+        rejected = rejected.unionByName(late, allowMissingColumns=True)
+    release.stage(rejected, f"quarantine/run_id={release.run_id}", evidence=True)
+
+
+def stage_metrics(release: publish.Release, counts: DataFrame, corrupt: DataFrame,
+                  lost: dict[str, DataFrame], status: str) -> None:
+    """One more row of run metrics. Stored rows that were replaced were counted
+    when they were sent, so they are told apart."""
     rows = {row.outcome: row.row_count for row in counts.collect()}
+    late = {reason: df.count() for reason, df in lost.items()}
+    replaced = late.pop(incremental.REPLACED, 0)
     quarantined = sum(count for outcome, count in rows.items() if outcome != CLEAN)
+    clean = rows.get(CLEAN, 0)
     metrics = tables.run_metrics(
-        spark, status=status, input_rows=quarantined + rows.get(CLEAN, 0),
-        fact_rows=rows.get(CLEAN, 0), quarantine_rows=quarantined,
-        corrupt_documents=corrupt.count())
-    tables.append_run_metrics(metrics.withColumn("run_id", F.lit(run_id)), f"{output}/run_metrics")
+        release.spark, status=status, input_rows=quarantined + clean,
+        fact_rows=clean - sum(late.values()), quarantine_rows=quarantined + sum(late.values()),
+        replaced_rows=replaced, corrupt_documents=corrupt.count())
+    release.stage_rows(metrics.withColumn("run_id", F.lit(release.run_id)), "run_metrics")
 
 
 def read_entities(spark: SparkSession, inputs: Inputs) -> list[DataFrame]:
@@ -216,15 +302,12 @@ def read_entities(spark: SparkSession, inputs: Inputs) -> list[DataFrame]:
     return tables.side_by_side(lambda name: tables.materialize(entities[name], name), list(entities))
 
 
-def pending_values(spark: SparkSession, values: DataFrame, fact_path: str,
+def pending_values(values: DataFrame, statistics: DataFrame,
                    refresh_changed: bool = False) -> DataFrame:
     """Values of periods still to load; rows without a period stay, to be
     quarantined. ``refresh_changed`` reopens periods with later updates."""
-    fact = incremental.read_fact(spark, fact_path)
-    if fact is None:
-        return values
-    loaded = incremental.loaded_periods(spark, fact_path)
+    loaded = statistics.select(FACT_PARTITION)
     if refresh_changed:
-        reopened = incremental.changed_periods(values, fact)
-        loaded = loaded.join(reopened, "year_month", "left_anti")
+        reopened = incremental.changed_periods(values, statistics)
+        loaded = loaded.join(reopened, FACT_PARTITION, "left_anti")
     return incremental.new_periods(values, loaded, keep_null=True)

@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 from collections import Counter
 from datetime import datetime
 
@@ -12,7 +13,7 @@ from fieldtally import constants as C
 from fieldtally.operators.contract import ContractError
 from fieldtally.operators.gates import GateError
 from fieldtally.plans.reporting import Inputs, Options, run_reporting
-from fieldtally.sources import documents, incremental, tables
+from fieldtally.sources import documents, incremental, publish, tables
 
 STAMPS = {"created": "2024-01-01T00:00:00", "lastUpdated": "2024-01-02T00:00:00"}
 
@@ -246,7 +247,9 @@ def test_only_new_periods_load_and_reopening_is_a_choice(spark, export, tmp_path
     assert amounts() == {"202401": 9.0, "202402": 2.0, "202403": 3.0}
     statuses = Counter(r.status for r in read(spark, output, "run_metrics").collect())
     assert statuses == {"success": 3, "no_new_periods": 1}
-    assert read(spark, output, "quarantine").count() == 0
+    # the stored row that a later value replaced is not lost
+    replaced = read(spark, output, "quarantine").collect()
+    assert [(r.reason, r.period, r.value) for r in replaced] == [("replaced_records", "202401", "1")]
     assert run(incremental=False) == "success"
     assert amounts()["202401"] == 9.0
 
@@ -264,6 +267,133 @@ def test_a_reopened_month_keeps_what_the_export_does_not_bring(spark, export, tm
         ("202401", "DE2", "F", "true"), ("202402", "DE1", "F", "4")]
 
 
+def test_a_reopened_month_keeps_the_newest_of_stored_and_sent(spark, export, tmp_path):
+    output = str(tmp_path / "out")
+    export.values(value("new", updated="2024-03-05"), value("same", unit="C", updated="2024-03-05"),
+                  value("1", unit="D", updated="2024-02-10"))
+    assert run_reporting(spark, export.inputs(), output) == "success"
+    export.values(value("old", updated="2024-02-05"), value("same", unit="C", updated="2024-03-05"),
+                  value("2", unit="D", updated="2024-04-01"), value("3", unit="R", updated="2024-04-01"))
+    assert run_reporting(spark, export.inputs(), output, Options(refresh_changed=True)) == "success"
+    fact = read(spark, output, "facts/fact_service_delivery").collect()
+    assert sorted((r.org_unit_id, r.value) for r in fact) == [
+        ("C", "same"), ("D", "2"), ("F", "new"), ("R", "3")]
+    lost = read(spark, output, "quarantine").collect()
+    assert sorted((r.reason, r.orgunit, r.value, r.period) for r in lost) == [
+        ("exact_duplicates", "C", "same", "202401"), ("replaced_records", "D", "1", "202401"),
+        ("superseded_records", "F", "old", "202401")]
+    metrics = {r.input_rows: r for r in read(spark, output, "run_metrics").collect()}[4]
+    assert (metrics.fact_rows, metrics.quarantine_rows, metrics.replaced_rows) == (2, 2, 1)
+
+
+def test_merge_treats_nulls_as_oldest(spark):
+    columns = "k string, lastupdated string, created string, value string, only string"
+    sent = spark.createDataFrame([("a", None, "c", "v", "x"), ("b", "2", None, None, "x"),
+                                  ("c", "1", "c", "v", "x"), (None, "1", "c", "v", "x")], columns)
+    stored = spark.createDataFrame([("a", "1", "c", "v"), ("b", "2", None, None), ("d", "1", "c", "v"),
+                                    (None, "2", "c", "v")], "k string, lastupdated string, created string, value string")
+    merged = incremental.merge_stored(sent, stored, ["k"], ["lastupdated", "created", "value"])
+    assert sorted((str(r.k), r.only or "stored", r.merge_outcome) for r in merged.collect()) == [
+        ("None", "stored", "kept"), ("None", "x", "superseded_records"),
+        ("a", "stored", "kept"), ("a", "x", "superseded_records"), ("b", "stored", "kept"),
+        ("b", "x", "exact_duplicates"), ("c", "x", "kept"), ("d", "stored", "kept")]
+
+
+class Died(Exception):
+    pass
+
+
+def published(spark, output):
+    """Everything below an output folder that a reader would look at, without run ids
+    and times."""
+    found = {}
+    for name in ("facts/fact_service_delivery", "facts/period_statistics", "dimensions/dim_period",
+                 "dimensions/dim_org_unit", "analytics/monthly_mom_change", "analytics/country_reporting_rate",
+                 "quarantine", "run_metrics", "metadata_drift/summary"):
+        rows = read(spark, output, name).drop("load_timestamp", "run_id", "completed_at_utc")
+        found[name] = sorted(str(row) for row in rows.collect())
+    return found
+
+
+@pytest.mark.parametrize("step", ["fact", "marts", "staged", "committed"])
+def test_a_run_that_died_is_repeated_or_finished(spark, export, tmp_path, step):
+    def die(at):
+        if at == step:
+            raise Died
+
+    first = [value("1"), value("2", unit="C"), value("3", element="GHOST", period="202402")]
+    second = first + [value("5", period="202403"), value("9", updated="2024-05-01")]
+    quiet = {"max_quarantine_rate": 1.0, "refresh_changed": True}
+    outputs = [str(tmp_path / "whole"), str(tmp_path / "broken")]
+    for output in outputs:
+        export.values(*first)
+        run_reporting(spark, export.inputs(), output, Options(**quiet))
+        export.values(*second)
+        if output == outputs[1]:
+            with pytest.raises(Died):
+                run_reporting(spark, export.inputs(), output, Options(**quiet, on_step=die))
+            if step == "committed":
+                # a committed run is finished by the next one, which has nothing left to load
+                export.values()
+                with pytest.raises(ValueError, match="No rows in"):
+                    run_reporting(spark, export.inputs(), output, Options(**quiet))
+                continue
+            assert read(spark, output, "facts/fact_service_delivery").count() == 2
+        run_reporting(spark, export.inputs(), output, Options(**quiet))
+    assert published(spark, outputs[0]) == published(spark, outputs[1])
+    for output in outputs:
+        assert not os.path.exists(f"{output}/_runs") or not os.listdir(f"{output}/_runs")
+    if step == "staged":
+        assert publish.latest_version(spark, outputs[0]) == publish.latest_version(spark, outputs[1]) == 2
+
+
+def test_one_of_two_runs_at_the_same_time_is_refused(spark, tmp_path):
+    output = str(tmp_path / "out")
+    one, two = publish.open_release(spark, output), publish.open_release(spark, output)
+    one.publish(one.commit())
+    with pytest.raises(publish.ConcurrentRun):
+        two.commit()
+    assert publish.read_manifest(spark, output)["run_id"] == one.run_id
+
+
+def test_a_load_opens_no_fact_file_of_other_months(spark, export, tmp_path):
+    output = str(tmp_path / "out")
+    sent = [value(str(n), unit=unit, period=f"2024{n:02d}") for n in (1, 2, 3) for unit in "CF"]
+    export.values(*sent)
+    assert run_reporting(spark, export.inputs(), output) == "success"
+    for month in ("202401", "202403"):
+        folder = f"{output}/facts/fact_service_delivery/year_month={month}"
+        for file in os.listdir(folder):
+            with open(f"{folder}/{file}", "wb") as broken:
+                broken.write(b"unreadable")
+    export.values(value("8", period="202402", updated="2024-06-01"), value("4", period="202404"))
+    assert run_reporting(spark, export.inputs(), output, Options(refresh_changed=True)) == "success"
+    totals = read(spark, output, "analytics/monthly_mom_change").collect()
+    assert {str(r.year_month): r.monthly_total for r in totals} == {
+        "202401": 2.0, "202402": 10.0, "202403": 6.0, "202404": 4.0}
+    assert read(spark, output, "dimensions/dim_period").count() == 4
+    statistics = read(spark, output, "facts/period_statistics").collect()
+    assert {r.year_month: r.row_count for r in statistics} == {
+        "202401": 2, "202402": 2, "202403": 2, "202404": 1}
+
+
+def test_lost_statistics_and_folds_are_counted_anew(spark, export, tmp_path):
+    output = str(tmp_path / "out")
+    export.values(value("1"), value("2", period="202402", unit="C"))
+    assert run_reporting(spark, export.inputs(), output) == "success"
+    before = published(spark, output)
+    for name in ("facts/period_statistics", "facts/fold_series", "facts/fold_facilities/year_month=202401"):
+        shutil.rmtree(f"{output}/{name}")
+    assert run_reporting(spark, export.inputs(), output) == "no_new_periods"
+    export.values(value("3", period="202403"))
+    assert run_reporting(spark, export.inputs(), output) == "success"
+    totals = read(spark, output, "analytics/monthly_mom_change").collect()
+    assert {str(r.year_month): r.monthly_total for r in totals} == {
+        "202401": 1.0, "202402": 2.0, "202403": 3.0}
+    after = read(spark, output, "facts/period_statistics")
+    assert set(before["facts/period_statistics"]) < {str(r) for r in after.collect()}
+
+
 def test_corrupt_documents_are_quarantined(spark, export, tmp_path):
     output = str(tmp_path / "out")
     lines = export.folder / "lines.json"

@@ -60,3 +60,72 @@ def job_reopened_month(spark, sf_dir):
     return spark.read.parquet(fact_path(output)).select(
         "data_element_id", "org_unit_id", "category_option_combo_id",
         F.col("year_month").cast("string").alias("year_month"), "value")
+
+
+def job_stale_resend(spark, sf_dir):
+    """The fact and the rejects by reason after an export resends one month: for
+    half of the units with earlier updates, for the others with later ones."""
+    output = tables.scratch_path(spark, "job")
+    sent = fx.sent_values(spark, sf_dir)
+    run(spark, sf_dir, sent, output)
+    stale = F.col("orgunit").rlike("[02468]$")
+    resent = sent.filter(F.col("period") == REOPENED).withColumns({
+        "value": F.when(stale, "7").otherwise("9"),
+        "lastupdated": F.when(stale, F.expr("lastupdated - interval 10 years"))
+        .otherwise(F.expr("lastupdated + interval 10 years"))})
+    run(spark, sf_dir, resent, output, refresh_changed=True)
+    fact = spark.read.parquet(fact_path(output)).select(
+        F.lit("fact").alias("outcome"),
+        F.concat_ws("|", "data_element_id", "org_unit_id", "category_option_combo_id", "year_month")
+        .alias("key"), "value", F.lit(1).cast("long").alias("row_count"))
+    rejected = spark.read.parquet(f"{output}/quarantine").groupBy(
+        F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("row_count"))
+    return fact.unionByName(rejected, allowMissingColumns=True)
+
+
+class Interrupted(Exception):
+    pass
+
+
+def interrupt(at: str):
+    def step(reached):
+        if reached == at:
+            raise Interrupted(at)
+    return step
+
+
+def job_interrupted(spark, sf_dir):
+    """What is published after a first load that died before it was committed, was
+    repeated and died once more before its tables were in place, and a second load
+    of the rest."""
+    output = tables.scratch_path(spark, "job")
+    sent = fx.sent_values(spark, sf_dir)
+    early = inputs(spark, sf_dir, sent.filter(F.col("period") < EARLY))
+    for step in ("marts", "committed"):
+        try:
+            reporting.run_reporting(spark, early, output,
+                                    reporting.Options(**OPTIONS, on_step=interrupt(step)))
+        except Interrupted:
+            continue
+        raise AssertionError(f"The run did not reach {step}")
+    run(spark, sf_dir, sent, output)
+
+    def part(name, table, key, amount):
+        return spark.read.parquet(f"{output}/{table}").select(
+            F.lit(name).alias("part"), key.alias("key"), amount.cast("double").alias("amount"))
+
+    metrics = spark.read.parquet(f"{output}/run_metrics").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("fact_rows").alias("fact_rows"),
+        F.sum("quarantine_rows").alias("quarantine_rows"), F.count(F.lit(1)).alias("runs"))
+    counted = F.array(*[F.struct(F.lit(name).alias("key"), F.col(name).cast("double").alias("amount"))
+                        for name in metrics.columns])
+    statistics = part("statistics", "facts/period_statistics", F.col("year_month"), F.col("row_count"))
+    fact = part("fact", "facts/fact_service_delivery", F.col("year_month").cast("string"), F.lit(1))
+    return statistics.unionByName(
+        fact.groupBy("part", "key").agg(F.sum("amount").alias("amount"))).unionByName(
+        part("monthly", "analytics/monthly_mom_change",
+             F.concat_ws("|", "country_name", "data_element_name", "year_month"),
+             F.round("monthly_total", 6))).unionByName(
+        part("coverage", "analytics/indicator_coverage_matrix",
+             F.concat_ws("|", "country_name", "data_element_name"), F.col("coverage_score"))).unionByName(
+        metrics.select(F.lit("metrics").alias("part"), F.inline(counted)))

@@ -511,6 +511,42 @@ STATEMENTS = {
         select data_element_id, org_unit_id, category_option_combo_id, year_month,
             case when year_month = '199706' and regexp_matches(org_unit_id, '[02468]$')
                 then '7' else value end as value from fx_fact""",
+    "job_stale_resend": """
+        with rejected as (
+            select reason as outcome, period from fx_reasoned where reason is not null
+            union all
+            select 'superseded_records', period from fx_ranked where latest_rank > 1
+            union all
+            select 'exact_duplicates', period from (select * from fx_reasoned where reason is null
+                except all select distinct * from fx_reasoned where reason is null))
+        select 'fact' as outcome, concat_ws('|', data_element_id, org_unit_id,
+                category_option_combo_id, year_month) as key,
+            case when year_month = '199706' and not regexp_matches(org_unit_id, '[02468]$')
+                then '9' else value end as value, cast(1 as bigint) as row_count
+        from fx_fact
+        union all
+        select outcome, null, null, count(*) from (
+            select outcome from rejected
+            union all
+            select outcome from rejected where period = '199706'
+            union all
+            select case when regexp_matches(org_unit_id, '[02468]$') then 'superseded_records'
+                else 'replaced_records' end from fx_fact where year_month = '199706')
+        group by outcome""",
+    "job_interrupted": f"""
+        select 'fact' as part, year_month as key, cast(count(*) as double) as amount
+        from fx_fact group by year_month
+        union all
+        select 'statistics', year_month, count(*) from fx_fact group by year_month
+        union all
+        select 'monthly', concat_ws('|', country_name, data_element_name, year_month),
+            round(monthly_total, 6) from fx_monthly
+        union all
+        select 'coverage', concat_ws('|', country_name, data_element_name),
+            {share('has_reported_value')} from fx_fact group by country_name, data_element_name
+        union all
+        select 'metrics', unnest(['input_rows', 'fact_rows', 'quarantine_rows', 'runs']),
+            unnest([input_rows, fact_rows, quarantine_rows, 2]) from ({COUNTS})""",
     "incremental_required": """
         select 'second' as load,
             (select count(*) from fx_fact where year_month >= '199801') > 0 as required
@@ -625,6 +661,9 @@ def needed(sql: str) -> list[str]:
 def statements() -> dict[str, str]:
     def complete(sql: str) -> str:
         views = ",\n".join(f"{name} as ({INPUTS[name]})" for name in needed(sql))
+        own = sql.strip()
+        if views and own.startswith("with "):
+            return f"with {views},\n{own.removeprefix('with ')}"
         return f"with {views}\n{sql}" if views else sql
 
     return {name: complete(sql) for name, sql in STATEMENTS.items()}

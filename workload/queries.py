@@ -589,7 +589,8 @@ REGISTERED = {
         incremental_existing_partitions, incremental_filter_periods, incremental_required,
         incremental_changed_periods, sink_parquet_dynamic_overwrite, sink_csv_roundtrip,
         sink_fact_partitioned, sink_named_tables, materialize_roundtrip,
-        jobs.job_two_loads, jobs.job_reopened_month, near_dup_hot_events, sink_marts,
+        jobs.job_two_loads, jobs.job_reopened_month, jobs.job_stale_resend, jobs.job_interrupted,
+        near_dup_hot_events, sink_marts,
     ]
 } | {
     "monthly_mom_change": over_fact(marts.monthly_mom_change),
