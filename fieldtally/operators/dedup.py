@@ -27,8 +27,9 @@ def collapse_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
 
 
-def expand_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
-    """Repeat each row ``copies`` times; zero or less gives none.
+def expand_copies(df: DataFrame, copies: str = "copies", most: int | None = None) -> DataFrame:
+    """Repeat each row ``copies`` times; zero or less gives none. ``most``, if
+    known, is the largest number there is.
 
     Rows of up to ``CHUNK`` copies multiply where they are, without a shuffle.
     Larger counts are cut into chunks that are spread over the cluster before
@@ -38,6 +39,8 @@ def expand_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     few = df.filter((F.col(copies) > 0) & (F.col(copies) <= CHUNK)).withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+    if most is not None and most <= CHUNK:
+        return few.select(*columns)
     chunks = df.filter(F.col(copies) > CHUNK).withColumn(
         "chunk", F.explode(F.expr(f"sequence(0L, (`{copies}` - 1) div {CHUNK})"))
     )

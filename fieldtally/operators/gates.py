@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldtally.constants import MAX_QUARANTINE_RATE, MIN_FACT_ROWS
 from fieldtally.functions.rates import rate
+from fieldtally.operators.dedup import expand_copies
 from fieldtally.operators.quality import CLEAN, EXACT, SUPERSEDED
 
 
@@ -23,6 +24,25 @@ def quarantine_union(buckets: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def quarantine_rows(judged: DataFrame, copies: str = "copies") -> DataFrame:
+    """Every row of a judged table that is not clean, as often as it was sent, with
+    its ``reason``: one scan.
+
+    Copies beyond the first of a row that passed resolution are exact duplicates.
+    Only if a row has more copies than ``CHUNK`` such rows are read once more, and
+    spread before they multiply."""
+    kept = F.col("outcome").isin(CLEAN, SUPERSEDED)
+    parts = F.array(
+        F.struct(F.col("outcome").alias("reason"),
+                 F.when(F.col("outcome") == CLEAN, 0).when(kept, 1)
+                 .otherwise(F.col(copies)).cast("long").alias("times")),
+        F.struct(F.lit(EXACT).alias("reason"),
+                 F.when(kept, F.col(copies) - 1).otherwise(0).cast("long").alias("times")))
+    columns = [name for name in judged.columns if name not in ("outcome", copies)]
+    rows = judged.select(*columns, F.inline(F.filter(parts, lambda part: part["times"] > 0)))
+    return expand_copies(rows, "times", judged.agg(F.max(copies)).first()[0] or 0)
+
+
 def outcome_counts(judged: DataFrame, copies: str = "copies") -> DataFrame:
     """Rows per outcome of a judged table: copies beyond the first of a row
     that passed resolution are exact duplicates."""

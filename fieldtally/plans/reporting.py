@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,15 @@ from fieldtally.constants import (
 from fieldtally.functions.columns import present
 from fieldtally.functions.periods import period_start, with_period_dates
 from fieldtally.operators.contract import ContractError, enforce_contract
-from fieldtally.operators.dedup import collapse_copies, expand_copies
-from fieldtally.operators.drift import drift_summary, snapshot_drift
+from fieldtally.operators.dedup import collapse_copies
+from fieldtally.operators.drift import drift_summary, drift_tables, snapshot_diff
 from fieldtally.operators.gates import (
-    GateError, enforce_gates, outcome_counts, quarantine_union, run_gates,
+    GateError, enforce_gates, outcome_counts, quarantine_rows, quarantine_union, run_gates,
 )
 from fieldtally.operators.hierarchy import level_names, path_levels
 from fieldtally.operators.lookup import attach, lookup_table, reject_reason
 from fieldtally.operators.marts import fold_facilities, fold_series, marts_of_folds
-from fieldtally.operators.quality import (
-    CLEAN, EXACT, SUPERSEDED, judge, surplus_copies, with_value_flags,
-)
+from fieldtally.operators.quality import CLEAN, judge, with_value_flags
 from fieldtally.operators.star import (
     build_fact, dim_data_element, dim_org_unit, dim_period, dim_program,
 )
@@ -111,21 +110,8 @@ def judge_values(counted: DataFrame, elements: DataFrame, combos: DataFrame,
     return with_value_flags(known.withColumn("outcome", reason))
 
 
-def outcome_rows(judged: DataFrame, outcome: str) -> DataFrame:
-    return judged.filter(F.col("outcome") == outcome).drop("outcome")
-
-
 def clean_rows(judged: DataFrame) -> DataFrame:
-    return outcome_rows(judged, CLEAN).drop("copies")
-
-
-def quarantine_buckets(judged: DataFrame) -> dict[str, DataFrame]:
-    """Every input row that is not clean, in exactly one bucket."""
-    buckets = {reason: expand_copies(outcome_rows(judged, reason))
-               for reason in [BAD_PERIOD, *RESOLUTION_ORDER]}
-    buckets[EXACT] = expand_copies(surplus_copies(judged))
-    buckets[SUPERSEDED] = outcome_rows(judged, SUPERSEDED).drop("copies")
-    return buckets
+    return judged.filter(F.col("outcome") == CLEAN).drop("outcome", "copies")
 
 
 def run_reporting(spark: SparkSession, inputs: Inputs, output: str,
@@ -158,11 +144,13 @@ def load(spark: SparkSession, inputs: Inputs, output: str, options: Options) ->
 def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
               options: Options) -> str:
     """Write all tables of the run beside the published ones."""
-    elements, combos, reference, org_units, programs = read_entities(spark, inputs)
+    (elements, combos, reference, org_units, programs), corrupt = read_entities(spark, inputs)
     parsed = documents.parse_data_values(spark, inputs.data_values, inputs.lines)
-    values = parsed.rows
+    values, corrupt = parsed.rows, tables.materialize(corrupt.unionByName(parsed.corrupt), "corrupt")
 
-    drift = release.stage_all(snapshot_drift(elements, reference), "metadata_drift", evidence=True)
+    diff = tables.materialize(snapshot_diff(elements, reference), "diff")
+    drift = release.stage_all(drift_tables(diff), "metadata_drift", evidence=True)
+    drift.pop("changed_data_elements")
     release.stage_all({"summary": drift_summary(drift)}, "metadata_drift", evidence=True)
 
     statistics = incremental.stored_statistics(
@@ -180,12 +168,12 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
     fact, lost = build_fact(clean_rows(judged), loaded_at), {}
     if options.refresh_changed:
         fact, lost = merge_reopened(fact, judged, statistics, f"{release.output}/{FACT}")
-    stage_quarantine(release, judged, parsed.corrupt, lost)
+    stage_quarantine(release, judged, corrupt, lost)
     documents.require_rows(parsed.rows, f"{inputs.data_values} dataValues")
 
     # rows without a readable period never load, so they alone are no reason to run
     if not incremental.load_required(counted.filter(period_start(F.col("period")).isNotNull())):
-        stage_metrics(release, counts, parsed.corrupt, lost, "no_new_periods")
+        stage_metrics(release, counts, corrupt, lost, "no_new_periods")
         return "no_new_periods"
     enforce_gates(run_gates(counts, options.max_quarantine_rate, options.min_fact_rows,
                             options.max_unresolved_rate))
@@ -195,7 +183,7 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
         "dim_org_unit": dim_org_unit(hierarchy),
         "dim_program": dim_program(programs),
     }, "dimensions")
-    stage_metrics(release, counts, parsed.corrupt, lost, "success")
+    stage_metrics(release, counts, corrupt, lost, "success")
     return "success"
 
 
@@ -214,13 +202,13 @@ def stage_fact(release: publish.Release, fact: DataFrame, statistics: DataFrame,
 
     held = release.stage(
         incremental.replace_periods(statistics, fresh, touched), PERIOD_STATISTICS)
-    folds = {}
-    for name, fold in FOLDS.items():
-        here = release.stage_partitions(fold(fact), name, FACT_PARTITION)
-        folds[name] = incremental.replace_periods(
-            stored_fold(spark, output, name, fold, statistics, here), here, touched)
-    series, facilities = (
-        tables.materialize(folds[name], "fold") for name in FOLDS)
+
+    def whole_fold(name: str) -> DataFrame:
+        here = release.stage_partitions(FOLDS[name](fact), name, FACT_PARTITION)
+        stored = stored_fold(spark, output, name, FOLDS[name], statistics, here)
+        return tables.materialize(incremental.replace_periods(stored, here, touched), "fold")
+
+    series, facilities = tables.side_by_side(whole_fold, list(FOLDS))
     release.stage_all({"dim_period": dim_period(held)}, "dimensions")
     release.stage_all(marts_of_folds(series, facilities), "analytics")
     options.on_step("marts")
@@ -262,7 +250,8 @@ def stage_quarantine(release: publish.Release, judged: DataFrame, corrupt: DataF
     runs keep theirs. The folder can be read when there are none. Rows that lost
     against the stored fact (or were replaced in it) carry its columns."""
     names = {fact: raw for raw, fact in FACT_COLUMNS.items()}
-    rejected = quarantine_union(quarantine_buckets(judged) | {CORRUPT: corrupt})
+    rejected = quarantine_rows(judged).unionByName(
+        corrupt.withColumn("reason", F.lit(CORRUPT)), allowMissingColumns=True)
     if lost:
         late = quarantine_union({
             reason: df.withColumn("period", F.col(FACT_PARTITION)).withColumnsRenamed(names)
@@ -287,19 +276,22 @@ def stage_metrics(release: publish.Release, counts: DataFrame, corrupt: DataFram
     release.stage_rows(metrics.withColumn("run_id", F.lit(release.run_id)), "run_metrics")
 
 
-def read_entities(spark: SparkSession, inputs: Inputs) -> list[DataFrame]:
-    """Data elements, category combos, reference elements, units and programs:
-    drift, lookups and dimensions all read them."""
-    elements, combos = documents.ingest_metadata(spark, inputs.metadata, inputs.lines)
-    entities = {
-        "elements": elements,
-        "combos": combos,
-        "reference": documents.ingest_reference_metadata(
-            spark, inputs.reference_metadata, inputs.lines),
-        "org_units": documents.ingest_org_units(spark, inputs.org_units, inputs.lines),
-        "programs": documents.ingest_programs(spark, inputs.programs, inputs.lines),
-    }
-    return tables.side_by_side(lambda name: tables.materialize(entities[name], name), list(entities))
+def read_entities(spark: SparkSession, inputs: Inputs) -> tuple[list[DataFrame], DataFrame]:
+    """Data elements, category combos, reference elements, units and programs, which
+    drift, lookups and dimensions all read; and the documents of any of them that
+    could not be read in full."""
+    sources = [
+        (documents.parse_metadata, inputs.metadata),
+        (documents.parse_reference_metadata, inputs.reference_metadata),
+        (documents.parse_org_units, inputs.org_units),
+        (documents.parse_programs, inputs.programs),
+    ]
+    (elements, combos), *others = tables.side_by_side(
+        lambda source: source[0](spark, source[1], inputs.lines), sources)
+    found = [elements, combos, *others]
+    corrupt = reduce(DataFrame.unionByName, [parsed.corrupt for parsed in found])
+    return tables.side_by_side(
+        lambda parsed: tables.materialize(parsed.rows, "entity"), found), corrupt
 
 
 def pending_values(values: DataFrame, statistics: DataFrame,

@@ -84,33 +84,57 @@ def standardize_entity(df: DataFrame) -> DataFrame:
     return standardize_timestamps(standardize_names(df), ["created", "lastupdated"])
 
 
-def ingest(spark: SparkSession, path: str, schema: str, payload: str,
-           lines: bool = False) -> DataFrame:
-    """Read, flatten and standardise one payload array, which must hold rows."""
-    rows = require_rows(parse(spark, path, schema, payload, lines).rows, f"{path} {payload}")
-    return standardize_entity(rows)
+def parse_entity(spark: SparkSession, path: str, schema: str, payload: str,
+                 lines: bool = False) -> Parsed:
+    """Standardised rows of one payload array, which must hold some, and the
+    documents that could not be read in full."""
+    found = parse(spark, path, schema, payload, lines)
+    return found._replace(rows=standardize_entity(require_rows(found.rows, f"{path} {payload}")))
+
+
+def parse_metadata(spark: SparkSession, path: str, lines: bool = False) -> tuple[Parsed, Parsed]:
+    """Data elements and category option combos, from one parse; its unreadable
+    documents stand with the elements."""
+    payloads = ["dataElements", "categoryOptionCombos"]
+    found = materialize(read_documents(spark, path, METADATA_SCHEMA, lines, keep_corrupt=True).select(
+        F.input_file_name().alias("source_file"), *payloads, CORRUPT), "metadata")
+    corrupt = found.filter(F.col(CORRUPT).isNotNull()).select(
+        "source_file", F.col(CORRUPT).alias("corrupt_record"))
+    elements, combos = (
+        standardize_entity(require_rows(flatten(found, payload), f"{path} {payload}"))
+        for payload in payloads)
+    return Parsed(elements, corrupt), Parsed(combos, corrupt.limit(0))
+
+
+def parse_reference_metadata(spark: SparkSession, path: str, lines: bool = False) -> Parsed:
+    return parse_entity(spark, path, METADATA_SCHEMA, "dataElements", lines)
+
+
+def parse_org_units(spark: SparkSession, path: str, lines: bool = False) -> Parsed:
+    return parse_entity(spark, path, ORG_UNITS_SCHEMA, "organisationUnits", lines)
+
+
+def parse_programs(spark: SparkSession, path: str, lines: bool = False) -> Parsed:
+    return parse_entity(spark, path, PROGRAMS_SCHEMA, "programs", lines)
 
 
 def ingest_metadata(spark: SparkSession, path: str,
                     lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """(data elements, category option combos), from one parse."""
-    found = materialize(read_documents(spark, path, METADATA_SCHEMA, lines).select(
-        "dataElements", "categoryOptionCombos"), "metadata")
-    return tuple(standardize_entity(require_rows(flatten(found, payload), f"{path} {payload}"))
-                 for payload in found.columns)
+    return tuple(found.rows for found in parse_metadata(spark, path, lines))
 
 
 def ingest_reference_metadata(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Data elements of an earlier metadata snapshot."""
-    return ingest(spark, path, METADATA_SCHEMA, "dataElements", lines)
+    return parse_reference_metadata(spark, path, lines).rows
 
 
 def ingest_org_units(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    return ingest(spark, path, ORG_UNITS_SCHEMA, "organisationUnits", lines)
+    return parse_org_units(spark, path, lines).rows
 
 
 def ingest_programs(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    return ingest(spark, path, PROGRAMS_SCHEMA, "programs", lines)
+    return parse_programs(spark, path, lines).rows
 
 
 def parse_data_values(spark: SparkSession, path: str, lines: bool = False) -> Parsed:

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.sources.tables import hadoop_path, read_like, write_parquet
+from fieldtally.sources.tables import hadoop_path, read_like, side_by_side, write_parquet
 
 RUNS = "_runs"
 MANIFESTS = "_manifests"
@@ -138,7 +138,10 @@ class Release:
 
     def stage_all(self, tables: dict[str, DataFrame], folder: str,
                   evidence: bool = False) -> dict[str, DataFrame]:
-        return {name: self.stage(df, f"{folder}/{name}", evidence) for name, df in tables.items()}
+        """Write independent tables at the same time."""
+        written = side_by_side(
+            lambda name: self.stage(tables[name], f"{folder}/{name}", evidence), list(tables))
+        return dict(zip(tables, written))
 
     def stage_partitions(self, df: DataFrame, name: str, by: str) -> DataFrame:
         """Write partitions that replace those of ``name``; others stay.

@@ -115,3 +115,37 @@ def test_snapshot_drift(spark):
         "added_data_elements": 1, "removed_data_elements": 2, "renamed_data_elements": 1}
     none = {label: df.filter("false") for label, df in found.items()}
     assert set(drift.drift_summary(none).first()) == {0}
+
+
+def test_snapshot_diff_tells_every_change_in_one_pass(spark):
+    current = spark.createDataFrame(
+        [("a", "A", None, "2"), ("a", "older", "x", "1"), ("b", "B", "x", "1"), ("c", None, "x", "1"),
+         ("d", "D", "x", "1"), (None, "N", "x", "1")],
+        "id string, name string, code string, lastupdated string")
+    reference = spark.createDataFrame(
+        [("a", "A", "x", "0"), ("b", "old", "y", "0"), ("c", "C", "x", "0"), ("d", "D", "x", "0"),
+         ("e", "E", "x", "0"), (None, "N", "x", "0")],
+        "id string, name string, code string, lastupdated string")
+    diff = drift.snapshot_diff(current, reference)
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("SortMergeJoin") == 1
+    found = {(r.diff_key, r.status): [tuple(c) for c in r.changes or []] for r in diff.collect()}
+    assert found == {
+        ("a", "changed"): [("code", "x", None)], ("b", "changed"): [("name", "old", "B"), ("code", "y", "x")],
+        ("c", "changed"): [("name", "C", None)], ("d", "same"): [], ("e", "removed"): [],
+        (None, "added"): [], (None, "removed"): []}
+    written = drift.drift_tables(diff)
+    assert [tuple(r) for r in written["renamed_data_elements"].collect()] == [("b", "old", "B")]
+    assert sorted(r.attribute for r in written["changed_data_elements"].collect()) == ["code", "code", "name"]
+
+
+def test_snapshot_diff_of_nested_and_empty_snapshots(spark):
+    schema = "id string, held array<struct<id: string>>"
+    one = spark.createDataFrame([("a", [("x",)]), ("b", None)], schema)
+    two = spark.createDataFrame([("a", [("y",)]), ("b", None)], schema)
+    changed = drift.snapshot_diff(one, two).filter("status = 'changed'").collect()
+    assert [(c.old_value, c.new_value) for c in changed[0].changes] == [('[{"id":"y"}]', '[{"id":"x"}]')]
+    assert len(changed) == 1
+    empty = one.limit(0)
+    assert [r.status for r in drift.snapshot_diff(one, empty).collect()] == ["added", "added"]
+    assert drift.snapshot_diff(empty, empty).count() == 0

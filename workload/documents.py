@@ -4,7 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.sources.tables import scratch_path
+from workload import fixtures as fx
 
+#: Rows of a document, about.
+MANY = 100
 STAMP = "yyyy-MM-dd'T'HH:mm:ss"
 
 
@@ -70,11 +73,60 @@ def entity_documents(df: DataFrame, payload: str, fields: dict[str, str]) -> str
     return write_documents(documents, payload)
 
 
+def write_pretty(rows: DataFrame, payload: str, bucket: str, name: str) -> str:
+    """Pretty-printed documents, a file per bucket of rows; and one that ends too
+    early."""
+    documents = rows.groupBy(bucket).agg(F.collect_list("item").alias(payload))
+    text = documents.select(bucket, F.to_json(
+        F.struct(F.lit("1").alias("version"), F.col(payload)), {"pretty": "true"}).alias("value"))
+    broken = rows.sparkSession.range(1).select(
+        F.lit(-1).cast("long").alias(bucket), F.lit(f'{{\n  "{payload}": [').alias("value"))
+    path = scratch_path(rows.sparkSession, name)
+    text.unionByName(broken).write.partitionBy(bucket).text(path)
+    return path
+
+
+def pretty_metadata(spark, sf_dir) -> str:
+    parts = fx.table(spark, sf_dir, "part")
+    item = F.expr("""named_struct('id', concat('P', p_partkey), 'name', p_name,
+        'categoryCombo', named_struct('id', concat('CC', p_size), 'name', concat('Combo ', p_size)),
+        'dataElementGroups', transform(sequence(1, p_size % 3), n -> named_struct(
+            'id', concat('G', n), 'name', concat(p_brand, ' ', n))))""")
+    rows = parts.select(F.expr(f"p_partkey div {MANY}").alias("bucket"), item.alias("item"))
+    combo = spark.range(1).select(
+        F.lit(-2).cast("long").alias("bucket"),
+        F.lit('{"version": "1", "categoryOptionCombos": [{"id": "COC", "name": "default"}]}').alias("value"))
+    path = write_pretty(rows, "dataElements", "bucket", "pretty_metadata")
+    combo.write.mode("append").partitionBy("bucket").text(path)
+    return path
+
+
+def pretty_org_units(spark, sf_dir) -> str:
+    customer = fx.table(spark, sf_dir, "customer")
+    item = F.expr("""named_struct('id', concat('C', c_custkey), 'name', c_name,
+        'parent', if(c_acctbal < 0, null, named_struct('id', concat('N', c_nationkey), 'name', c_mktsegment)),
+        'groups', array(named_struct('id', c_mktsegment, 'name', concat('Group ', c_mktsegment))))""")
+    return write_pretty(customer.select(F.expr(f"c_custkey div {MANY}").alias("bucket"), item.alias("item")),
+                        "organisationUnits", "bucket", "pretty_units")
+
+
 def value_documents(sent: DataFrame) -> str:
-    """One document per unit and period with all its values; a value sent twice
-    appears twice. One document has no array and one an empty array."""
+    """Documents of at most about ``MANY`` values of a unit and period; a value
+    sent twice appears twice. One document has no array and one an empty array.
+
+    A hash of the value's own key deals a unit and period to as many documents as
+    its number of values asks for, so one that holds much of the table is no group
+    of its own. The numbers come from a map-side combined count."""
+    key = ["orgunit", "period"]
+    counts = sent.groupBy(*key).agg(F.count(F.lit(1)).alias("values_held")).filter(
+        F.col("values_held") > MANY).select(
+        *[F.col(name).alias(f"large_{name}") for name in key],
+        F.ceil(F.col("values_held") / MANY).alias("documents"))
+    dealt = sent.join(counts, (F.col("orgunit") == F.col("large_orgunit"))
+                      & (F.col("period") == F.col("large_period")), "left").withColumn(
+        "document", F.pmod(F.xxhash64("attributeoptioncombo"), F.coalesce("documents", F.lit(1))))
     copies = F.array_repeat(element(sent, DATA_VALUE), F.col("sent"))
-    documents = sent.groupBy("orgunit", "period").agg(
+    documents = dealt.groupBy(*key, "document").agg(
         F.flatten(F.collect_list(copies)).alias("dataValues"))
     bare = documents.limit(1)
     documents = documents.select("dataValues").union(

@@ -157,3 +157,22 @@ def reference_snapshot(spark, sf_dir):
     return table(spark, sf_dir, "part").filter("p_size <> 3").selectExpr(
         "concat('P', p_partkey) as id",
         "if(p_size in (1, 2), concat('old ', p_name), p_name) as name", "p_brand as shortname")
+
+
+def current_versions(spark, sf_dir):
+    """Elements of one snapshot, some in two versions of which the later counts."""
+    parts = table(spark, sf_dir, "part").filter("p_size <> 9").withColumn(
+        "version", F.explode(F.expr("sequence(1, if(p_size = 7, 2, 1))")))
+    return parts.selectExpr(
+        "concat('P', p_partkey) as id", "if(version = 1, p_name, 'older') as name",
+        "p_brand as shortname", "if(p_size = 6, null, p_type) as code",
+        "if(version = 1, timestamp_ntz '2024-02-01 00:00:00', timestamp_ntz '2024-01-01 00:00:00') "
+        "as lastupdated")
+
+
+def reference_versions(spark, sf_dir):
+    return table(spark, sf_dir, "part").filter("p_size <> 3").selectExpr(
+        "concat('P', p_partkey) as id",
+        "case when p_size in (1, 2) then concat('old ', p_name) when p_size = 8 then null else p_name end as name",
+        "if(p_size = 5, null, p_brand) as shortname", "if(p_size in (2, 4), 'X', p_type) as code",
+        "timestamp_ntz '2023-01-01 00:00:00' as lastupdated")

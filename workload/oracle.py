@@ -275,6 +275,24 @@ ELEMENT_KNOWN = "data_element_name is not null"
 COMBO_KNOWN = "category_option_combo_name is not null"
 UNIT_KNOWN = "facility_name is not null"
 
+VERSIONS = """
+    current_version as (
+        select concat('P', p_partkey) as id, p_name as name, p_brand as shortname,
+            case when p_size <> 6 then p_type end as code from part where p_size <> 9),
+    reference_version as (
+        select concat('P', p_partkey) as id, case when p_size in (1, 2) then concat('old ', p_name)
+                when p_size = 8 then null else p_name end as name,
+            case when p_size <> 5 then p_brand end as shortname,
+            case when p_size in (2, 4) then 'X' else p_type end as code
+        from part where p_size <> 3),
+    attribute_change as (
+        select id, attribute, old_value, new_value from (
+            select r.id, unnest(['name', 'shortname', 'code']) as attribute,
+                unnest([r.name, r.shortname, r.code]) as old_value,
+                unnest([c.name, c.shortname, c.code]) as new_value
+            from reference_version r join current_version c on r.id = c.id)
+        where old_value is distinct from new_value)"""
+
 STATEMENTS = {
     "src_json_document": """
         select '1' as version, cast(1 as integer) as units, id as first_id from fx_org_unit""",
@@ -435,6 +453,50 @@ STATEMENTS = {
         select count(*) filter (numeric_value < 0 or numeric_value > 1000000
             or country_name is null or is_late_submission is null) as violations
         from fx_fact""",
+    "drift_changed": f"""
+        with {VERSIONS}
+        select 'added' as status, c.id, null as attribute, null as old_value, null as new_value
+        from current_version c anti join reference_version r using (id)
+        union all
+        select 'removed', r.id, null, null, null from reference_version r
+        anti join current_version c using (id)
+        union all
+        select 'changed', id, attribute, old_value, new_value from attribute_change""",
+    "drift_written": f"""
+        with {VERSIONS}
+        select 'added_data_elements' as drift_table, c.id, null as old_value,
+            concat_ws('|', name, shortname, code) as new_value
+        from current_version c anti join reference_version r using (id)
+        union all
+        select 'removed_data_elements', r.id, concat_ws('|', name, shortname, code), null
+        from reference_version r anti join current_version c using (id)
+        union all
+        select case when attribute = 'name' and old_value is not null and new_value is not null
+                then 'renamed_data_elements' else 'changed_data_elements' end, id,
+            case when attribute = 'name' and old_value is not null and new_value is not null
+                then old_value else concat_ws('|', attribute, old_value) end,
+            case when attribute = 'name' and old_value is not null and new_value is not null
+                then new_value else concat_ws('|', attribute, new_value) end
+        from attribute_change""",
+    "ingest_pretty_documents": """
+        select 'element' as entity, concat('P', p_partkey) as id,
+            concat('{"id":"CC', p_size, '","name":"Combo ', p_size, '"}') as one,
+            case p_size % 3 when 0 then concat('[{"id":"G1","name":"', p_brand,
+                ' 1"},{"id":"G0","name":"', p_brand, ' 0"}]')
+                when 1 then concat('[{"id":"G1","name":"', p_brand, ' 1"}]')
+                else concat('[{"id":"G1","name":"', p_brand, ' 1"},{"id":"G2","name":"', p_brand,
+                    ' 2"}]') end as many
+        from part
+        union all
+        select 'unit', concat('C', c_custkey),
+            case when c_acctbal >= 0 then concat('{"id":"N', c_nationkey, '","name":"', c_mktsegment,
+                '"}') end,
+            concat('[{"id":"', c_mktsegment, '","name":"Group ', c_mktsegment, '"}]')
+        from customer
+        union all
+        select 'metadata', '{ "dataElements": [', null, null
+        union all
+        select 'org_units', '{ "organisationUnits": [', null, null""",
     "drift_added": "select * from fx_added",
     "drift_removed": "select * from fx_removed",
     "drift_renamed": "select * from fx_renamed",

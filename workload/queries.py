@@ -1,5 +1,7 @@
 """Registered queries: each operator over the given tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
@@ -408,6 +410,47 @@ def drift_summary(spark, sf_dir):
     return drift.drift_summary(drift.snapshot_drift(*snapshots(spark, sf_dir)))
 
 
+def drift_changed(spark, sf_dir):
+    """Every difference of two snapshots: rows by status, and attributes."""
+    diff = drift.snapshot_diff(fx.current_versions(spark, sf_dir), fx.reference_versions(spark, sf_dir))
+    return diff.filter("status <> 'same'").select(
+        "status", F.col("diff_key").alias("id"), F.inline_outer("changes"))
+
+
+def drift_written(spark, sf_dir):
+    """The drift tables as the job writes them, by content."""
+    diff = tables.materialize(drift.snapshot_diff(
+        fx.current_versions(spark, sf_dir), fx.reference_versions(spark, sf_dir)), "diff")
+    written = tables.write_tables(drift.drift_tables(diff), tables.scratch_path(spark, "drift"))
+    rows = {
+        "added_data_elements": ("cast(null as string)", "concat_ws('|', name, shortname, code)"),
+        "removed_data_elements": ("concat_ws('|', name, shortname, code)", "cast(null as string)"),
+        "renamed_data_elements": ("old_name", "new_name"),
+        "changed_data_elements": ("concat_ws('|', attribute, old_value)", "concat_ws('|', attribute, new_value)"),
+    }
+    parts = [written[table].selectExpr(f"'{table}' as drift_table", "id", f"{old} as old_value",
+                                       f"{new} as new_value") for table, (old, new) in rows.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def ingest_pretty_documents(spark, sf_dir):
+    """Nested fields of pretty-printed documents with many rows an array, and the
+    documents that cannot be read."""
+    elements, _ = documents.parse_metadata(spark, docs.pretty_metadata(spark, sf_dir))
+    units = documents.parse_org_units(spark, docs.pretty_org_units(spark, sf_dir))
+
+    def shown(df, entity, one, many):
+        return df.select(F.lit(entity).alias("entity"), "id", F.to_json(one).alias("one"),
+                         F.to_json(many).alias("many"))
+
+    broken = elements.corrupt.withColumn("entity", F.lit("metadata")).unionByName(
+        units.corrupt.withColumn("entity", F.lit("org_units")))
+    return shown(elements.rows, "element", "categorycombo", "dataelementgroups").unionByName(
+        shown(units.rows, "unit", "parent", "groups")).unionByName(
+        broken.select("entity", F.trim(F.regexp_replace("corrupt_record", r"\s+", " ")).alias("id")),
+        allowMissingColumns=True)
+
+
 # ---- profiles, rates, gates
 
 def dq_profile(spark, sf_dir):
@@ -428,8 +471,7 @@ def quarantine_rate(spark, sf_dir):
 
 def quarantine_union(spark, sf_dir):
     staged = tables.materialize(judged(spark, sf_dir), "judged", ["outcome"])
-    rejected = gates.quarantine_union(reporting.quarantine_buckets(staged))
-    return rejected.select("reason", "dataelement", "period", "orgunit", "categoryoptioncombo",
+    return gates.quarantine_rows(staged).select("reason", "dataelement", "period", "orgunit", "categoryoptioncombo",
                            "attributeoptioncombo", "value", "lastupdated")
 
 
@@ -591,6 +633,7 @@ REGISTERED = {
         sink_fact_partitioned, sink_named_tables, materialize_roundtrip,
         jobs.job_two_loads, jobs.job_reopened_month, jobs.job_stale_resend, jobs.job_interrupted,
         near_dup_hot_events, sink_marts,
+        drift_changed, drift_written, ingest_pretty_documents,
     ]
 } | {
     "monthly_mom_change": over_fact(marts.monthly_mom_change),
