@@ -17,6 +17,7 @@ the hash of no bytes; null ids are carried; extra columns are ignored.
 import base64
 import hashlib
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -30,8 +31,8 @@ from fieldtally.llm.common import map_batches
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 # A space before a visible character always begins a match of the pattern.
 CHUNK_BORDER = re.compile(r"(?= \S)")
-CACHED_CHUNKS = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_CHUNKS = 300_000
+CACHED_PAIRS = 500_000
 LONGEST_CACHED = 48
 
 
@@ -165,16 +166,18 @@ class Encoder:
                  cached: int = CACHED_CHUNKS):
         self.ranks, self.pattern, self.cached = Ranks(read_ranks(path)), regex.compile(pattern), cached
         self._chunks: dict[str, bytes] = {}
-        self._pieces: dict[str, list[int]] = {}
+        self._pieces: dict[str, bytes] = {}
         self._token = [self.ranks.token.get(i, b"") for i in range(max(self.ranks.token) + 1)]
         self._digits = [str(i) for i in range(len(self._token))]
 
-    def piece(self, piece: str) -> list[int]:
+    def piece(self, piece: str) -> bytes:
+        """The packed ids of a match of the pattern."""
         found = self._pieces.get(piece)
         if found is None:
             raw = piece.encode()
             whole = self.ranks.rank.get(raw)
-            found = [whole] if whole is not None else PiecePrefixes(self.ranks, raw).ids()
+            found = array("I", [whole] if whole is not None
+                          else PiecePrefixes(self.ranks, raw).ids()).tobytes()
             if len(piece) <= LONGEST_CACHED:
                 if len(self._pieces) >= self.cached:
                     self._pieces.clear()
@@ -182,8 +185,7 @@ class Encoder:
         return found
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = [i for piece in self.pattern.findall(chunk) for i in self.piece(piece)]
-        packed = np.array(ids, np.uint32).tobytes()
+        packed = b"".join(map(self.piece, self.pattern.findall(chunk)))
         if len(chunk) <= LONGEST_CACHED:
             if len(self._chunks) >= self.cached:
                 self._chunks.clear()

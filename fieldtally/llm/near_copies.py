@@ -53,7 +53,7 @@ BINS, ROWS = 96, 4
 THRESHOLD = 0.8
 BLOCK_SHINGLES = 200_000
 BLOCK, LEVELS = 256, 4096
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 WORD = re.compile(r"\w+")
 U = np.uint64
 ODD = [U(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]

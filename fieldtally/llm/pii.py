@@ -31,7 +31,7 @@ from fieldtally.llm.common import map_batches
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["none", *KINDS]
 LABELLED_ROWS = 5_000
-CACHED_WORDS, CACHED_SHAPES = 400_000, 50_000
+CACHED_WORDS, CACHED_SHAPES = 200_000, 50_000
 BLOCK_CHARS = 1 << 20
 RESULTS = [*[f"n_{kind}" for kind in KINDS], "n_added", "base_sha256", "spans"]
 

@@ -15,11 +15,12 @@ shard number: the shards only spread the work. Each pair of blocks gives at most
 k rows per query.
 
 Defined results: vectors that are null or empty, or hold null or non-finite
-components, take no part; a component beyond +-2**40 is an error, as a score
-could pass a long; vectors of other lengths than the query's are no candidates;
-rows with the query's vec_id are its own; repeated query rows count once,
-repeated candidate rows stay; null vec_ids take no part; with fewer than k
-candidates all are returned; extra columns are ignored.
+components, take no part; where a score could pass a long (dimensions times the
+largest component of the query and of the block) it is an error; vectors of other
+lengths than the query's are no candidates; rows with the query's vec_id are its
+own; of a query id with several usable rows the smallest vector counts, repeated
+candidate rows stay; null vec_ids take no part; with fewer than k candidates all
+are returned; extra columns are ignored.
 """
 
 from collections.abc import Iterator
@@ -126,7 +127,11 @@ def query_blocks(queries: DataFrame, size: int = QUERY_ROWS) -> DataFrame:
                         "query_ids": ids[at:at + size].astype(np.int64).tobytes(),
                         "query_values": values[at:at + size].tobytes()}], schema=arrow)
 
-    return queries.select("vec_id", "embedding").dropDuplicates(["vec_id"]).mapInArrow(run, schema)
+    # unusable rows go before an id's rows are made one
+    usable = queries.where("vec_id is not null and size(embedding) > 0").where(F.forall(
+        "embedding", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf")))))
+    one = usable.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return one.select("vec_id", "embedding").mapInArrow(run, schema)
 
 
 def add_bitmaps(columns: dict[int, list[np.ndarray]]) -> dict[int, np.ndarray]:
@@ -240,6 +245,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
             ids = np.frombuffer(vec_ids, np.int64)
             slices = np.frombuffer(raw, np.uint64).reshape(dims, bits, -1)
             queries_here = np.frombuffer(query_values, np.int64).reshape(-1, dims)
+            largest = max(abs(offset), abs(offset + (1 << bits)))
+            if dims * largest * int(np.abs(queries_here).max()) >= 1 << 63:
+                raise ValueError("A score could pass a long")
             valid = np.zeros(slices.shape[2] * 64, np.uint8)
             for query_id, query in zip(np.frombuffer(query_ids, np.int64), queries_here):
                 valid[:len(ids)] = ids != query_id

@@ -33,20 +33,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import arrow_schema, prepare_python
+from fieldtally.llm.common import arrow_schema, collector_paused, prepare_python
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 SEGMENT_IDS = 1 << 18
 SAMPLE = 64
-CACHED_WORDS = 500_000
+CACHED_WORDS = 400_000
 LONGEST_CACHED = 40
 MAGIC = b"EFTOKEN1"
 HEAD = struct.Struct("<8sQQQBB6x")
 
 # Texts of these characters only: composed letters whose lower case is one
 # character, so that words can be cut and lowered before they reach the library.
-PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+PLAIN = bytes([9, 10, 13, *range(0x20, 0x7f), *range(0xc0, 0xd7), *range(0xd8, 0xf7), *range(0xf8, 0x100)])
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
@@ -70,35 +70,45 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
-        cut = [text.lower().split() if self._is_plain(text) else None for text in texts]
         known = self.chunks
         if len(known) > self.cached:
             known.clear()
-        fresh = self._encode_chunks(
-            {chunk for chunks in cut if chunks for chunk in chunks if chunk not in known})
+        cut = [text.lower().split() if self._is_plain(text) else None for text in texts]
+        found = [list(map(known.get, chunks)) if chunks is not None else None for chunks in cut]
+        partly = [i for i, parts in enumerate(found) if parts is not None and None in parts]
+        fresh = self._encode_chunks({chunk for i in partly for chunk, part in zip(cut[i], found[i])
+                                     if part is None})
+        for i in partly:
+            found[i] = [fresh[chunk] if part is None else part for chunk, part in zip(cut[i], found[i])]
         known.update((chunk, ids) for chunk, ids in fresh.items() if len(chunk) <= LONGEST_CACHED)
-        packed = []
-        for text, chunks in zip(texts, cut):
-            if chunks is None:
-                ids = self.whole.encode(text, add_special_tokens=False).ids
-                packed.append(np.array(ids, self.type).tobytes())
-            else:
-                packed.append(b"".join([known.get(chunk) or fresh[chunk] for chunk in chunks]))
-        return packed
+        return [self._whole(text) if parts is None else b"".join(parts)
+                for text, parts in zip(texts, found)]
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.whole.encode(text, add_special_tokens=False).ids
+        return np.array(ids, self.type).tobytes()
 
     def _is_plain(self, text: str) -> bool:
-        return bool(PLAIN.fullmatch(text)) and not any(name in text for name in self.special)
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return not raw.translate(None, PLAIN) and not any(name in text for name in self.special)
 
     def _encode_chunks(self, chunks: set[str]) -> dict[str, bytes]:
-        cut = {chunk: WORD.findall(chunk) for chunk in chunks}
+        # a chunk of letters is one word
+        cut = {chunk: WORD.findall(chunk) for chunk in chunks if not chunk.isalpha()}
         known = self.known
         if len(known) > self.cached:
             known.clear()
-        missing = list({word for words in cut.values() for word in words if word not in known})
+        parts = {word for words in cut.values() for word in words if word not in known}
+        missing = list(parts.union(chunk for chunk in chunks if chunk.isalpha() and chunk not in known))
         fresh = dict(zip(missing, self._encode_words(missing)))
-        known.update((word, ids) for word, ids in fresh.items() if len(word) <= LONGEST_CACHED)
-        return {chunk: b"".join([known.get(word) or fresh[word] for word in words])
-                for chunk, words in cut.items()}
+        # whole chunks are remembered by the caller
+        known.update((word, fresh[word]) for word in parts if len(word) <= LONGEST_CACHED)
+        whole = {chunk: known.get(chunk) or fresh[chunk] for chunk in chunks if chunk not in cut}
+        return whole | {chunk: b"".join([known.get(word) or fresh[word] for word in words])
+                        for chunk, words in cut.items()}
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         if not words:
@@ -216,7 +226,9 @@ def write_segments(docs: DataFrame, path: str, tokenizer_path: str = TOKENIZER,
 
         for batch in batches:
             texts = [text or "" for text in batch.column(1).to_pylist()]
-            for doc_id, body in zip(batch.column(0).to_pylist(), words.encode(texts)):
+            with collector_paused():
+                encoded = words.encode(texts)
+            for doc_id, body in zip(batch.column(0).to_pylist(), encoded):
                 size = len(body) // width + 1
                 if ids and held + size > segment_ids:
                     yield close()

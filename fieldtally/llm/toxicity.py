@@ -40,7 +40,7 @@ BEGINNINGS = (3, 4, 5, 6)
 DRIFT = 0.05
 FLAT_PRIOR, SHARE_PRIOR = 0.5, 10.0
 SIGNIFICANT = 0.01
-CACHED_WORDS, CACHED_LENGTH = 500_000, 64
+CACHED_WORDS, CACHED_LENGTH = 300_000, 64
 WORD = re.compile(r"\w+")
 RESULTS = ["held_out", "score", "predicted", "n_passages", "passages"]
 

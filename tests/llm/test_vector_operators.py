@@ -166,3 +166,22 @@ def test_topk_edges(spark):
     big = vectors(spark, [(0, [1e30, 1.0], 1), (1, [1.0, 1.0], 1)])
     with pytest.raises(Exception, match="too large"):
         sliced_topk.top_k(big, big).count()
+
+
+def test_topk_scores_never_wrap(spark):
+    vectors = spark.createDataFrame([(0, [2.0 ** 26] * 4), (1, [2.0 ** 26] * 4), (2, [100.0] * 4)],
+                                    "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="pass a long"):
+        sliced_topk.top_k(vectors, vectors).collect()
+    fits = spark.createDataFrame([(0, [2.0 ** 19] * 4), (1, [2.0 ** 19] * 4), (2, [100.0] * 4)],
+                                 "vec_id long, embedding array<double>")
+    best = sliced_topk.top_k(fits, fits.where("vec_id = 0")).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in best] == [(1, 4 << 58), (2, 4 * 100 * 1024 << 29)]
+
+
+def test_topk_of_an_id_with_usable_and_unusable_rows(spark):
+    vectors = spark.createDataFrame(
+        [(100, None), (100, [1.0, 0.0]), (100, [float("nan"), 1.0]), (1, [2.0, 1.0])],
+        "vec_id long, embedding array<double>")
+    found = sliced_topk.top_k(vectors, vectors.where("vec_id = 100")).collect()
+    assert [tuple(r) for r in found] == [(100, 1, 1, 2 * 1024 * 1024)]
