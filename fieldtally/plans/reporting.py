@@ -23,6 +23,7 @@ from fieldtally.operators.gates import (
 from fieldtally.operators.hierarchy import level_names, path_levels
 from fieldtally.operators.lookup import attach, lookup_table, reject_reason
 from fieldtally.operators.marts import fold_facilities, fold_series, marts_of_folds
+from fieldtally.operators.measures import fold_measures, typed_marts
 from fieldtally.operators.quality import CLEAN, judge, with_value_flags
 from fieldtally.operators.star import (
     build_fact, dim_data_element, dim_org_unit, dim_period, dim_program,
@@ -33,6 +34,7 @@ FACT = "facts/fact_service_delivery"
 PERIOD_STATISTICS = "facts/period_statistics"
 # folds of the fact by month: what the marts need of a month
 FOLDS = {"facts/fold_series": fold_series, "facts/fold_facilities": fold_facilities}
+MEASURE_FOLD = {"facts/fold_measures": fold_measures}
 BAD_PERIOD = "bad_period"
 CORRUPT = "corrupt_document"
 
@@ -61,6 +63,8 @@ class Options:
     max_quarantine_rate: float = MAX_QUARANTINE_RATE
     max_unresolved_rate: float | None = None
     min_fact_rows: int = MIN_FACT_ROWS
+    #: Also write marts that average, add up or keep the last value as the element says.
+    by_aggregation_type: bool = False
     #: Called as the run gets on, with 'fact', 'marts', 'staged' and 'committed'.
     on_step: Callable[[str], None] = lambda step: None
 
@@ -177,9 +181,10 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
         return "no_new_periods"
     enforce_gates(run_gates(counts, options.max_quarantine_rate, options.min_fact_rows,
                             options.max_unresolved_rate))
-    stage_fact(release, fact, statistics, options)
+    element_dimension = dim_data_element(elements)
+    stage_fact(release, fact, statistics, element_dimension, options)
     release.stage_all({
-        "dim_data_element": dim_data_element(elements),
+        "dim_data_element": element_dimension,
         "dim_org_unit": dim_org_unit(hierarchy),
         "dim_program": dim_program(programs),
     }, "dimensions")
@@ -188,7 +193,7 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
 
 
 def stage_fact(release: publish.Release, fact: DataFrame, statistics: DataFrame,
-               options: Options) -> None:
+               element_dimension: DataFrame, options: Options) -> None:
     """The touched periods of the fact and of its folds, and what follows from
     all periods: statistics, the period dimension and the marts. Of periods the run
     does not touch only folds and statistics are read."""
@@ -204,13 +209,17 @@ def stage_fact(release: publish.Release, fact: DataFrame, statistics: DataFrame,
         incremental.replace_periods(statistics, fresh, touched), PERIOD_STATISTICS)
 
     def whole_fold(name: str) -> DataFrame:
-        here = release.stage_partitions(FOLDS[name](fact), name, FACT_PARTITION)
-        stored = stored_fold(spark, output, name, FOLDS[name], statistics, here)
+        here = release.stage_partitions(folds[name](fact), name, FACT_PARTITION)
+        stored = stored_fold(spark, output, name, folds[name], statistics, here)
         return tables.materialize(incremental.replace_periods(stored, here, touched), "fold")
 
-    series, facilities = tables.side_by_side(whole_fold, list(FOLDS))
+    folds = FOLDS | (MEASURE_FOLD if options.by_aggregation_type else {})
+    series, facilities, *typed = tables.side_by_side(whole_fold, list(folds))
+    marts = marts_of_folds(series, facilities)
+    if typed:
+        marts |= typed_marts(typed[0], element_dimension)
     release.stage_all({"dim_period": dim_period(held)}, "dimensions")
-    release.stage_all(marts_of_folds(series, facilities), "analytics")
+    release.stage_all(marts, "analytics")
     options.on_step("marts")
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldtally.constants import FACT_CONTRACT
-from fieldtally.operators import contract, gates, marts, quality, star
+from fieldtally.operators import contract, gates, marts, measures, quality, star
 
 SMALL = {
     "table_name": "fact",
@@ -162,3 +162,26 @@ def test_reporting_rates(spark):
     assert scores == {"K": 0.25, "U": 1.0}
     assert [r.country_name for r in marts.low_completeness_countries(df).collect()] == ["K"]
     assert marts.low_completeness_countries(df, threshold=0.25).count() == 0
+
+
+def test_measures_merge_by_aggregation_type(spark):
+    fact = spark.createDataFrame(
+        [("L", "P", "P", 2024, 1, "202401", 10.0), ("L", "P", "P", 2024, 1, "202401", 20.0),
+         ("M", "P", "P", 2024, 1, "202402", 90.0), ("L", "P", "P", 2024, 1, "202403", None),
+         ("L", "S", "S", 2024, 1, "202401", 5.0), ("L", "S", "S", 2024, 1, "202402", 7.0),
+         ("L", "T", "T", 2024, 1, "202401", 5.0), ("L", "T", "T", 2024, 1, "202402", 3.0),
+         ("L", "U", "U", 2024, 1, "202401", 5.0)],
+        "country_name string, data_element_id string, data_element_name string, year int, quarter int, "
+        "year_month string, numeric_value double")
+    elements = spark.createDataFrame([("P", "AVERAGE"), ("S", "LAST"), ("T", "MIN"), ("U", None)],
+                                     "data_element_id string, aggregationtype string")
+    typed = measures.with_types(measures.fold_measures(fact), elements)
+    quarter = {r.data_element_name: r.quarterly_amount for r in measures.typed_quarterly(typed).collect()}
+    # every value of an average weighs alike, whatever the month or country it came from
+    assert quarter == {"P": 40.0, "S": 7.0, "T": 3.0, "U": 5.0}
+    rolled = {(r.data_element_name, r.country_name, r.year_month): r.rolling_amount
+              for r in measures.typed_rolling(typed).collect()}
+    assert rolled["P", "L", "202403"] == 15.0 and rolled["S", "L", "202402"] == 7.0
+    change = {r.data_element_name: r.mom_change for r in measures.typed_mom_change(typed).collect()
+              if r.previous_amount is not None and r.data_element_name != "P"}
+    assert change == {"S": 2.0, "T": -2.0}

@@ -275,6 +275,16 @@ ELEMENT_KNOWN = "data_element_name is not null"
 COMBO_KNOWN = "category_option_combo_name is not null"
 UNIT_KNOWN = "facility_name is not null"
 
+TYPED = """
+    typed_fact as (
+        select *, case data_element_name when 'Indicator ECONOMY' then 'AVERAGE'
+            when 'Indicator PROMO' then 'LAST' when 'Indicator SMALL' then 'MAX' else 'SUM' end
+            as aggregationtype from fx_fact),
+    typed_month as (
+        select country_name, data_element_name, aggregationtype, year_month,
+            case aggregationtype when 'AVERAGE' then avg(numeric_value)
+                when 'MAX' then max(numeric_value) else sum(numeric_value) end as monthly_amount
+        from typed_fact group by country_name, data_element_name, aggregationtype, year_month)"""
 VERSIONS = """
     current_version as (
         select concat('P', p_partkey) as id, p_name as name, p_brand as shortname,
@@ -634,6 +644,51 @@ STATEMENTS = {
         union all select 'dim_org_unit', count(*) from fx_org_unit
         union all select 'dim_program', count(*) from fx_program""",
     "materialize_roundtrip": f"select {SINK} from fx_fact",
+    "monthly_by_type": f"""
+        with {TYPED}
+        select * replace (round(monthly_amount + 1.3e-7, 6) as monthly_amount) from typed_month""",
+    "monthly_change_by_type": f"""
+        with {TYPED}
+        select country_name, data_element_name, aggregationtype, year_month,
+            round(monthly_amount + 1.3e-7, 6) as monthly_amount, round(previous + 1.3e-7, 6) as previous_amount, round(monthly_amount - previous + 1.3e-7, 6) as mom_change
+        from (select *, lag(monthly_amount) over (
+            partition by country_name, data_element_name order by year_month) as previous
+            from typed_month)
+        """,
+    "rolling_3month_by_type": f"""
+        with {TYPED},
+        ranked as (
+            select *, dense_rank() over (partition by country_name, data_element_name
+                order by year_month) as nth from typed_fact),
+        months as (
+            select distinct country_name, data_element_name, aggregationtype, year_month, nth
+            from ranked),
+        together as (
+            select m.*, r.nth as held, sum(r.numeric_value) as total,
+                count(r.numeric_value) as counted, max(r.numeric_value) as greatest
+            from months m join ranked r on m.country_name = r.country_name
+                and m.data_element_name = r.data_element_name and r.nth between m.nth - 2 and m.nth
+            group by m.country_name, m.data_element_name, m.aggregationtype, m.year_month, m.nth,
+                r.nth)
+        select country_name, data_element_name, aggregationtype, year_month,
+            round(case aggregationtype when 'AVERAGE' then sum(total) / sum(counted)
+                when 'MAX' then max(greatest)
+                when 'LAST' then arg_max(total, held) filter (total is not null)
+                else sum(total) / count(total) end + 1.3e-7, 6) as rolling_amount
+        from together group by country_name, data_element_name, aggregationtype, year_month""",
+    "quarterly_by_type": f"""
+        with {TYPED},
+        last_month as (
+            select year, quarter, data_element_name, max(year_month) as year_month
+            from typed_fact where numeric_value is not null group by all)
+        select t.year, t.quarter, t.data_element_name, t.aggregationtype,
+            round(case t.aggregationtype when 'AVERAGE' then avg(numeric_value)
+                when 'MAX' then max(numeric_value)
+                when 'LAST' then sum(numeric_value) filter (t.year_month = l.year_month)
+                else sum(numeric_value) end + 1.3e-7, 6) as quarterly_amount
+        from typed_fact t left join last_month l on t.year = l.year and t.quarter = l.quarter
+            and t.data_element_name = l.data_element_name
+        group by t.year, t.quarter, t.data_element_name, t.aggregationtype""",
     "monthly_mom_change": """
         select country_name, data_element_name, year_month,
             round(monthly_total, 6) as monthly_total, round(previous, 6) as previous_month_total,

@@ -9,7 +9,8 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 from fieldtally import constants as C
 from fieldtally.functions import casts, columns, periods
 from fieldtally.operators import (
-    contract, dedup, drift, gates, hierarchy, latest, lookup, marts, quality, star,
+    contract, dedup, drift, gates, hierarchy, latest, lookup, marts, measures,
+    quality, star,
 )
 from fieldtally.plans import reporting
 from fieldtally.sources import documents, incremental, tables
@@ -607,6 +608,28 @@ def sink_marts(spark, sf_dir):
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
+def typed_measures(spark, sf_dir):
+    """The fold of the fact with types: percentages average, one element keeps its
+    last value, one its greatest, the others add up."""
+    kind = F.expr("""case id when 'ECONOMY' then 'AVERAGE' when 'PROMO' then 'LAST'
+        when 'SMALL' then 'MAX' when 'STANDARD' then 'SUM' end""")
+    elements = fx.data_elements(spark, sf_dir).select(
+        F.col("id").alias("data_element_id"), kind.alias("aggregationtype"))
+    return measures.with_types(measures.fold_measures(fact(spark, sf_dir)), elements)
+
+
+#: Averages of amounts with two decimals often end in a 5 at the next digit, where
+#: the order of additions would decide how they round.
+OFF_TIES = 1.3e-7
+
+
+def over_measures(operator, amounts):
+    def query(spark, sf_dir):
+        found = operator(typed_measures(spark, sf_dir))
+        return found.withColumns({name: F.round(F.col(name) + OFF_TIES, 6) for name in amounts})
+    return query
+
+
 def materialize_roundtrip(spark, sf_dir):
     rows = fact(spark, sf_dir).select(*SINK_COLUMNS)
     return tables.materialize(rows, "roundtrip", ["year_month"])
@@ -636,6 +659,11 @@ REGISTERED = {
         drift_changed, drift_written, ingest_pretty_documents,
     ]
 } | {
+    "monthly_by_type": over_measures(measures.typed_monthly, ["monthly_amount"]),
+    "monthly_change_by_type": over_measures(
+        measures.typed_mom_change, ["monthly_amount", "previous_amount", "mom_change"]),
+    "rolling_3month_by_type": over_measures(measures.typed_rolling, ["rolling_amount"]),
+    "quarterly_by_type": over_measures(measures.typed_quarterly, ["quarterly_amount"]),
     "monthly_mom_change": over_fact(marts.monthly_mom_change),
     "monthly_mom_change_calendar": over_fact(
         lambda rows: marts.monthly_mom_change(rows, calendar=True)),
