@@ -25,6 +25,7 @@ from fieldtally.operators.lookup import attach, lookup_table, reject_reason
 from fieldtally.operators.marts import fold_facilities, fold_series, marts_of_folds
 from fieldtally.operators.measures import fold_measures, typed_marts
 from fieldtally.operators.quality import CLEAN, judge, with_value_flags
+from fieldtally.operators.rollups import number_facilities, rate_marts, reporting_bitmaps
 from fieldtally.operators.star import (
     build_fact, dim_data_element, dim_org_unit, dim_period, dim_program,
 )
@@ -35,6 +36,8 @@ PERIOD_STATISTICS = "facts/period_statistics"
 # folds of the fact by month: what the marts need of a month
 FOLDS = {"facts/fold_series": fold_series, "facts/fold_facilities": fold_facilities}
 MEASURE_FOLD = {"facts/fold_measures": fold_measures}
+FACILITY_NUMBERS = "facts/facility_numbers"
+BITMAPS = "facts/reporting_bitmaps"
 BAD_PERIOD = "bad_period"
 CORRUPT = "corrupt_document"
 
@@ -65,6 +68,8 @@ class Options:
     min_fact_rows: int = MIN_FACT_ROWS
     #: Also write marts that average, add up or keep the last value as the element says.
     by_aggregation_type: bool = False
+    #: Also write reporting rates of quarters and years.
+    rolled_rates: bool = False
     #: Called as the run gets on, with 'fact', 'marts', 'staged' and 'committed'.
     on_step: Callable[[str], None] = lambda step: None
 
@@ -218,11 +223,31 @@ def stage_fact(release: publish.Release, fact: DataFrame, statistics: DataFrame,
     marts = marts_of_folds(series, facilities)
     if typed:
         marts |= typed_marts(typed[0], element_dimension)
+    if options.rolled_rates:
+        marts |= rate_marts(stage_bitmaps(release, facilities, touched))
     release.stage_all({"dim_period": dim_period(held)}, "dimensions")
     release.stage_all(marts, "analytics")
     options.on_step("marts")
 
 
+def stage_bitmaps(release: publish.Release, facilities: DataFrame, touched: list[str]) -> DataFrame:
+    """Numbers of all facilities, and the bitmaps of the touched months beside those
+    of the others; all months anew if numbers or bitmaps are lost."""
+    spark, output = release.spark, release.output
+    months = {row[0] for row in facilities.select(FACT_PARTITION).distinct().collect()}
+    folders = {unquote(part.split("=", 1)[1])
+               for part in publish.folder_names(spark, f"{output}/{BITMAPS}") if "=" in part}
+    kept = publish.exists(spark, f"{output}/{FACILITY_NUMBERS}") and months <= folders | set(touched)
+    known = spark.read.parquet(f"{output}/{FACILITY_NUMBERS}") if kept else None
+    numbers = release.stage(number_facilities(facilities, known), FACILITY_NUMBERS)
+    fresh = facilities.filter(F.col(FACT_PARTITION).isin(touched)) if kept else facilities
+    here = release.stage_partitions(reporting_bitmaps(fresh, numbers), BITMAPS, FACT_PARTITION)
+    if not kept or not folders:
+        return here
+    stored = spark.read.schema(here.schema).parquet(f"{output}/{BITMAPS}")
+    return tables.materialize(incremental.replace_periods(stored, here, touched), "bitmaps")
+
+
 def stored_fold(spark: SparkSession, output: str, name: str, fold: Callable,
                 statistics: DataFrame, like: DataFrame) -> DataFrame:
     """The published fold of the fact, or of the whole stored fact where it is lost."""

@@ -377,6 +377,25 @@ def test_a_load_opens_no_fact_file_of_other_months(spark, export, tmp_path):
         "202401": 2, "202402": 2, "202403": 2, "202404": 1}
 
 
+def test_options_add_marts_by_type_and_rolled_rates(spark, export, tmp_path):
+    output = str(tmp_path / "out")
+    options = Options(by_aggregation_type=True, rolled_rates=True)
+    export.values(value("4"), value(None, unit="C"), value("8", period="202402", unit="C"))
+    assert run_reporting(spark, export.inputs(), output, options) == "success"
+    export.values(value("6", period="202405"), value(None, period="202405", unit="R"))
+    assert run_reporting(spark, export.inputs(), output, options) == "success"
+    rates = {r.period: (r.reporting_facilities, r.expected_facilities)
+             for name in ("quarterly", "yearly")
+             for r in read(spark, output, f"analytics/{name}_reporting_rate").collect()
+             if r.country_name == "Land"}
+    assert rates == {"2024Q1": (2, 2), "2024Q2": (1, 2), "2024": (2, 3)}
+    numbers = [r.number for r in read(spark, output, "facts/facility_numbers").collect()]
+    assert sorted(numbers) == [0, 1, 2]
+    by_type = read(spark, output, "analytics/quarterly_by_type").collect()
+    assert sorted((r.quarter, r.aggregationtype, r.quarterly_amount) for r in by_type) == [
+        (1, "SUM", 12.0), (2, "SUM", 6.0)]
+
+
 def test_lost_statistics_and_folds_are_counted_anew(spark, export, tmp_path):
     output = str(tmp_path / "out")
     export.values(value("1"), value("2", period="202402", unit="C"))

@@ -725,6 +725,16 @@ STATEMENTS = {
                 as reporting_facilities,
             count(distinct facility_name) as expected_facilities
             from fx_silenced group by country_name, year_month)""",
+    "reporting_rate_rolled": f"""
+        select country_name, period, reporting_facilities, expected_facilities,
+            {quotient('reporting_facilities', 'expected_facilities')} as reporting_rate
+        from (select country_name, period,
+            count(distinct case when has_reported_value then facility_name end)
+                as reporting_facilities,
+            count(distinct facility_name) as expected_facilities
+            from (select *, concat(substr(year_month, 1, 4), 'Q', quarter) as period from fx_silenced
+                union all select *, substr(year_month, 1, 4) from fx_silenced)
+            group by country_name, period)""",
     "underreporting_facilities": f"""
         select country_name, facility_name, {share('has_reported_value')} as reporting_score
         from fx_silenced group by country_name, facility_name

@@ -10,7 +10,7 @@ from fieldtally import constants as C
 from fieldtally.functions import casts, columns, periods
 from fieldtally.operators import (
     contract, dedup, drift, gates, hierarchy, latest, lookup, marts, measures,
-    quality, star,
+    quality, rollups, star,
 )
 from fieldtally.plans import reporting
 from fieldtally.sources import documents, incremental, tables
@@ -618,6 +618,18 @@ def typed_measures(spark, sf_dir):
     return measures.with_types(measures.fold_measures(fact(spark, sf_dir)), elements)
 
 
+def reporting_rate_rolled(spark, sf_dir):
+    """Quarterly and yearly reporting rates from bitmaps of two loads: facilities of
+    the later months are numbered after those known before."""
+    fold = tables.materialize(marts.fold_facilities(silenced_fact(spark, sf_dir)), "facilities")
+    early = fold.filter(F.col("year_month") < EARLY)
+    known = tables.materialize(rollups.number_facilities(early), "numbers")
+    numbers = tables.materialize(rollups.number_facilities(fold, known), "numbers")
+    bitmaps = tables.materialize(rollups.reporting_bitmaps(early, known).unionByName(
+        rollups.reporting_bitmaps(fold.filter(F.col("year_month") >= EARLY), numbers)), "bitmaps")
+    return reduce(DataFrame.unionByName, rollups.rate_marts(bitmaps).values())
+
+
 #: Averages of amounts with two decimals often end in a 5 at the next digit, where
 #: the order of additions would decide how they round.
 OFF_TIES = 1.3e-7
@@ -656,7 +668,7 @@ REGISTERED = {
         sink_fact_partitioned, sink_named_tables, materialize_roundtrip,
         jobs.job_two_loads, jobs.job_reopened_month, jobs.job_stale_resend, jobs.job_interrupted,
         near_dup_hot_events, sink_marts,
-        drift_changed, drift_written, ingest_pretty_documents,
+        drift_changed, drift_written, ingest_pretty_documents, reporting_rate_rolled,
     ]
 } | {
     "monthly_by_type": over_measures(measures.typed_monthly, ["monthly_amount"]),
