@@ -1,6 +1,6 @@
 """Exact and latest-wins duplicates; every input row lands in one output."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldtally.constants import BUSINESS_KEY
@@ -27,6 +27,15 @@ def collapse_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
 
 
+def written_copies(df: DataFrame, copies: str = "copies") -> tuple[DataFrame, int]:
+    """``collapse_copies`` written, and the largest number of copies, seen while
+    writing."""
+    seen = Observation("copies")
+    counted = materialize(
+        collapse_copies(df, copies).observe(seen, F.max(copies).alias("most")), "counted")
+    return counted, seen.get["most"] or 0
+
+
 def expand_copies(df: DataFrame, copies: str = "copies", most: int | None = None) -> DataFrame:
     """Repeat each row ``copies`` times; zero or less gives none. ``most``, if
     known, is the largest number there is.
@@ -54,9 +63,9 @@ def expand_copies(df: DataFrame, copies: str = "copies", most: int | None = None
 def remove_exact_duplicates(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(distinct rows, surplus copies): n equal rows give one and n - 1. Copies
     are folded once, for both."""
-    counted = materialize(collapse_copies(df), "counted")
+    counted, most = written_copies(df)
     surplus = counted.filter("copies > 1").withColumn("copies", F.col("copies") - 1)
-    return counted.select(*df.columns), expand_copies(surplus)
+    return counted.select(*df.columns), expand_copies(surplus, most=most)
 
 
 def resolve_near_duplicates(
@@ -72,10 +81,10 @@ def resolve_near_duplicates(
     keys = [column_named(df, name) for name in keys]
     newest = [column_named(df, timestamp)]
     newest += [name for name in present(df, ["created", "value"]) if name not in newest + keys]
-    counted = materialize(collapse_copies(df), "counted")
+    counted, most = written_copies(df)
     marked = mark_latest(counted, keys, newest + [
         name for name in df.columns if name not in newest + keys])
     latest = marked.filter("is_latest").select(*df.columns)
     superseded = marked.withColumn(
         "copies", F.col("copies") - F.col("is_latest").cast("long"))
-    return latest, expand_copies(superseded.select(*df.columns, "copies"))
+    return latest, expand_copies(superseded.select(*df.columns, "copies"), most=most)

@@ -5,8 +5,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldtally.sources.tables import materialize
+
 HOT_SHARE = 1e-3
 HOT_ROWS = 10_000
+#: Largest broadcast of winners; beyond it they are copied to so many salts.
+WINNER_BYTES = 16 * 1024 * 1024
+SALTS = 64
 
 
 def recency_order(df: DataFrame, newest: list[str], keys: list[str]) -> list[str]:
@@ -85,8 +90,9 @@ def with_hot_winner(df: DataFrame, keys: list[str], order: list[str],
                     hot: list[int]) -> DataFrame:
     """Attach the largest ordering of its key to each row of a hot key.
 
-    The winners are one row per hot key, at most 1 / ``HOT_SHARE`` of them, so
-    they are always few enough to broadcast."""
+    The winners are one row per hot key, at most 1 / ``HOT_SHARE`` of them. They are
+    written and their bytes measured; if long texts make them too large for a
+    broadcast, the join shuffles by a key and a salt, so a hot key still spreads."""
     rows = df.withColumn("key_hash", key_hash(keys))
     winners = rows.filter(F.col("key_hash").isin(hot)).groupBy(
         *[F.col(name).alias(f"hot_{name}") for name in keys]
@@ -95,4 +101,11 @@ def with_hot_winner(df: DataFrame, keys: list[str], order: list[str],
     same_key = F.col("key_hash") == F.col("hot_hash")
     for name in keys:
         same_key = same_key & F.col(name).eqNullSafe(F.col(f"hot_{name}"))
-    return rows.join(F.broadcast(winners), same_key, "left")
+    winners = materialize(winners, "winners")
+    size = winners.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    if size <= WINNER_BYTES:
+        return rows.join(F.broadcast(winners), same_key, "left")
+    spread = winners.withColumn("hot_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("row_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    joined = salted.join(spread, same_key & (F.col("row_salt") == F.col("hot_salt")), "left")
+    return joined.drop("row_salt", "hot_salt")

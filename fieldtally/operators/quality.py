@@ -12,9 +12,8 @@ from fieldtally.functions.casts import (
 from fieldtally.functions.columns import present, select_existing
 from fieldtally.functions.periods import with_late_flag
 from fieldtally.functions.rates import rate
-from fieldtally.operators.dedup import collapse_copies, expand_copies
+from fieldtally.operators.dedup import collapse_copies, expand_copies, written_copies
 from fieldtally.operators.latest import mark_latest
-from fieldtally.sources.tables import materialize
 
 CLEAN = "clean"
 EXACT = "exact_duplicates"
@@ -58,11 +57,12 @@ def surplus_copies(judged: DataFrame, copies: str = "copies") -> DataFrame:
 def run_quality(df: DataFrame, keys: list[str] = BUSINESS_KEY) -> QualityResult:
     """Prune, set exact and superseded duplicates apart, then type and flag."""
     pruned = prune_columns(df)
-    judged = judge(materialize(collapse_copies(pruned), "counted"), keys)
+    counted, most = written_copies(pruned)
+    judged = judge(counted, keys)
     rows = pruned.columns
     return QualityResult(
         clean=with_value_flags(judged.filter(F.col("outcome") == CLEAN).select(*rows)),
-        exact_duplicates=expand_copies(surplus_copies(judged)),
+        exact_duplicates=expand_copies(surplus_copies(judged), most=most),
         superseded=judged.filter(F.col("outcome") == SUPERSEDED).select(*rows),
     )
 

@@ -129,3 +129,28 @@ def test_quality_job_keeps_the_later_value(spark):
     kept = found.clean.collect()
     assert [(r.value, r.numeric_value, r.is_late_submission) for r in kept] == [("5", 5.0, False)]
     assert found.superseded.count() == 1 and found.exact_duplicates.count() == 1
+
+
+def test_superseded_rows_are_ranked_once(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "y"), ("b", 1, "z")],
+                                 "k string, lastupdated int, value string")
+    _, superseded = dedup.resolve_near_duplicates(rows, ["k"])
+    assert sorted(map(tuple, superseded.collect())) == [("a", 1, "x"), ("a", 2, "y")]
+    _, superseded = dedup.resolve_near_duplicates(rows, ["k"])
+    plan = superseded._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window [row_number") == 1 and plan.count("FileScan") == 1
+    surplus = dedup.remove_exact_duplicates(rows)[1]
+    assert surplus._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+    empty = dedup.resolve_near_duplicates(rows.limit(0), ["k"])
+    assert [df.count() for df in empty] == [0, 0]
+
+
+def test_hot_winners_too_large_for_a_broadcast_join_by_salt(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("if(id % 2 = 0, 'hot', concat('k', id % 7)) as k", "id as t", "id as v")
+    hot = [row[0] for row in rows.filter("k = 'hot'").select(latest.key_hash(["k"])).distinct().collect()]
+    few = latest.mark_latest(rows, ["k"], ["t"], hot)
+    monkeypatch.setattr(latest, "WINNER_BYTES", 10)
+    many = latest.mark_latest(rows, ["k"], ["t"], hot)
+    assert "hot_salt" in many._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    assert many.columns == [*rows.columns, "is_latest"]
