@@ -113,9 +113,11 @@ def count_tokens(docs: DataFrame, sections: DataFrame | None = None, rule: str =
         raise ValueError(f"The rule must be one of {RULES}")
     chosen = docs.select("doc_id", "text")
     if sections is not None:
-        spans = sections.groupBy("doc_id").agg(F.array_sort(F.collect_list(
+        spans = sections.groupBy(F.col("doc_id").alias("section_of")).agg(F.array_sort(F.collect_list(
             F.struct("section", "start", "stop"))).alias("spans"))
-        chosen = chosen.join(spans, "doc_id").select("doc_id", "text", "spans")
+        # a null id has sections too
+        chosen = chosen.join(spans, F.col("doc_id").eqNullSafe(F.col("section_of"))).select(
+            "doc_id", "text", "spans")
 
     def work(batch: pa.RecordBatch) -> dict:
         encoder = span_encoder(path)

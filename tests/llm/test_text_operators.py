@@ -265,3 +265,11 @@ def test_license_edges(spark, edges):
     plain = {r.doc_id: sum(len(re.findall(re.escape(v), r.text)) for v in short.values()) for r in docs.collect()}
     found = {r.doc_id: r.n_found for r in licenses.scan_documents(docs).collect()}
     assert sum(plain.values()) > 0 and all(found[i] >= n for i, n in plain.items())
+
+
+def test_sections_of_a_document_without_id(spark):
+    docs = spark.createDataFrame([(None, "one two three"), (1, "four")], "doc_id long, text string")
+    sections = spark.createDataFrame([(None, 0, 0, 7), (None, 1, 7, None), (1, 0, 0, None), (2, 0, 0, 3)],
+                                     "doc_id long, section int, start long, stop long")
+    found = {(r.doc_id, r.section): r.n_tokens for r in token_counts.count_tokens(docs, sections).collect()}
+    assert set(found) == {(None, 0), (None, 1), (1, 0)} and all(n > 0 for n in found.values())
