@@ -6,6 +6,12 @@ pii           replaces personal data in the texts
 mixing        repeats documents so that languages near their target weights;
               no rate falls below 1, so no document is lost
 byte_bpe      gives the token ids of each document
+
+Defined results: a null text counts as empty and is never toxic; documents without
+doc_id, empty texts and repeated rows pass every stage that does not name them (equal
+texts are near copies, of which one stays); an empty table gives an empty table; extra
+columns come back unchanged until the last stage, which returns doc_id and ids,
+whatever their names are.
 """
 
 from collections.abc import Callable
@@ -22,15 +28,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 FLATTEN = 0.7
 
 
+def shielded(stage: Stage) -> Stage:
+    """A stage that sees only doc_id and text under their names: whatever other
+    columns the documents have come back as they were, also those named like a
+    result of the stage."""
+    def run_shielded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {name: name if name in ("doc_id", "text") else f"document_column_{i}"
+                 for i, name in enumerate(docs.columns)}
+        done = stage(spark, docs.toDF(*names.values()), sf_dir)
+        return done.select(*[F.col(held).alias(name) for name, held in names.items()])
+
+    return run_shielded
+
+
+@shielded
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, model).where("predicted = 0").select(*docs.columns)
 
 
+@shielded
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_copies.without_copies(docs)
 
 
+@shielded
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.redact_documents(docs, pii.train(pii.labelled_table(spark)))
 
