@@ -179,10 +179,19 @@ def repeat_documents(docs: DataFrame, rates: DataFrame) -> DataFrame:
     """Each document as often as its rate says: the whole part for certain, one
     more by a hash of the document against the rest."""
     u = F.pmod(F.xxhash64("doc_id", "text_key", F.lit("mix")), F.lit(HASH_RANGE)) / HASH_RANGE
-    times = rates.select(F.col("doc_id").alias("rated_id"), F.col("text_key").alias("rated_key"),
-                         F.floor(F.col("rate") + u).cast("int").alias("times"))
-    keyed = docs.withColumn("rated_text", text_key())
-    joined = keyed.join(times, keyed["doc_id"].eqNullSafe(times["rated_id"])
-                        & (keyed["rated_text"] == times["rated_key"])).where("times > 0")
-    return joined.withColumn("turn", F.explode(F.sequence(F.lit(1), "times"))).select(
-        *[keyed[name] for name in docs.columns])
+    held, (text, key, doc, times, turn) = docs.columns, free_names(docs, 5)
+    rated = rates.select(F.col("doc_id").alias(doc), F.col("text_key").alias(key),
+                         F.floor(F.col("rate") + u).cast("int").alias(times))
+    keyed = docs.withColumn(text, text_key())
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(text) == F.col(key))
+    repeated = keyed.join(rated, same).where(F.col(times) > 0).withColumn(
+        turn, F.explode(F.sequence(F.lit(1), times)))
+    return repeated.select(*[F.col(f"`{name}`") for name in held])
+
+
+def free_names(df: DataFrame, count: int) -> list[str]:
+    """Column names the frame does not have, in any spelling."""
+    prefix = "mix"
+    while any(name.lower().startswith(prefix) for name in df.columns):
+        prefix += "_"
+    return [f"{prefix}{i}" for i in range(count)]
