@@ -772,6 +772,17 @@ STATEMENTS["sink_marts"] = " union all ".join(
         ("country_reporting_rate", "country_reporting_rate",
          "concat(country_name, '|', year_month)", "reporting_rate")])
 
+STATEMENTS["sink_amount_marts"] = " union all ".join(
+    f"select '{mart}' as mart, {key} as key, {amount} as amount from ({STATEMENTS[name]})"
+    for mart, name, key, amount in [
+        ("monthly_mom_change", "monthly_mom_change",
+         "concat_ws('|', country_name, data_element_name, year_month)", "mom_change"),
+        ("rolling_3month_avg", "rolling_3month_avg",
+         "concat_ws('|', country_name, data_element_name, year_month)", "rolling_3month_avg"),
+        ("quarterly_global_totals", "quarterly_global_totals",
+         "concat_ws('|', year, quarter, data_element_name)", "quarterly_total"),
+        ("low_completeness_countries", "low_completeness", "country_name", "completeness_score")])
+
 
 def needed(sql: str) -> list[str]:
     """Inputs a statement refers to, directly or through others, in order."""

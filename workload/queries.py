@@ -623,6 +623,22 @@ def typed_measures(spark, sf_dir):
     return measures.with_types(measures.fold_measures(fact(spark, sf_dir)), elements)
 
 
+def sink_amount_marts(spark, sf_dir):
+    """The amounts of the other marts as the job writes them."""
+    rows = tables.materialize(silenced_fact(spark, sf_dir), "fact")
+    found = marts.all_marts(rows)
+    amounts = {"monthly_mom_change": ([*marts.SERIES, "year_month"], "mom_change"),
+               "rolling_3month_avg": ([*marts.SERIES, "year_month"], "rolling_3month_avg"),
+               "quarterly_global_totals": (["year", "quarter", "data_element_name"], "quarterly_total"),
+               "low_completeness_countries": (["country_name"], "completeness_score")}
+    written = tables.write_tables({name: found[name] for name in amounts},
+                                  tables.scratch_path(spark, "analytics"))
+    return reduce(DataFrame.unionByName, [
+        written[name].select(F.lit(name).alias("mart"), F.concat_ws("|", *keys).alias("key"),
+                             F.round(amount, 6).alias("amount"))
+        for name, (keys, amount) in amounts.items()])
+
+
 def reporting_rate_rolled(spark, sf_dir):
     """Quarterly and yearly reporting rates from bitmaps of two loads: facilities of
     the later months are numbered after those known before."""
@@ -672,7 +688,7 @@ REGISTERED = {
         incremental_changed_periods, sink_parquet_dynamic_overwrite, sink_csv_roundtrip,
         sink_fact_partitioned, sink_named_tables, materialize_roundtrip,
         jobs.job_two_loads, jobs.job_reopened_month, jobs.job_stale_resend, jobs.job_interrupted,
-        near_dup_hot_events, sink_marts,
+        near_dup_hot_events, sink_marts, sink_amount_marts,
         drift_changed, drift_written, ingest_pretty_documents, reporting_rate_rolled,
     ]
 } | {
