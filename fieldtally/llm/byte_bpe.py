@@ -125,18 +125,18 @@ class PiecePrefixes:
         ranks, piece, last = self.ranks, self.piece, self.last
         tree, longest, known, follows = ranks.tree, ranks.longest, ranks.known.get, ranks.follows
         for at in range(max(0, begin - longest), len(piece)):
-            before, end, children = last[at], at, tree
+            # Nothing stands before the first token, so any may begin.
+            before, end, children = last[at] << 32, at, tree
             for byte in piece[at:at + longest]:
-                node = children.get(byte)
-                if node is None:
+                if byte not in children:
                     break
                 end += 1
-                found, children = node
+                found, children = children[byte]
                 if found >= 0 and last[end] < 0:
-                    if before >= 0:
-                        fits = known(before << 32 | found)
+                    if at:
+                        fits = known(before | found)
                         if fits is None:
-                            fits = follows(before, found)
+                            fits = follows(before >> 32, found)
                         if not fits:
                             continue
                     last[end] = found
@@ -167,8 +167,9 @@ class Encoder:
         self.ranks, self.pattern, self.cached = Ranks(read_ranks(path)), regex.compile(pattern), cached
         self._chunks: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
-        self._token = [self.ranks.token.get(i, b"") for i in range(max(self.ranks.token) + 1)]
-        self._digits = [str(i) for i in range(len(self._token))]
+        size = max(self.ranks.token) + 1
+        self._token = np.array([self.ranks.token.get(i, b"") for i in range(size)], object)
+        self._digits = np.array([str(i) for i in range(size)], object)
 
     def piece(self, piece: str) -> bytes:
         """The packed ids of a match of the pattern."""
@@ -185,7 +186,8 @@ class Encoder:
         return found
 
     def _chunk(self, chunk: str) -> bytes:
-        packed = b"".join(map(self.piece, self.pattern.findall(chunk)))
+        known, piece = self._pieces.get, self.piece
+        packed = b"".join([known(p) or piece(p) for p in self.pattern.findall(chunk)])
         if len(chunk) <= LONGEST_CACHED:
             if len(self._chunks) >= self.cached:
                 self._chunks.clear()
@@ -198,10 +200,10 @@ class Encoder:
                              np.uint32)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self._token.__getitem__, ids.tolist()))
+        return b"".join(self._token[ids].tolist())
 
     def decimal(self, ids: np.ndarray) -> str:
-        return ",".join(map(self._digits.__getitem__, ids.tolist()))
+        return ",".join(self._digits[ids].tolist())
 
 
 class EditableText:
