@@ -1,5 +1,6 @@
 """Data-quality job, profiles, rates and row counts."""
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation
@@ -54,12 +55,21 @@ def surplus_copies(judged: DataFrame, copies: str = "copies") -> DataFrame:
         copies, F.col(copies) - 1).drop("outcome")
 
 
-def run_quality(df: DataFrame, keys: list[str] = BUSINESS_KEY) -> QualityResult:
-    """Prune, set exact and superseded duplicates apart, then type and flag."""
-    pruned = prune_columns(df)
-    counted, most = written_copies(pruned)
+def run_quality(df: DataFrame, keys: list[str] = BUSINESS_KEY,
+                attach: Callable[[DataFrame], DataFrame] | None = None) -> QualityResult:
+    """Prune, set exact and superseded duplicates apart, then type and flag.
+
+    ``attach`` adds attributes that the business key alone decides and may drop
+    keys it does not resolve. It runs after the ranking, so both shuffles move the
+    columns of ``df`` only, and gives what ranking rows with attributes would: they
+    are equal within a key. It sees the columns ``copies`` and ``outcome`` and
+    must keep them and the number of rows of a key it resolves."""
+    counted, most = written_copies(prune_columns(df))
     judged = judge(counted, keys)
-    rows = pruned.columns
+    if attach:
+        judged = attach(judged)
+    rows = present(judged, QUALITY_COLUMNS)
+    judged = judged.select(*rows, "copies", "outcome")
     return QualityResult(
         clean=with_value_flags(judged.filter(F.col("outcome") == CLEAN).select(*rows)),
         exact_duplicates=expand_copies(surplus_copies(judged), most=most),

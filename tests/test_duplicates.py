@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import pytest
 
+from fieldtally.functions.periods import with_period_dates
 from fieldtally.operators import dedup, latest, quality
 
 EVENTS = "k string, t int, v string"
@@ -131,6 +132,36 @@ def test_quality_job_keeps_the_later_value(spark):
     assert found.superseded.count() == 1 and found.exact_duplicates.count() == 1
 
 
+def test_quality_job_attaches_attributes_after_the_ranking(spark):
+    rows = spark.createDataFrame(
+        [("DE1", "202401", "OU1", "C", "1", 1), ("DE1", "202401", "OU1", "C", "5", 2),
+         ("DE1", "202401", "OU1", "C", "5", 2), ("DE9", "202401", "OU1", "C", "7", 3),
+         (None, "202401", "OU1", "C", "8", 3)],
+        "dataelement string, period string, orgunit string, categoryoptioncombo string, "
+        "value string, lastupdated int").withColumn(
+            "lastupdated", F.timestamp_seconds("lastupdated"))
+    names = F.when(F.col("dataelement") == "DE1", "Cases")
+
+    def attach(df):
+        return with_period_dates(df).withColumns(
+            {"data_element_name": names, "value_type": F.lit("NUMBER")}).filter(
+                "data_element_name is not null")
+
+    late = quality.run_quality(rows, attach=attach)
+    early = quality.run_quality(attach(rows))
+    for one, other in zip(late, early):
+        assert one.columns == other.columns
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    assert [r.value for r in late.clean.collect()] == ["5"]
+    window = [line for line in late.clean._jdf.queryExecution().optimizedPlan().toString().splitlines()
+              if "Window [" in line]
+    assert len(window) == 1
+    ranked = late.clean._jdf.queryExecution().sparkPlan().toString()
+    assert "data_element_name" not in ranked[ranked.index("Window ["):]
+    empty = quality.run_quality(rows.limit(0), attach=attach)
+    assert [df.count() for df in empty] == [0, 0, 0]
+
+
 def test_superseded_rows_are_ranked_once(spark):
     rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "y"), ("b", 1, "z")],
                                  "k string, lastupdated int, value string")

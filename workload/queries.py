@@ -292,7 +292,13 @@ def duplicate_rate(spark, sf_dir):
 # ---- quality job, star schema
 
 def run_quality(spark, sf_dir):
-    return quality.run_quality(periods.with_period_dates(enriched(spark, sf_dir).resolved))
+    def attributes(rows):
+        known = reporting.attach_lookups(
+            periods.with_period_dates(rows), fx.data_elements(spark, sf_dir),
+            fx.category_combos(spark, sf_dir), fx.hierarchy(spark, sf_dir))
+        return known.filter(lookup.reject_reason(reporting.RESOLUTION_ORDER).isNull())
+
+    return quality.run_quality(fx.data_values(spark, sf_dir), attach=attributes)
 
 
 def dq_clean_fact(spark, sf_dir):
