@@ -278,8 +278,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, sample: int =
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                           F.col("label").cast("long").alias("label"), "embedding")
     marked = rows.select("vec_id", "label", F.when(usable(), F.col("embedding")).alias("embedding"))
+    # The constant stands first: behind the vector its hash would follow from ``one``.
     keyed = marked.select("vec_id", "label", "embedding", F.xxhash64("embedding").alias("one"),
-                          F.xxhash64("embedding", F.lit(1)).alias("two"))
+                          F.xxhash64(F.lit(1), "embedding").alias("two"))
     alone = keyed.where("embedding is null")
     fold = ["label", "one", "two"]
     classes = keyed.where("embedding is not null").groupBy(*fold).agg(

@@ -4,6 +4,7 @@ import dataclasses
 import hashlib
 import random
 import re
+import warnings
 import zlib
 
 import numpy as np
@@ -405,6 +406,17 @@ def test_rates_are_those_of_plain_projected_steps(mixed, spark):
         assert rate.min() >= least
 
 
+def test_missed_targets_are_reported(spark):
+    members = spark.createDataFrame(
+        [(i, i, 1000, 1, p, 1 - p) for i, p in enumerate([0.55] * 50 + [0.45] * 50)],
+        "doc_id long, text_key long, n_tokens long, copies long, p0 double, p1 double")
+    with pytest.warns(mixing.TargetsMissed, match="miss a target"):
+        mixing.fit_rates(members, [45_500.0, 54_500.0])
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", mixing.TargetsMissed)
+        mixing.fit_rates(members, [55_000.0, 55_000.0])
+
+
 def test_rates_decide_how_often_documents_stand(mixed):
     docs, labelled = mixed
     rates = mixing.mix(docs, labelled, flatten=0.5, least=1.0).cache()
