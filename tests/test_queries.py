@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fieldtally.sources import documents, publish
+from workload import documents as docs
 from workload.oracle import statements
 from workload.queries import registered
 
@@ -51,3 +53,16 @@ def test_same_rows(spark, duck, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_value_documents_are_written_compressed_and_read_whole(spark):
+    sent = spark.range(250).selectExpr(
+        "'D' as dataelement", "'202401' as period", "concat('C', id % 2) as orgunit", "'X' as categoryoptioncombo",
+        "cast(id as string) as attributeoptioncombo", "'1' as value", "'clerk' as storedby",
+        "timestamp_ntz '2024-01-01 00:00:00' as created", "timestamp_ntz '2024-01-02 00:00:00' as lastupdated",
+        "'false' as followup", "if(id = 7, 2, 1) as sent")
+    path = docs.value_documents(sent)
+    files = {name for name in publish.folder_names(spark, path) if name.startswith("part-")}
+    assert files and all(name.endswith(".json.gz") for name in files)
+    found = documents.ingest_data_values(spark, path, lines=True)
+    assert found.count() == 251 and found.select("attributeoptioncombo").distinct().count() == 250

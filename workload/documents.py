@@ -25,7 +25,7 @@ def element(df: DataFrame, fields: dict[str, str]):
 
 def write_documents(documents: DataFrame, name: str) -> str:
     path = scratch_path(documents.sparkSession, name)
-    documents.write.json(path)
+    documents.write.json(path, compression="gzip")
     return path
 
 
