@@ -4,6 +4,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from fieldtally.sources.tables import materialize
 
@@ -20,10 +21,14 @@ def recency_order(df: DataFrame, newest: list[str], keys: list[str]) -> list[str
     return newest + [name for name in df.columns if name not in newest + keys]
 
 
+def newest_first(keys: list[str], order: list[str]) -> WindowSpec:
+    descending = [F.desc_nulls_last(name) for name in order] or [F.lit(1)]
+    return Window.partitionBy(*keys).orderBy(*descending)
+
+
 def rank_newest(keys: list[str], order: list[str]) -> Column:
     """Position within the key, largest ordering first."""
-    descending = [F.desc_nulls_last(name) for name in order] or [F.lit(1)]
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*descending))
+    return F.row_number().over(newest_first(keys, order))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
@@ -86,15 +91,44 @@ def mark_latest(df: DataFrame, keys: list[str], newest: list[str],
     ).select(*df.columns, "is_latest")
 
 
+def fold_latest(df: DataFrame, keys: list[str], newest: list[str], copies: str = "copies",
+                hot: list[int] | None = None) -> DataFrame:
+    """Distinct rows with the number of their ``copies`` and ``is_latest``, from one
+    shuffle of ``df``. It is read more than once, so it should be a written table.
+
+    Rows of ordinary keys meet by key: equal rows are neighbours in the order that
+    ranks them, so one window counts and ranks them. Rows of keys in ``hot`` (found
+    in ``df`` if not given) fold before their shuffle, which spreads them by all
+    columns, and compare themselves with the winner of their key."""
+    hot = hot_keys(df, keys) if hot is None else hot
+    order = recency_order(df, newest, keys)
+    by_key = newest_first(keys, order)
+    is_hot = key_hash(keys).isin(hot)
+    placed = (df.filter(~is_hot) if hot else df).select(
+        "*", F.row_number().over(by_key).alias("fold_place"), F.rank().over(by_key).alias("fold_first"),
+        F.count(F.lit(1)).over(by_key.rangeBetween(Window.currentRow, Window.currentRow)).alias(copies))
+    folded = placed.filter("fold_place = fold_first").select(
+        *df.columns, copies, (F.col("fold_place") == 1).alias("is_latest"))
+    if not hot:
+        return folded
+    loud = df.filter(is_hot)
+    rows = with_hot_winner(
+        loud.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies)), keys, order, hot, loud)
+    return folded.union(rows.select(
+        *df.columns, copies, F.struct(*order).eqNullSafe(F.col("winner")).alias("is_latest")))
+
+
 def with_hot_winner(df: DataFrame, keys: list[str], order: list[str],
-                    hot: list[int]) -> DataFrame:
-    """Attach the largest ordering of its key to each row of a hot key.
+                    hot: list[int], among: DataFrame | None = None) -> DataFrame:
+    """Attach the largest ordering of its key to each row of a hot key. It is sought
+    in ``among``, if given: a frame of the same rows that is cheaper to read.
 
     The winners are one row per hot key, at most 1 / ``HOT_SHARE`` of them. They are
     written and their bytes measured; if long texts make them too large for a
     broadcast, the join shuffles by a key and a salt, so a hot key still spreads."""
     rows = df.withColumn("key_hash", key_hash(keys))
-    winners = rows.filter(F.col("key_hash").isin(hot)).groupBy(
+    held = rows if among is None else among.withColumn("key_hash", key_hash(keys))
+    winners = held.filter(F.col("key_hash").isin(hot)).groupBy(
         *[F.col(name).alias(f"hot_{name}") for name in keys]
     ).agg(F.max(F.struct(*order)).alias("winner"))
     winners = winners.withColumn("hot_hash", key_hash([f"hot_{name}" for name in keys]))

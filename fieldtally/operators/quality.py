@@ -13,8 +13,9 @@ from fieldtally.functions.casts import (
 from fieldtally.functions.columns import present, select_existing
 from fieldtally.functions.periods import with_late_flag
 from fieldtally.functions.rates import rate
-from fieldtally.operators.dedup import collapse_copies, expand_copies, written_copies
-from fieldtally.operators.latest import mark_latest
+from fieldtally.operators.dedup import collapse_copies, expand_copies
+from fieldtally.operators.latest import fold_latest
+from fieldtally.sources.tables import materialize
 
 CLEAN = "clean"
 EXACT = "exact_duplicates"
@@ -37,13 +38,12 @@ def with_value_flags(df: DataFrame) -> DataFrame:
     return with_completeness_flags(with_late_flag(with_missing_flags(with_typed_values(df))))
 
 
-def judge(counted: DataFrame, keys: list[str] = BUSINESS_KEY, timestamp: str = "lastupdated",
+def judge(rows: DataFrame, keys: list[str] = BUSINESS_KEY, timestamp: str = "lastupdated",
           copies: str = "copies", hot: list[int] | None = None) -> DataFrame:
-    """Add ``outcome`` to distinct rows that carry their number of copies: the
-    latest row per key is clean, the others are superseded."""
-    newest = [timestamp] + present(counted, ["created", "value"])
-    newest += [name for name in counted.columns if name not in [*newest, *keys, copies]]
-    marked = mark_latest(counted, keys, newest, hot)
+    """Distinct rows of a written table with their number of copies and ``outcome``:
+    the latest row per key is clean, the others are superseded."""
+    newest = [timestamp] + present(rows, ["created", "value"])
+    marked = fold_latest(rows, keys, newest, copies, hot)
     outcome = F.when(F.col("is_latest"), CLEAN).otherwise(SUPERSEDED)
     return marked.withColumn("outcome", outcome).drop("is_latest")
 
@@ -60,19 +60,18 @@ def run_quality(df: DataFrame, keys: list[str] = BUSINESS_KEY,
     """Prune, set exact and superseded duplicates apart, then type and flag.
 
     ``attach`` adds attributes that the business key alone decides and may drop
-    keys it does not resolve. It runs after the ranking, so both shuffles move the
+    keys it does not resolve. It runs after the ranking, so its shuffle moves the
     columns of ``df`` only, and gives what ranking rows with attributes would: they
     are equal within a key. It sees the columns ``copies`` and ``outcome`` and
     must keep them and the number of rows of a key it resolves."""
-    counted, most = written_copies(prune_columns(df))
-    judged = judge(counted, keys)
+    judged = judge(materialize(prune_columns(df), "raw"), keys)
     if attach:
         judged = attach(judged)
     rows = present(judged, QUALITY_COLUMNS)
     judged = judged.select(*rows, "copies", "outcome")
     return QualityResult(
         clean=with_value_flags(judged.filter(F.col("outcome") == CLEAN).select(*rows)),
-        exact_duplicates=expand_copies(surplus_copies(judged), most=most),
+        exact_duplicates=expand_copies(surplus_copies(judged)),
         superseded=judged.filter(F.col("outcome") == SUPERSEDED).select(*rows),
     )
 

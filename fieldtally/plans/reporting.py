@@ -15,7 +15,6 @@ from fieldtally.constants import (
 from fieldtally.functions.columns import present
 from fieldtally.functions.periods import period_start, with_period_dates
 from fieldtally.operators.contract import ContractError, enforce_contract
-from fieldtally.operators.dedup import collapse_copies
 from fieldtally.operators.drift import drift_summary, drift_tables, snapshot_diff
 from fieldtally.operators.gates import (
     GateError, enforce_gates, outcome_counts, quarantine_rows, quarantine_union, run_gates,
@@ -97,22 +96,20 @@ def attach_lookups(values: DataFrame, elements: DataFrame, combos: DataFrame,
     return values
 
 
-def count_values(values: DataFrame) -> DataFrame:
-    """Distinct raw values with their copies, written: finding hot keys, their
-    winners and the ranking all read them."""
-    raw = values.select(*present(values, DATA_VALUE_COLUMNS))
-    return tables.materialize(collapse_copies(raw), "counted")
+def raw_values(values: DataFrame) -> DataFrame:
+    return values.select(*present(values, DATA_VALUE_COLUMNS))
 
 
-def judge_values(counted: DataFrame, elements: DataFrame, combos: DataFrame,
+def judge_values(raw: DataFrame, elements: DataFrame, combos: DataFrame,
                  hierarchy: DataFrame) -> DataFrame:
-    """Counted values with attributes, flags and an outcome each.
-
-    Both shuffles move the narrow raw columns only. Copies are folded already:
-    lookups hold one row per key, so equal raw rows stay equal. Ranking comes
-    next: whether a row resolves depends on its business key alone, so rejected
-    rows never compete with accepted ones. Attributes are attached last."""
-    ranked = with_period_dates(judge(counted))
+    """Distinct raw values of a written table with their copies, attributes, flags
+    and an outcome each.
+
+    One shuffle, of the narrow raw columns only, folds copies and ranks. Lookups
+    hold one row per key, so equal raw rows stay equal; and whether a row resolves
+    depends on its business key alone, so rejected rows never compete with accepted
+    ones. Attributes are attached last."""
+    ranked = with_period_dates(judge(raw))
     known = attach_lookups(ranked, elements, combos, hierarchy)
     bad_period = F.when(F.col("period_start_date").isNull(), F.lit(BAD_PERIOD))
     reason = F.coalesce(bad_period, reject_reason(RESOLUTION_ORDER), F.col("outcome"))
@@ -166,11 +163,11 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
         spark, f"{release.output}/{FACT}", f"{release.output}/{PERIOD_STATISTICS}")
     if options.incremental:
         values = pending_values(values, statistics, options.refresh_changed)
-    counted = count_values(values)
+    raw = raw_values(values)
 
     hierarchy = tables.materialize(build_hierarchy(org_units), "hierarchy")
     judged = tables.materialize(
-        judge_values(counted, elements, combos, hierarchy), "judged", ["outcome"])
+        judge_values(raw, elements, combos, hierarchy), "judged", ["outcome"])
     counts = tables.materialize(outcome_counts(judged), "counts")
     # one load time for the whole run
     loaded_at = F.lit(spark.sql("select current_timestamp() as now").first().now)
@@ -181,7 +178,7 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
     documents.require_rows(parsed.rows, f"{inputs.data_values} dataValues")
 
     # rows without a readable period never load, so they alone are no reason to run
-    if not incremental.load_required(counted.filter(period_start(F.col("period")).isNotNull())):
+    if not incremental.load_required(raw.filter(period_start(F.col("period")).isNotNull())):
         stage_metrics(release, counts, corrupt, lost, "no_new_periods")
         return "no_new_periods"
     enforce_gates(run_gates(counts, options.max_quarantine_rate, options.min_fact_rows,

@@ -185,3 +185,49 @@ def test_hot_winners_too_large_for_a_broadcast_join_by_salt(spark, monkeypatch):
     assert "hot_salt" in many._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
     assert many.columns == [*rows.columns, "is_latest"]
+
+
+def shuffles(df):
+    """Exchanges of the plan that runs, without those of broadcasts and single rows."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@settings(max_examples=12, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows)
+def test_folding_and_ranking_like_a_loop(spark, data):
+    """Against brute force, with no hot key, one and every key hot."""
+    winners = {}
+    for key, t, v in set(data):
+        if key not in winners or newest(t, v) > newest(*winners[key]):
+            winners[key] = (t, v)
+    expected = Counter({(key, t, v, copies, winners[key] == (t, v)): 1
+                        for (key, t, v), copies in Counter(data).items()})
+    df = spark.createDataFrame(data, EVENTS)
+    every = [row.h for row in df.select(latest.key_hash(["k"]).alias("h")).distinct().collect()]
+    for hot in ([], every[:1], every):
+        folded = latest.fold_latest(df, ["k"], ["t"], hot=hot)
+        assert folded.columns == ["k", "t", "v", "copies", "is_latest"]
+        assert as_counts(folded) == expected
+
+
+def test_rows_move_once_to_be_folded_and_ranked(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), ("a", 2, "y")],
+                               "k string, lastupdated int, value string")
+    judged = quality.judge(df, ["k"], hot=[])
+    assert shuffles(judged) == 1
+    assert sorted(map(tuple, judged.select("value", "copies", "outcome").collect())) == [
+        ("x", 2, quality.SUPERSEDED), ("y", 1, quality.CLEAN)]
+
+
+def test_a_repeated_row_of_a_hot_key_folds_before_it_moves(spark):
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 2).otherwise(F.col("id")).alias("t"))
+    folded = latest.fold_latest(df, ["k"], ["t"])
+    assert sorted(map(tuple, folded.filter("k = 'hot'").collect())) == [
+        ("hot", 0, 10_000, False), ("hot", 1, 10_000, True)]
+    assert folded.filter("k <> 'hot' and copies = 1 and is_latest").count() == 40_000
+    assert folded.count() == 40_002
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count(1)" in plan

@@ -63,9 +63,10 @@ def enriched(spark, sf_dir):
 
 
 def judged(spark, sf_dir):
+    raw = tables.materialize(reporting.raw_values(fx.data_values(spark, sf_dir)), "raw")
     return reporting.judge_values(
-        reporting.count_values(fx.data_values(spark, sf_dir)), fx.data_elements(spark, sf_dir),
-        fx.category_combos(spark, sf_dir), fx.hierarchy(spark, sf_dir))
+        raw, fx.data_elements(spark, sf_dir), fx.category_combos(spark, sf_dir),
+        fx.hierarchy(spark, sf_dir))
 
 
 def clean(spark, sf_dir):
