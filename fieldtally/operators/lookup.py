@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.functions.columns import present
-from fieldtally.operators.latest import latest_per_key
+from fieldtally.operators.latest import hot_keys, key_hash, latest_per_key
 from fieldtally.sources.tables import materialize_measured
 
 MAX_BROADCAST_ROWS = 1_000_000
@@ -29,8 +29,14 @@ def broadcast_if_small(df: DataFrame, name: str = "lookup", **limits: int) -> Da
 
     Anything larger joins by shuffle, where adaptive execution splits the
     partitions of hot keys."""
+    written, small = written_lookup(df, name, **limits)
+    return F.broadcast(written) if small else written
+
+
+def written_lookup(df: DataFrame, name: str = "lookup", **limits: int) -> tuple[DataFrame, bool]:
+    """The frame as written, and whether it is small enough to be broadcast."""
     written, rows, size = materialize_measured(df, name)
-    return F.broadcast(written) if small_enough(rows, size, **limits) else written
+    return written, small_enough(rows, size, **limits)
 
 
 def lookup_table(table: DataFrame, key: str, attributes: dict[str, str],
@@ -39,6 +45,11 @@ def lookup_table(table: DataFrame, key: str, attributes: dict[str, str],
 
     ``attributes`` maps new names to columns of ``table``. The result is a
     written table, so every use of it is a plain scan."""
+    return broadcast_if_small(one_per_key(table, key, attributes, key_name), "lookup", **limits)
+
+
+def one_per_key(table: DataFrame, key: str, attributes: dict[str, str],
+                key_name: str = "lookup_key") -> DataFrame:
     recency = present(table, RECENCY)
     chosen = table.select(
         F.col(key).alias(key_name),
@@ -46,7 +57,7 @@ def lookup_table(table: DataFrame, key: str, attributes: dict[str, str],
         *[F.col(name).alias(f"lookup_{name}") for name in recency],
     ).filter(F.col(key_name).isNotNull())
     unique = latest_per_key(chosen, [key_name], [f"lookup_{name}" for name in recency])
-    return broadcast_if_small(unique.select(key_name, *attributes), "lookup", **limits)
+    return unique.select(key_name, *attributes)
 
 
 def attach(df: DataFrame, on: str, lookup: DataFrame, key_name: str = "lookup_key",
@@ -59,6 +70,21 @@ def attach(df: DataFrame, on: str, lookup: DataFrame, key_name: str = "lookup_ke
     return joined.drop(key_name)
 
 
+def attach_spread(df: DataFrame, on: str, lookup: DataFrame, hot: list[int],
+                  key_name: str = "lookup_key", matched: str | None = None) -> DataFrame:
+    """``attach`` for a lookup too large to broadcast, where the keys in ``hot``
+    (``hot_keys``) hold much of ``df``, known to the lookup or not.
+
+    Their rows stay where they are and meet their few lookup rows by broadcast, so
+    no task sorts a hot key; the others meet by shuffle. ``df`` is read twice."""
+    is_hot = key_hash([on]).isin(hot)
+    few, small = written_lookup(lookup.filter(key_hash([key_name]).isin(hot)), "hot_lookup")
+    if not hot or not small:
+        return attach(df, on, lookup, key_name, matched)
+    return attach(df.filter(is_hot), on, F.broadcast(few), key_name, matched).union(
+        attach(df.filter(~is_hot), on, lookup, key_name, matched))
+
+
 def split_by(df: DataFrame, required: str) -> Resolution:
     """Rows with and without the looked-up attribute."""
     return Resolution(df.filter(F.col(required).isNotNull()),
@@ -67,12 +93,21 @@ def split_by(df: DataFrame, required: str) -> Resolution:
 
 def resolve(df: DataFrame, table: DataFrame, on: str, attributes: dict[str, str],
             required: str, key: str = "id", matched: str | None = None,
-            **limits: int) -> Resolution:
+            spread: bool = False, **limits: int) -> Resolution:
     """Attach attributes by key and split on whether ``required`` was found.
 
-    A key that exists with a NULL ``required`` attribute is unresolved too."""
-    lookup = lookup_table(table, key, attributes, **limits)
-    return split_by(attach(df, on, lookup, matched=matched), required)
+    A key that exists with a NULL ``required`` attribute is unresolved too. With
+    ``spread``, keys that hold much of ``df`` are found and spread if the lookup is
+    too large to broadcast. That reads ``df`` once more, so it should be a table
+    that is cheap to read."""
+    lookup, small = written_lookup(one_per_key(table, key, attributes), **limits)
+    if small:
+        found = attach(df, on, F.broadcast(lookup), matched=matched)
+    elif spread:
+        found = attach_spread(df, on, lookup, hot_keys(df, [on]), matched=matched)
+    else:
+        found = attach(df, on, lookup, matched=matched)
+    return split_by(found, required)
 
 
 def reject_reason(required: dict[str, str]) -> Column:

@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from fieldtally.operators import drift, hierarchy, lookup
+from fieldtally.operators import drift, hierarchy, latest, lookup
 
 NAMES = {"name_found": "name"}
 
@@ -71,6 +71,25 @@ def test_a_hot_code_splits_when_the_lookup_is_too_large(spark, table):
     assert sum(r.name_found == "Anna" for r in found) == 30_000 and len(found) == 60_000
 
 
+def test_hot_codes_meet_a_large_lookup_without_a_shuffle(spark, table):
+    """Known or not, or NULL: only the rows of other codes are sorted."""
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "case id % 4 when 0 then 'A' when 1 then 'GHOST' when 2 then null else concat('x', id) end as code",
+        "id as v")
+    hot = latest.hot_keys(rows, ["code"])
+    assert len(hot) == 3
+    plain = lookup.resolve(rows, table, "code", NAMES, "name_found", matched="known", max_rows=0)
+    found = lookup.resolve(rows, table, "code", NAMES, "name_found", matched="known", spread=True, max_rows=0)
+    for name in ("resolved", "unresolved"):
+        one, other = getattr(plain, name), getattr(found, name)
+        assert one.columns == other.columns
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    assert "BroadcastHashJoin" in found.unresolved._jdf.queryExecution().executedPlan().toString()
+    sorted_rows = lookup.attach_spread(
+        rows, "code", lookup.one_per_key(table, "id", NAMES), hot).filter("code like 'x%'").count()
+    assert sorted_rows == 15_000
+
+
 def test_first_reason_wins(spark):
     df = spark.createDataFrame([(None, None), ("e", None), ("e", "c")], "e string, c string")
     found = df.select(lookup.reject_reason({"no_e": "e", "no_c": "c"}).alias("r")).collect()

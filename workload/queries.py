@@ -234,7 +234,7 @@ def resolve_registry(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_suppkey",
         "if(l_tax > 0.075, 'GHOST', concat('P', l_partkey)) as dataelement")
     found = lookup.resolve(lines, fx.element_registry(spark, sf_dir), "dataelement",
-                           REGISTRY, "data_element_name", matched="is_known")
+                           REGISTRY, "data_element_name", matched="is_known", spread=True)
     return found.resolved.unionByName(found.unresolved)
 
 
