@@ -92,17 +92,24 @@ def mark_latest(df: DataFrame, keys: list[str], newest: list[str],
 
 
 def fold_latest(df: DataFrame, keys: list[str], newest: list[str], copies: str = "copies",
-                hot: list[int] | None = None) -> DataFrame:
+                hot: list[int] | None = None, meet: str | None = None) -> DataFrame:
     """Distinct rows with the number of their ``copies`` and ``is_latest``, from one
     shuffle of ``df``. It is read more than once, so it should be a written table.
 
+    ``meet`` names a column of the key. Unless one of its values holds much of the
+    table, rows are dealt by it alone, so a join by it need not move them again; and
+    then no key is hot either. They are sorted by it first, as that join wants them.
+
     Rows of ordinary keys meet by key: equal rows are neighbours in the order that
     ranks them, so one window counts and ranks them. Rows of keys in ``hot`` (found
     in ``df`` if not given) fold before their shuffle, which spreads them by all
     columns, and compare themselves with the winner of their key."""
+    if hot is None and meet and not hot_keys(df, [meet]):
+        df, hot = df.repartition(meet), []
     hot = hot_keys(df, keys) if hot is None else hot
     order = recency_order(df, newest, keys)
-    by_key = newest_first(keys, order)
+    first = [meet] if meet else []
+    by_key = newest_first(first + [name for name in keys if name not in first], order)
     is_hot = key_hash(keys).isin(hot)
     placed = (df.filter(~is_hot) if hot else df).select(
         "*", F.row_number().over(by_key).alias("fold_place"), F.rank().over(by_key).alias("fold_first"),

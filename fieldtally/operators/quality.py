@@ -39,11 +39,13 @@ def with_value_flags(df: DataFrame) -> DataFrame:
 
 
 def judge(rows: DataFrame, keys: list[str] = BUSINESS_KEY, timestamp: str = "lastupdated",
-          copies: str = "copies", hot: list[int] | None = None) -> DataFrame:
+          copies: str = "copies", hot: list[int] | None = None,
+          meet: str | None = None) -> DataFrame:
     """Distinct rows of a written table with their number of copies and ``outcome``:
-    the latest row per key is clean, the others are superseded."""
+    the latest row per key is clean, the others are superseded. ``meet`` is a column
+    of the key to join by later (``fold_latest``)."""
     newest = [timestamp] + present(rows, ["created", "value"])
-    marked = fold_latest(rows, keys, newest, copies, hot)
+    marked = fold_latest(rows, keys, newest, copies, hot, meet)
     outcome = F.when(F.col("is_latest"), CLEAN).otherwise(SUPERSEDED)
     return marked.withColumn("outcome", outcome).drop("is_latest")
 
@@ -56,15 +58,17 @@ def surplus_copies(judged: DataFrame, copies: str = "copies") -> DataFrame:
 
 
 def run_quality(df: DataFrame, keys: list[str] = BUSINESS_KEY,
-                attach: Callable[[DataFrame], DataFrame] | None = None) -> QualityResult:
+                attach: Callable[[DataFrame], DataFrame] | None = None,
+                meet: str | None = None) -> QualityResult:
     """Prune, set exact and superseded duplicates apart, then type and flag.
 
     ``attach`` adds attributes that the business key alone decides and may drop
     keys it does not resolve. It runs after the ranking, so its shuffle moves the
     columns of ``df`` only, and gives what ranking rows with attributes would: they
     are equal within a key. It sees the columns ``copies`` and ``outcome`` and
-    must keep them and the number of rows of a key it resolves."""
-    judged = judge(materialize(prune_columns(df), "raw"), keys)
+    must keep them and the number of rows of a key it resolves. ``meet`` is a column
+    of the key that it joins by and that many rows share (``fold_latest``)."""
+    judged = judge(materialize(prune_columns(df), "raw"), keys, meet=meet)
     if attach:
         judged = attach(judged)
     rows = present(judged, QUALITY_COLUMNS)

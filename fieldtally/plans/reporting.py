@@ -80,20 +80,24 @@ def build_hierarchy(org_units: DataFrame) -> DataFrame:
 def attach_lookups(values: DataFrame, elements: DataFrame, combos: DataFrame,
                    hierarchy: DataFrame) -> DataFrame:
     """Values with the attributes of element, category combo and organisation
-    unit; what is not found stays NULL. One pass, no row is split off yet."""
+    unit; what is not found stays NULL. One pass, no row is split off yet.
+
+    Units are the largest lookup, and may be joined by shuffle: they come first,
+    while rows are narrow."""
     held = {name: source for name, source in DATA_ELEMENT_ATTRIBUTES.items()
             if source in elements.columns}
     names = {f"{level}_name": f"{level}_name" for level in HIERARCHY_LEVELS}
+    columns = [*values.columns, *held, *CATEGORY_COMBO_ATTRIBUTES, *names]
     steps = {
+        "orgunit": (hierarchy, names),
         "dataelement": (elements, held),
         "categoryoptioncombo": (combos, CATEGORY_COMBO_ATTRIBUTES),
-        "orgunit": (hierarchy, names),
     }
     lookups = tables.side_by_side(
         lambda step: lookup_table(step[0], "id", step[1]), list(steps.values()))
     for on, lookup in zip(steps, lookups):
         values = attach(values, on, lookup)
-    return values
+    return values.select(*columns)
 
 
 def raw_values(values: DataFrame) -> DataFrame:
@@ -105,15 +109,26 @@ def judge_values(raw: DataFrame, elements: DataFrame, combos: DataFrame,
     """Distinct raw values of a written table with their copies, attributes, flags
     and an outcome each.
 
-    One shuffle, of the narrow raw columns only, folds copies and ranks. Lookups
-    hold one row per key, so equal raw rows stay equal; and whether a row resolves
+    One shuffle, of the narrow raw columns only and by unit, folds copies and ranks.
+    Lookups hold one row per key, so equal raw rows stay equal; and whether a row resolves
     depends on its business key alone, so rejected rows never compete with accepted
     ones. Attributes are attached last."""
-    ranked = with_period_dates(judge(raw))
-    known = attach_lookups(ranked, elements, combos, hierarchy)
-    bad_period = F.when(F.col("period_start_date").isNull(), F.lit(BAD_PERIOD))
+    return with_derived(judge_raw(raw, elements, combos, hierarchy))
+
+
+def judge_raw(raw: DataFrame, elements: DataFrame, combos: DataFrame,
+              hierarchy: DataFrame) -> DataFrame:
+    """``judge_values`` without what a row alone decides."""
+    known = attach_lookups(judge(raw, meet="orgunit"), elements, combos, hierarchy)
+    bad_period = F.when(period_start(F.col("period")).isNull(), F.lit(BAD_PERIOD))
     reason = F.coalesce(bad_period, reject_reason(RESOLUTION_ORDER), F.col("outcome"))
-    return with_value_flags(known.withColumn("outcome", reason))
+    return known.withColumn("outcome", reason)
+
+
+def with_derived(judged: DataFrame) -> DataFrame:
+    """Period columns, typed values and flags: all that follows from a row itself,
+    so it is added after rows have moved."""
+    return with_value_flags(with_period_dates(judged))
 
 
 def clean_rows(judged: DataFrame) -> DataFrame:
@@ -166,14 +181,17 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
     raw = raw_values(values)
 
     hierarchy = tables.materialize(build_hierarchy(org_units), "hierarchy")
-    judged = tables.materialize(
-        judge_values(raw, elements, combos, hierarchy), "judged", ["outcome"])
-    counts = tables.materialize(outcome_counts(judged), "counts")
+    staged = tables.materialize(
+        judge_raw(raw, elements, combos, hierarchy), "judged", ["outcome"])
+    judged, counts = with_derived(staged), tables.materialize(outcome_counts(staged), "counts")
     # one load time for the whole run
     loaded_at = F.lit(spark.sql("select current_timestamp() as now").first().now)
     fact, lost = build_fact(clean_rows(judged), loaded_at), {}
     if options.refresh_changed:
         fact, lost = merge_reopened(fact, judged, statistics, f"{release.output}/{FACT}")
+    if not lost:
+        gathered = clean_rows(staged).hint("rebalance", F.col("period"))
+        fact = build_fact(with_derived(gathered), loaded_at)
     stage_quarantine(release, judged, corrupt, lost)
     documents.require_rows(parsed.rows, f"{inputs.data_values} dataValues")
 
@@ -184,7 +202,7 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
     enforce_gates(run_gates(counts, options.max_quarantine_rate, options.min_fact_rows,
                             options.max_unresolved_rate))
     element_dimension = dim_data_element(elements)
-    stage_fact(release, fact, statistics, element_dimension, options)
+    stage_fact(release, fact, statistics, element_dimension, options, gathered=not lost)
     release.stage_all({
         "dim_data_element": element_dimension,
         "dim_org_unit": dim_org_unit(hierarchy),
@@ -195,12 +213,13 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
 
 
 def stage_fact(release: publish.Release, fact: DataFrame, statistics: DataFrame,
-               element_dimension: DataFrame, options: Options) -> None:
+               element_dimension: DataFrame, options: Options, gathered: bool = False) -> None:
     """The touched periods of the fact and of its folds, and what follows from
     all periods: statistics, the period dimension and the marts. Of periods the run
-    does not touch only folds and statistics are read."""
+    does not touch only folds and statistics are read. Rows that are ``gathered`` by
+    period are written as they come."""
     spark, output = release.spark, release.output
-    fact = release.stage_partitions(fact, FACT, FACT_PARTITION)
+    fact = release.stage_partitions(fact, FACT, FACT_PARTITION, gathered)
     options.on_step("fact")
     enforce_contract(fact, FACT_CONTRACT)
     fresh = tables.materialize(incremental.partition_statistics(fact), "fresh")

@@ -143,13 +143,14 @@ class Release:
             lambda name: self.stage(tables[name], f"{folder}/{name}", evidence), list(tables))
         return dict(zip(tables, written))
 
-    def stage_partitions(self, df: DataFrame, name: str, by: str) -> DataFrame:
+    def stage_partitions(self, df: DataFrame, name: str, by: str,
+                         gathered: bool = False) -> DataFrame:
         """Write partitions that replace those of ``name``; others stay.
 
         The rebalance gathers a partition into few files and splits one that
-        holds much of the table."""
+        holds much of the table; it is left out where ``df`` is ``gathered`` so."""
         path = f"{self.output}/{RUNS}/{self.run_id}/{name}"
-        write_parquet(df.hint("rebalance", F.col(by)), path, [by])
+        write_parquet(df if gathered else df.hint("rebalance", F.col(by)), path, [by])
         self.moves += [(f"{name}/{part}", f"{name}/{part}", False)
                        for part in folder_names(self.spark, path) if "=" in part]
         return read_like(df, path)

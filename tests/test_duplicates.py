@@ -220,6 +220,26 @@ def test_rows_move_once_to_be_folded_and_ranked(spark):
         ("x", 2, quality.SUPERSEDED), ("y", 1, quality.CLEAN)]
 
 
+def test_ranked_rows_are_joined_where_they_are(spark):
+    """Dealt by a column of the key, rows do not move for a join by it; unless one
+    of its values holds much of the table."""
+    few = spark.range(1_000).selectExpr("concat('u', id % 50) as unit", "cast(id % 7 as string) as k", "id as t")
+    loud = spark.range(40_000).selectExpr(
+        "if(id % 2 = 0, 'u1', concat('u', id)) as unit", "cast(id % 30000 as string) as k", "id % 9 as t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for rows, moved in ((few, 2), (loud, 3)):
+            folded = latest.fold_latest(rows, ["k", "unit"], ["t"], meet="unit")
+            assert as_counts(folded) == as_counts(latest.fold_latest(rows, ["k", "unit"], ["t"], hot=[]))
+            names = rows.select("unit").distinct().coalesce(1)
+            names = spark.createDataFrame(names.collect(), "unit string")
+            assert shuffles(folded.join(names, "unit", "left")) == moved
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_a_repeated_row_of_a_hot_key_folds_before_it_moves(spark):
     df = spark.range(60_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fieldtally.constants import DATA_VALUES_SCHEMA
 from fieldtally.sources import documents, publish
 from workload import documents as docs
 from workload.oracle import statements
@@ -66,3 +67,31 @@ def test_value_documents_are_written_compressed_and_read_whole(spark):
     assert files and all(name.endswith(".json.gz") for name in files)
     found = documents.ingest_data_values(spark, path, lines=True)
     assert found.count() == 251 and found.select("attributeoptioncombo").distinct().count() == 250
+
+
+def test_values_of_a_parcel_are_grouped_where_they_are(spark):
+    """One shuffle brings rows to their parcel, none follows; a large parcel becomes
+    several documents, and the first values lie in a folder of their own."""
+    sent = spark.range(0, 1_000, 1, 4).selectExpr(
+        "'D' as dataelement", "if(id < 600, '202401', if(id = 999, null, '202402')) as period",
+        "concat('C', id % 2) as orgunit", "'X' as categoryoptioncombo",
+        "cast(id as string) as attributeoptioncombo", "'1' as value", "'clerk' as storedby",
+        "timestamp_ntz '2024-01-01 00:00:00' as created", "timestamp_ntz '2024-01-02 00:00:00' as lastupdated",
+        "'false' as followup", "if(id = 7, 2, 1) as sent", "if(id < 600, 0, id) as parcel")
+    moves = []
+    held = docs.write_documents
+    docs.write_documents = lambda df, *rest: moves.append(
+        df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")) or held(df, *rest)
+    try:
+        path = docs.value_documents(sent.repartition("parcel"), sent["period"] < "202402")
+    finally:
+        docs.write_documents = held
+    assert moves == [1]
+    assert set(publish.folder_names(spark, path)) == {"first=0", "first=1"}
+    early = documents.ingest_data_values(spark, f"{path}/first=1", lines=True)
+    whole = documents.ingest_data_values(spark, path, lines=True)
+    assert early.count() == 601 and early.select("period").distinct().count() == 1
+    assert whole.count() == 1_001 and whole.select("attributeoptioncombo").distinct().count() == 1_000
+    sizes = documents.read_documents(spark, f"{path}/first=1", DATA_VALUES_SCHEMA, lines=True).selectExpr(
+        "size(dataValues) as n").filter("n > 0")
+    assert sizes.count() > 6 and sizes.agg({"n": "max"}).first()[0] < 150

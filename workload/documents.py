@@ -1,6 +1,6 @@
 """Write the derived inputs as nested documents, one per line."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldtally.sources.tables import scratch_path
@@ -23,9 +23,9 @@ def element(df: DataFrame, fields: dict[str, str]):
                       if source in df.columns])
 
 
-def write_documents(documents: DataFrame, name: str) -> str:
+def write_documents(documents: DataFrame, name: str, by: list[str] | None = None) -> str:
     path = scratch_path(documents.sparkSession, name)
-    documents.write.json(path, compression="gzip")
+    documents.write.partitionBy(*by or []).json(path, compression="gzip")
     return path
 
 
@@ -110,27 +110,40 @@ def pretty_org_units(spark, sf_dir) -> str:
                         "organisationUnits", "bucket", "pretty_units")
 
 
-def value_documents(sent: DataFrame) -> str:
+def value_documents(sent: DataFrame, first: Column | None = None) -> str:
     """Documents of at most about ``MANY`` values of a unit and period; a value
     sent twice appears twice. One document has no array and one an empty array.
 
-    A hash of the value's own key deals a unit and period to as many documents as
-    its number of values asks for, so one that holds much of the table is no group
-    of its own. The numbers come from a map-side combined count."""
+    Rows with a ``parcel`` stay with it: rows that met by it are counted and grouped
+    where they are, in one pass and without a shuffle. A hash of the value's own key
+    deals a parcel to as many documents as its number of values asks for, so one that
+    holds much of the table is no group of its own. Without parcels a unit and
+    period is dealt so, by the numbers of a map-side combined count.
+
+    With ``first``, values for which it holds lie in the folder ``first=1`` and the
+    others in ``first=0``: an export of the former is part of the export of all."""
     key = ["orgunit", "period"]
-    counts = sent.groupBy(*key).agg(F.count(F.lit(1)).alias("values_held")).filter(
-        F.col("values_held") > MANY).select(
-        *[F.col(name).alias(f"large_{name}") for name in key],
-        F.ceil(F.col("values_held") / MANY).alias("documents"))
-    dealt = sent.join(counts, (F.col("orgunit") == F.col("large_orgunit"))
-                      & (F.col("period") == F.col("large_period")), "left").withColumn(
+    if first is not None:
+        sent, key = sent.withColumn("first", F.coalesce(first.cast("int"), F.lit(0))), [*key, "first"]
+    if "parcel" in sent.columns:
+        held = F.count(F.lit(1)).over(Window.partitionBy("parcel"))
+        dealt, place = sent.withColumn("documents", F.ceil(held / MANY)), ["parcel", *key]
+    else:
+        counts = sent.groupBy("orgunit", "period").agg(F.count(F.lit(1)).alias("values_held")).filter(
+            F.col("values_held") > MANY).select(
+            F.col("orgunit").alias("large_orgunit"), F.col("period").alias("large_period"),
+            F.ceil(F.col("values_held") / MANY).alias("documents"))
+        dealt, place = sent.join(counts, (F.col("orgunit") == F.col("large_orgunit"))
+                                 & (F.col("period") == F.col("large_period")), "left"), key
+    dealt = dealt.withColumn(
         "document", F.pmod(F.xxhash64("attributeoptioncombo"), F.coalesce("documents", F.lit(1))))
     copies = F.array_repeat(element(sent, DATA_VALUE), F.col("sent"))
-    documents = dealt.groupBy(*key, "document").agg(
+    documents = dealt.groupBy(*place, "document").agg(
         F.flatten(F.collect_list(copies)).alias("dataValues"))
-    bare = documents.limit(1)
-    documents = documents.select("dataValues").union(
-        bare.select(F.filter("dataValues", lambda value: F.lit(False)))).union(
-        bare.select(F.when(F.lit(False), F.col("dataValues"))))
-    return write_documents(
-        documents.select(F.lit("dataValueSet").alias("responseType"), "dataValues"), "dataValues")
+    kind = documents.schema["dataValues"].dataType
+    bare = sent.sparkSession.range(0, 2, 1, 1).select(
+        F.when(F.col("id") == 0, F.array().cast(kind)).alias("dataValues"), F.lit(1).alias("first"))
+    folder = ["first"] if first is not None else []
+    return write_documents(documents.select("dataValues", *folder).union(
+        bare.select("dataValues", *folder)).select(
+        F.lit("dataValueSet").alias("responseType"), "dataValues", *folder), "dataValues", folder)

@@ -9,6 +9,7 @@ are sent twice. ``oracle.py`` states the same inputs in SQL.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldtally.operators.lookup import broadcast_if_small
 from fieldtally.plans.reporting import build_hierarchy
 
 VALUE_TYPE = """
@@ -118,27 +119,39 @@ def programs(spark, sf_dir):
         "timestamp_ntz '2023-02-01 00:00:00' as lastupdated")
 
 
-def sent_values(spark, sf_dir):
-    """One row per line item, with the number of times it was sent."""
-    lineitem = table(spark, sf_dir, "lineitem")
-    orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        part, F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+def sent_values(spark, sf_dir, month: str | None = None):
+    """One row per line item (of one month, if given), with its order as ``parcel``
+    and the number of times it was sent.
+
+    What a line item and its part decide is computed before the line items meet
+    their orders, and they stay dealt by order after that. The orders of one month
+    are broadcast if few, so no other line items move."""
+    lineitem, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "date_format(o_orderdate, 'yyyyMM') as period",
+        "concat('C', o_custkey) as orgunit", "o_orderdate as created")
+    of_order = F.col("l_orderkey") == F.col("o_orderkey")
+    if month:
+        few = broadcast_if_small(orders.filter(F.col("period") == month), "orders")
+        lineitem = lineitem.join(few, of_order)
+    values = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).selectExpr(
         "if(p_size = 50, 'GHOST_DE', p_type) as dataelement",
-        "date_format(o_orderdate, 'yyyyMM') as period",
-        "concat('C', o_custkey) as orgunit",
         "if(l_tax > 0.075, 'GHOST_COC', concat(l_returnflag, l_linestatus)) "
         "as categoryoptioncombo",
+        f"{REPORTED_VALUE} as value", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        "l_shipdate as lastupdated", "if(l_discount < 0.005, 2, 1) as sent",
+        *(["period", "orgunit", "created"] if month else []))
+    return (values if month else values.join(orders, of_order)).selectExpr(
+        "dataelement", "period", "orgunit", "categoryoptioncombo",
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as attributeoptioncombo",
-        f"{REPORTED_VALUE} as value", "concat('clerk', l_suppkey) as storedby",
-        "o_orderdate as created", "l_shipdate as lastupdated", "'false' as followup",
-        "if(l_discount < 0.005, 2, 1) as sent")
+        "value", "concat('clerk', l_suppkey) as storedby", "created", "lastupdated",
+        "'false' as followup", "sent", "l_orderkey as parcel")
 
 
 def data_values(spark, sf_dir):
     sent = sent_values(spark, sf_dir)
     return sent.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("sent")))).drop(
-        "sent", "copy")
+        "sent", "parcel", "copy")
 
 
 def mixed_values(spark, sf_dir):

@@ -13,17 +13,24 @@ REOPENED = "199706"
 OPTIONS = {"max_quarantine_rate": 1.0}
 
 
-def inputs(spark, sf_dir, values: DataFrame) -> reporting.Inputs:
+def inputs(spark, sf_dir, values: DataFrame | str) -> reporting.Inputs:
+    """Documents of all tables; those of values may be written already."""
     elements, combos = fx.data_elements(spark, sf_dir), fx.category_combos(spark, sf_dir)
     metadata = docs.metadata_documents(elements, combos)
     return reporting.Inputs(
         metadata, metadata,
         docs.entity_documents(fx.org_units(spark, sf_dir), "organisationUnits", docs.ORG_UNIT),
         docs.entity_documents(fx.programs(spark, sf_dir), "programs", docs.PROGRAM),
-        docs.value_documents(values), lines=True)
+        values if isinstance(values, str) else docs.value_documents(values), lines=True)
 
 
-def run(spark, sf_dir, values: DataFrame, output: str, **options) -> None:
+def early_and_all(spark, sf_dir) -> tuple[str, str]:
+    """Documents of the values before 199801, and of all, written once."""
+    path = docs.value_documents(fx.sent_values(spark, sf_dir), F.col("period") < EARLY)
+    return f"{path}/first=1", path
+
+
+def run(spark, sf_dir, values: DataFrame | str, output: str, **options) -> None:
     reporting.run_reporting(spark, inputs(spark, sf_dir, values), output,
                             reporting.Options(**OPTIONS, **options))
 
@@ -35,8 +42,8 @@ def fact_path(output: str) -> str:
 def job_two_loads(spark, sf_dir):
     """Rows per load and outcome: the periods before 199801, then everything."""
     output = tables.scratch_path(spark, "job")
-    sent = fx.sent_values(spark, sf_dir)
-    run(spark, sf_dir, sent.filter(F.col("period") < EARLY), output)
+    early, sent = early_and_all(spark, sf_dir)
+    run(spark, sf_dir, early, output)
     first = [row.run_id for row in spark.read.parquet(f"{output}/run_metrics").select("run_id").collect()]
     run(spark, sf_dir, sent, output)
     rejected = spark.read.parquet(f"{output}/quarantine").select(
@@ -53,7 +60,7 @@ def job_reopened_month(spark, sf_dir):
     output = tables.scratch_path(spark, "job")
     sent = fx.sent_values(spark, sf_dir)
     run(spark, sf_dir, sent, output)
-    corrected = sent.filter((F.col("period") == REOPENED) & F.col("orgunit").rlike("[02468]$"))
+    corrected = fx.sent_values(spark, sf_dir, REOPENED).filter(F.col("orgunit").rlike("[02468]$"))
     corrected = corrected.withColumn("value", F.lit("7")).withColumn(
         "lastupdated", F.expr("lastupdated + interval 10 years"))
     run(spark, sf_dir, corrected, output, refresh_changed=True)
@@ -69,7 +76,7 @@ def job_stale_resend(spark, sf_dir):
     sent = fx.sent_values(spark, sf_dir)
     run(spark, sf_dir, sent, output)
     stale = F.col("orgunit").rlike("[02468]$")
-    resent = sent.filter(F.col("period") == REOPENED).withColumns({
+    resent = fx.sent_values(spark, sf_dir, REOPENED).withColumns({
         "value": F.when(stale, "7").otherwise("9"),
         "lastupdated": F.when(stale, F.expr("lastupdated - interval 10 years"))
         .otherwise(F.expr("lastupdated + interval 10 years"))})
@@ -99,8 +106,8 @@ def job_interrupted(spark, sf_dir):
     repeated and died once more before its tables were in place, and a second load
     of the rest."""
     output = tables.scratch_path(spark, "job")
-    sent = fx.sent_values(spark, sf_dir)
-    early = inputs(spark, sf_dir, sent.filter(F.col("period") < EARLY))
+    first, sent = early_and_all(spark, sf_dir)
+    early = inputs(spark, sf_dir, first)
     for step in ("marts", "committed"):
         try:
             reporting.run_reporting(spark, early, output,

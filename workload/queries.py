@@ -299,7 +299,7 @@ def run_quality(spark, sf_dir):
             fx.category_combos(spark, sf_dir), fx.hierarchy(spark, sf_dir))
         return known.filter(lookup.reject_reason(reporting.RESOLUTION_ORDER).isNull())
 
-    return quality.run_quality(fx.data_values(spark, sf_dir), attach=attributes)
+    return quality.run_quality(fx.data_values(spark, sf_dir), attach=attributes, meet="orgunit")
 
 
 def dq_clean_fact(spark, sf_dir):
