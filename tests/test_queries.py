@@ -9,8 +9,9 @@ import pytest
 
 import __spark_entry__ as entry
 from fieldtally.constants import DATA_VALUES_SCHEMA
-from fieldtally.sources import documents, publish
+from fieldtally.sources import documents, publish, tables
 from workload import documents as docs
+from workload import fixtures
 from workload.oracle import statements
 from workload.queries import registered
 
@@ -69,6 +70,24 @@ def test_value_documents_are_written_compressed_and_read_whole(spark):
     assert found.count() == 251 and found.select("attributeoptioncombo").distinct().count() == 250
 
 
+@pytest.mark.parametrize("name", ["incremental_filter_periods", "incremental_changed_periods"])
+def test_values_are_made_once(spark, monkeypatch, name):
+    made = []
+    held = fixtures.data_values
+    monkeypatch.setattr(fixtures, "data_values", lambda *given: made.append(given) or held(*given))
+    assert QUERIES[name](spark, str(SF_DIR)).columns and len(made) == 1
+
+
+def test_what_a_row_decides_is_not_staged(spark, monkeypatch):
+    staged = {}
+    held = tables.materialize
+    monkeypatch.setattr(tables, "materialize", lambda df, name, *rest, **more: staged.update(
+        {name: df.columns}) or held(df, name, *rest, **more))
+    assert "reason" in QUERIES["quarantine_union"](spark, str(SF_DIR)).columns
+    assert "country_name" in staged["judged"]
+    assert not {"period_start_date", "numeric_value", "is_late_submission"} & set(staged["judged"])
+
+
 def test_values_of_a_parcel_are_grouped_where_they_are(spark):
     """One shuffle brings rows to their parcel, none follows; a large parcel becomes
     several documents, and the first values lie in a folder of their own."""

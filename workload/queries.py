@@ -62,19 +62,28 @@ def enriched(spark, sf_dir):
         resolved_combos(spark, sf_dir).resolved, fx.hierarchy(spark, sf_dir))
 
 
-def judged(spark, sf_dir):
-    raw = tables.materialize(reporting.raw_values(fx.data_values(spark, sf_dir)), "raw")
-    return reporting.judge_values(
+def written_values(spark, sf_dir):
+    return tables.materialize(reporting.raw_values(fx.data_values(spark, sf_dir)), "raw")
+
+
+def judged_raw(spark, sf_dir, raw=None):
+    """Judged values, of ``raw`` if they are written already."""
+    raw = written_values(spark, sf_dir) if raw is None else raw
+    return reporting.judge_raw(
         raw, fx.data_elements(spark, sf_dir), fx.category_combos(spark, sf_dir),
         fx.hierarchy(spark, sf_dir))
 
 
-def clean(spark, sf_dir):
-    return reporting.clean_rows(judged(spark, sf_dir))
+def judged(spark, sf_dir, raw=None):
+    return reporting.with_derived(judged_raw(spark, sf_dir, raw))
+
+
+def clean(spark, sf_dir, raw=None):
+    return reporting.clean_rows(judged(spark, sf_dir, raw))
 
 
-def fact(spark, sf_dir):
-    return star.build_fact(clean(spark, sf_dir), load_time())
+def fact(spark, sf_dir, raw=None):
+    return star.build_fact(clean(spark, sf_dir, raw), load_time())
 
 
 def silenced_fact(spark, sf_dir):
@@ -478,9 +487,10 @@ def quarantine_rate(spark, sf_dir):
 
 
 def quarantine_union(spark, sf_dir):
-    staged = tables.materialize(judged(spark, sf_dir), "judged", ["outcome"])
-    return gates.quarantine_rows(staged).select("reason", "dataelement", "period", "orgunit", "categoryoptioncombo",
-                           "attributeoptioncombo", "value", "lastupdated")
+    staged = tables.materialize(judged_raw(spark, sf_dir), "judged", ["outcome"])
+    return gates.quarantine_rows(reporting.with_derived(staged)).select(
+        "reason", "dataelement", "period", "orgunit", "categoryoptioncombo",
+        "attributeoptioncombo", "value", "lastupdated")
 
 
 def quarantine_gate(spark, sf_dir):
@@ -522,9 +532,9 @@ def run_metrics(spark, sf_dir):
 
 # ---- incremental loading and sinks
 
-def fact_periods(spark, sf_dir):
+def fact_periods(spark, sf_dir, raw=None):
     """The periods of the fact with their rows: all that these queries need of it."""
-    return fact(spark, sf_dir).groupBy("year_month").agg(F.count(F.lit(1)).alias("row_count"))
+    return fact(spark, sf_dir, raw).groupBy("year_month").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def incremental_existing_partitions(spark, sf_dir):
@@ -532,9 +542,9 @@ def incremental_existing_partitions(spark, sf_dir):
 
 
 def incremental_filter_periods(spark, sf_dir):
-    loaded = incremental.loaded_periods(spark, early_fact(spark, fact_periods(spark, sf_dir)))
-    return incremental.new_periods(
-        periods.with_period_dates(fx.data_values(spark, sf_dir)), loaded)
+    raw = written_values(spark, sf_dir)
+    loaded = incremental.loaded_periods(spark, early_fact(spark, fact_periods(spark, sf_dir, raw)))
+    return incremental.new_periods(periods.with_period_dates(raw), loaded)
 
 
 def incremental_required(spark, sf_dir):
@@ -552,13 +562,13 @@ def incremental_required(spark, sf_dir):
 
 def incremental_changed_periods(spark, sf_dir):
     """Loaded periods to reopen because their values were updated since."""
-    rows = fact(spark, sf_dir)
+    raw = written_values(spark, sf_dir)
+    rows = fact(spark, sf_dir, raw)
     held = rows.filter(F.col("lastupdated") < F.lit("1999-01-01").cast("timestamp_ntz"))
     path = tables.scratch_path(spark, "fact")
     tables.write_fact(held, path)
     return incremental.changed_periods(
-        periods.with_period_dates(fx.data_values(spark, sf_dir)),
-        incremental.read_fact(spark, path))
+        periods.with_period_dates(raw), incremental.read_fact(spark, path))
 
 
 SINK_COLUMNS = ["data_element_id", "org_unit_id", "category_option_combo_id", "value",
