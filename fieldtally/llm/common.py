@@ -92,6 +92,20 @@ def arrow_schema(fields: StructType) -> pa.Schema:
     return to_arrow_schema(fields)
 
 
+def index_words(data: np.ndarray, inside: np.ndarray, begins: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words of ``data`` and the place of every word among these.
+    ``inside`` marks the bytes of words, ``begins`` the first byte of each."""
+    letters = data[inside]
+    offsets = np.append(np.flatnonzero(begins[inside]), len(letters))
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    found = words.dictionary_encode()
+    _, cuts, distinct = found.dictionary.buffers()
+    cuts = np.frombuffer(cuts, np.int64, len(found.dictionary) + 1).tolist() if len(words) else [0]
+    distinct = bytes(distinct or b"")
+    return [distinct[a:b] for a, b in zip(cuts, cuts[1:])], found.indices.to_numpy()
+
+
 def whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Tables of whole units: the last, open unit waits for the next batch."""
     rest: pa.Table | None = None

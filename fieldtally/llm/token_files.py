@@ -20,11 +20,11 @@ A segment is closed at ``SEGMENT_IDS`` ids; a longer document has its own.
 """
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import arrow_schema, collector_paused, prepare_python
+from fieldtally.llm.common import arrow_schema, collector_paused, index_words, prepare_python
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -47,7 +47,30 @@ HEAD = struct.Struct("<8sQQQBB6x")
 # Texts of these characters only: composed letters whose lower case is one
 # character, so that words can be cut and lowered before they reach the library.
 PLAIN = bytes([9, 10, 13, *range(0x20, 0x7f), *range(0xc0, 0xd7), *range(0xd8, 0xf7), *range(0xf8, 0x100)])
-WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+LOWERED = bytes([b + 32 if chr(b).isupper() else 32 if b in b"\t\n\r" else b for b in range(256)])
+SPACE, LETTER, DIGIT, OTHER = range(4)
+KINDS = bytes([SPACE if b == 32 else LETTER if chr(b).isalpha() else DIGIT if b in b"0123456789" else OTHER
+               for b in range(256)])
+ENDINGS = [b"s", b"t", b"m", b"d", b"re", b"ve", b"ll"]
+
+
+def cut_words(raws: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words of ``PLAIN`` texts as the tokenizer cuts them: runs of letters,
+    single digits, runs of other signs, and endings such as 's. The distinct
+    words, the place of each word among these, the words up to each text's end."""
+    text = b"".join([b" ", b" ".join(raws), b"    "]).translate(LOWERED)
+    data, kinds = np.frombuffer(text, np.uint8), np.frombuffer(text.translate(KINDS), np.uint8)
+    inside = kinds != SPACE
+    begins = np.append(False, kinds[1:] != kinds[:-1]) | (kinds == DIGIT)
+    # an ending counts where its quote begins a run of signs
+    quotes = np.flatnonzero((data == ord("'")) & begins)
+    for ending in ENDINGS:
+        hit = quotes[np.all([data[quotes + 1 + i] == letter for i, letter in enumerate(ending)], axis=0)]
+        begins[hit + 1] = False
+        begins[hit + 1 + len(ending)] = True
+    begins &= inside
+    upto = np.searchsorted(np.flatnonzero(begins), np.cumsum([len(raw) + 1 for raw in raws]))
+    return *index_words(data, inside, begins), upto
 
 
 class WordTokenizer:
@@ -59,64 +82,60 @@ class WordTokenizer:
 
     def __init__(self, path: str = TOKENIZER, cached: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
         self.whole = Tokenizer.from_file(path)
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer = normalizers.Sequence([])
-        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = self.whole.model
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {b: level.pre_tokenize_str(chr(b))[0][0] for b in PLAIN if b > 0x7f}
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.cached, self.known, self.chunks = cached, {}, {}
+        self.cached, self.newer, self.older = cached, {}, {}
         self.type = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The packed ids of each text."""
-        known = self.chunks
-        if len(known) > self.cached:
-            known.clear()
-        cut = [text.lower().split() if self._is_plain(text) else None for text in texts]
-        found = [list(map(known.get, chunks)) if chunks is not None else None for chunks in cut]
-        partly = [i for i, parts in enumerate(found) if parts is not None and None in parts]
-        fresh = self._encode_chunks({chunk for i in partly for chunk, part in zip(cut[i], found[i])
-                                     if part is None})
-        for i in partly:
-            found[i] = [fresh[chunk] if part is None else part for chunk, part in zip(cut[i], found[i])]
-        known.update((chunk, ids) for chunk, ids in fresh.items() if len(chunk) <= LONGEST_CACHED)
-        return [self._whole(text) if parts is None else b"".join(parts)
-                for text, parts in zip(texts, found)]
+        """The packed ids of each text. Each different word is looked up once
+        for all texts of the call."""
+        raws = [self._plain(text) for text in texts]
+        words, places, upto = cut_words([raw for raw in raws if raw is not None])
+        found = pa.array(self._look_up(words), pa.large_binary()).take(pa.array(places))
+        _, offsets, ids = found.buffers()
+        ids = memoryview(ids or b"")
+        ends = np.frombuffer(offsets, np.int64)[upto].tolist() if len(places) else [0] * len(upto)
+        cuts = zip([0, *ends], ends)
+        return [self._whole(text) if raw is None else bytes(ids[slice(*next(cuts))])
+                for text, raw in zip(texts, raws)]
 
     def _whole(self, text: str) -> bytes:
         ids = self.whole.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.type).tobytes()
 
-    def _is_plain(self, text: str) -> bool:
+    def _plain(self, text: str) -> bytes | None:
+        """The bytes of a text of ``PLAIN`` characters without special tokens."""
         try:
             raw = text.encode("latin-1")
         except UnicodeEncodeError:
-            return False
-        return not raw.translate(None, PLAIN) and not any(name in text for name in self.special)
-
-    def _encode_chunks(self, chunks: set[str]) -> dict[str, bytes]:
-        # a chunk of letters is one word
-        cut = {chunk: WORD.findall(chunk) for chunk in chunks if not chunk.isalpha()}
-        known = self.known
-        if len(known) > self.cached:
-            known.clear()
-        parts = {word for words in cut.values() for word in words if word not in known}
-        missing = list(parts.union(chunk for chunk in chunks if chunk.isalpha() and chunk not in known))
-        fresh = dict(zip(missing, self._encode_words(missing)))
-        # whole chunks are remembered by the caller
-        known.update((word, fresh[word]) for word in parts if len(word) <= LONGEST_CACHED)
-        whole = {chunk: known.get(chunk) or fresh[chunk] for chunk in chunks if chunk not in cut}
-        return whole | {chunk: b"".join([known.get(word) or fresh[word] for word in words])
-                        for chunk, words in cut.items()}
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        if not words:
-            return []
-        found = self.words.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, self.type)
-        firsts = np.searchsorted(np.array(found.word_ids), np.arange(len(words) + 1))
-        return [ids[a:b].tobytes() for a, b in zip(firsts, firsts[1:])]
+            return None
+        return None if raw.translate(None, PLAIN) or any(name in text for name in self.special) else raw
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        newer, older = self.newer, self.older
+        found = list(map(newer.get, words))
+        lacking = [word for word, ids in zip(words, found) if ids is None]
+        fresh = {word: ids for word in lacking if (ids := older.get(word))}
+        missing = [word for word in lacking if word not in fresh]
+        fresh.update(zip(missing, self._encode_words(missing)))
+        if len(newer) > self.cached:
+            # what was in use since the last time stays at hand
+            self.older, self.newer = newer, {}
+        self.newer.update((word, ids) for word, ids in fresh.items() if len(word) <= LONGEST_CACHED)
+        return [fresh[word] if ids is None else ids for word, ids in zip(words, found)]
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        texts = [word.decode() if word.isascii() else word.decode("latin-1").translate(self.letters)
+                 for word in words]
+        found = [[token.id for token in tokens] for tokens in map(self.model.tokenize, texts)]
+        ids = np.array(list(chain.from_iterable(found)), self.type).tobytes()
+        ends = (np.cumsum([len(part) for part in found]) * self.type.itemsize).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
 @lru_cache(maxsize=2)

@@ -129,6 +129,25 @@ def test_words_have_the_ids_of_whole_texts(text):
     assert ids == words.whole.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aSstTrReEvVmMlLdD09'.- \n\u00c9\u00df\u00ff\u6f22", max_size=20), max_size=6))
+def test_texts_of_one_call_keep_apart(texts):
+    words = token_files.tokenizer()
+    found = [np.frombuffer(ids, words.type).tolist() for ids in words.encode(texts)]
+    assert found == [words.whole.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_words_in_use_are_not_encoded_again():
+    words, asked = token_files.WordTokenizer(cached=50), []
+    encode = words._encode_words
+    words._encode_words = lambda some: asked.extend(some) or encode(some)
+    for call in range(40):
+        words.encode(["frequent " + " ".join(f"rare{chr(97 + call % 26)}{chr(97 + call // 26)}{chr(97 + i)}"
+                                             for i in range(20))])
+    assert sum(word in ("frequent", b"frequent") for word in asked) == 1
+    assert len(words.newer) + len(words.older) < 200
+
+
 def expected_files(rows):
     whole, start, found = token_files.tokenizer().whole, 0, []
     for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
