@@ -33,7 +33,6 @@ extra columns are ignored.
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.common import (
-    arrow_schema, map_batches, prepare_python, spanning, staged, whole_units,
+    arrow_schema, index_words, map_batches, prepare_python, spanning, staged, whole_units,
 )
 from fieldtally.llm.components import components
 
@@ -52,26 +51,15 @@ IDF_SHARE = 0.25
 BINS, ROWS = 96, 4
 THRESHOLD = 0.8
 BLOCK_SHINGLES = 200_000
+BLOCK_LETTERS = 1 << 20
 BLOCK, LEVELS = 256, 4096
-CACHED_WORDS = 150_000
 WORD = re.compile(r"\w+")
+# Of one-byte characters: those of words in lower case, a space for any other.
+LATIN = bytes([ord(chr(b).lower()) if WORD.match(chr(b)) else 32 for b in range(256)])
 U = np.uint64
 ODD = [U(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-@lru_cache(maxsize=1)
-def word_hashes() -> WordHashes:
-    return WordHashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A well-spread 64-bit number for each number."""
     x = x + ODD[0]
@@ -80,19 +68,85 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def join_words(words: list[np.ndarray]) -> np.ndarray:
+    """Hashes of shingles, from those of their first, second, ... words."""
+    joined = np.full(len(words[0]), len(words), U)
+    for hashes in words:
+        joined = (joined ^ hashes) * ODD[1]
+        joined ^= joined >> U(29)
+    return mix(joined)
+
+
+def hash_words(texts: list[bytes], latin: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word and the number of words up to each text's end."""
+    whole = b"".join([b" ", b" ".join(texts), b" "])
+    data = np.frombuffer(whole.translate(LATIN) if latin else whole, np.uint8)
+    inside = data != 32
+    begins = np.append(False, ~inside[:-1]) & inside
+    words, places = index_words(data, inside, begins)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(word.decode("latin-1") if latin and not word.isascii() else word)
+                          for word in words), U, len(words))
+    return hashes[places], np.searchsorted(np.flatnonzero(begins), np.cumsum([len(t) + 1 for t in texts]))
+
+
+def shingle_sets(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For some of the texts, until all that are not empty are done: their
+    numbers, the hashes of each one's distinct shingles, ascending, how often
+    each stands, and where each text's shingles begin and the last one's end."""
+    latin, wide, letters = {}, {}, 0
+    for i, text in enumerate(texts):
+        if text:
+            try:
+                latin[i] = text.encode("latin-1")
+            except UnicodeEncodeError:
+                wide[i] = " ".join(WORD.findall(text.lower())).encode()
+            letters += len(text)
+        if letters >= BLOCK_LETTERS or i + 1 == len(texts):
+            if latin:
+                yield sets_of_block(latin, True)
+            if wide:
+                yield sets_of_block(wide, False)
+            latin, wide, letters = {}, {}, 0
+
+
+def sets_of_block(texts: dict[int, bytes], latin: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``shingle_sets`` gives, for texts that are held at once."""
+    hashes, upto = hash_words(list(texts.values()), latin)
+    starts = np.append(0, upto[:-1])
+    n = upto - starts
+    found = np.where(n, np.maximum(n - SHINGLE + 1, 1), 0)
+    bounds = np.append(0, np.cumsum(found))
+    drawn = np.empty(bounds[-1], U)
+    if len(hashes) >= SHINGLE:
+        inner = np.ones(len(hashes), bool)
+        for i in range(1, SHINGLE):
+            inner[(upto - i)[n >= i]] = False
+        windows = len(hashes) - SHINGLE + 1
+        joined = join_words([hashes[i:i + windows] for i in range(SHINGLE)])
+        drawn[np.repeat(n >= SHINGLE, found)] = joined[inner[:windows]]
+    for size in range(1, SHINGLE):
+        short = np.flatnonzero(n == size)
+        drawn[bounds[short]] = join_words([hashes[starts[short] + i] for i in range(size)])
+    for a, b in zip(bounds, bounds[1:]):
+        drawn[a:b].sort()
+    first = changes(drawn, bounds)
+    return (np.array(list(texts)), drawn[first], np.diff(np.append(first, len(drawn))),
+            np.searchsorted(first, bounds))
+
+
+def changes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where a text begins or a value differs from the one before."""
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    first[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+    return np.flatnonzero(first)
+
+
 def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles, ascending, and how often each stands."""
-    words = WORD.findall(text.lower())
-    if not words:
-        return np.zeros(0, U), np.zeros(0, np.int64)
-    known = word_hashes()
-    hashes = np.fromiter(map(known.__getitem__, words), U, len(words))
-    size = min(SHINGLE, len(words))
-    joined = np.full(len(words) - size + 1, size, U)
-    for i in range(size):
-        joined = (joined ^ hashes[i:i + len(joined)]) * ODD[1]
-        joined ^= joined >> U(29)
-    return np.unique(mix(joined), return_counts=True)
+    for _, hashes, counts, _ in shingle_sets([text]):
+        return hashes, counts
+    return np.zeros(0, U), np.zeros(0, np.int64)
 
 
 def bucket_of(hashes: np.ndarray) -> np.ndarray:
@@ -110,14 +164,16 @@ def document_frequency(texts: DataFrame) -> tuple[int, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    counts[np.unique(bucket_of(shingles(text)[0]))] += 1
-                    total += 1
+            texts = batch.column(0).to_pylist()
+            total += sum(map(bool, texts))
+            for _, hashes, _, bounds in shingle_sets(texts):
+                buckets = bucket_of(hashes)
+                counts += np.bincount(buckets[changes(buckets, bounds)], minlength=BUCKETS)
         hit = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.append(hit, -1), pa.int32()), pa.array(np.append(counts[hit], total))],
             schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     rows = (texts.select("text").mapInArrow(run, schema)
             .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow())
@@ -148,7 +204,10 @@ def samples(owner: np.ndarray, hashes: np.ndarray, weight: np.ndarray, docs: int
     level = np.floor(np.log(weight) / rate + (shift := uniform(5)))
     key = np.log(-np.log(uniform(3) * uniform(4))) - rate * (level - shift) - rate
     place = owner * BINS + (mix(hashes ^ ODD[0]) % U(BINS)).astype(np.int64)
-    order = np.lexsort((hashes, key, place))
+    least = np.full(docs * BINS, np.inf)
+    np.minimum.at(least, place, key)
+    order = np.flatnonzero(key == least[place])
+    order = order[np.lexsort((hashes[order], place[order]))]
     first = order[np.flatnonzero(np.diff(place[order], prepend=-1))]
     found = np.zeros(docs * BINS, U)
     found[place[first]] = mix(hashes[first] ^ mix(level[first].astype(np.int64).view(U)))
@@ -178,24 +237,15 @@ def sketch(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     def work(batch: pa.RecordBatch) -> dict:
         texts = batch.column(1).to_pylist()
         bands: list = [[] for _ in texts]
-        held, size = [], 0
-
-        def flush() -> None:
-            parts = [part for _, part in held]
-            owner = np.repeat(np.arange(len(held)), [len(h) for h, _ in parts])
-            hashes, counts = (np.concatenate(x) for x in zip(*parts))
-            keys = band_keys(samples(owner, hashes, weights(hashes, counts, idf), len(held)))
-            for (i, _), key in zip(held, keys):
-                bands[i] = key
-
-        for i, text in enumerate(texts):
-            part = shingles(text or "")
-            if len(part[0]):
-                held.append((i, part))
-                size += len(part[0])
-            if held and (size >= BLOCK_SHINGLES or i + 1 == len(texts)):
-                flush()
-                held, size = [], 0
+        for numbers, hashes, counts, bounds in shingle_sets(texts):
+            weight, sizes = weights(hashes, counts, idf), np.diff(bounds)
+            blocks = np.flatnonzero(np.diff(bounds[:-1] // BLOCK_SHINGLES)) + 1
+            for some in np.split(np.arange(len(numbers)), blocks):
+                a, b, held = bounds[some[0]], bounds[some[-1] + 1], some[sizes[some] > 0]
+                owner = np.repeat(np.arange(len(held)), sizes[held])
+                keys = band_keys(samples(owner, hashes[a:b], weight[a:b], len(held)))
+                for i, key in zip(numbers[held], keys):
+                    bands[i] = key
         return {"doc_id": batch.column(0), "bands": bands,
                 "text_key": [xxhash.xxh3_128_digest(text.encode()) for text in texts]}
 
@@ -206,9 +256,12 @@ def sketch(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 def vectors(docs: DataFrame, nodes: DataFrame, idf: np.ndarray) -> DataFrame:
     """node, hashes and weights of the documents in ``nodes``."""
     def work(batch: pa.RecordBatch) -> dict:
-        parts = [shingles(text) for text in batch.column(1).to_pylist()]
-        return {"node": batch.column(0), "hashes": [h.tobytes() for h, _ in parts],
-                "weights": [weights(h, c, idf).tobytes() for h, c in parts]}
+        parts = [(b"", b"")] * batch.num_rows
+        for numbers, hashes, counts, bounds in shingle_sets(batch.column(1).to_pylist()):
+            weight = weights(hashes, counts, idf)
+            for i, a, b in zip(numbers, bounds, bounds[1:]):
+                parts[i] = hashes[a:b].tobytes(), weight[a:b].tobytes()
+        return {"node": batch.column(0), "hashes": [h for h, _ in parts], "weights": [w for _, w in parts]}
 
     texts = docs.select(F.col("doc_id").alias("node"), "text").where("text is not null")
     chosen = texts.join(nodes.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])

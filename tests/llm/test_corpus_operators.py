@@ -6,9 +6,11 @@ import random
 import re
 import warnings
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -142,6 +144,27 @@ def test_toxicity_edges(spark, toxic_corpus, toxic_model):
 
 # ---- operator 3
 
+def plain_shingles(text):
+    words = re.findall(r"\w+", (text or "").lower())
+    size = min(5, len(words))
+    hashes = [np.array([xxhash.xxh64_intdigest(w)], np.uint64) for w in words]
+    found = [int(near_copies.join_words(hashes[i:i + size])[0]) for i in range(len(words) - size + 1) if size]
+    return sorted(Counter(found).items())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text(
+    "abAB \u00e9\u00c9\u00df\u00b5\u00b2\u00d7_0.\n\x1c\u00a0\u0130\u03a3\u6f22",
+    max_size=40), max_size=8))
+def test_shingles_of_many_texts_are_those_of_each(texts):
+    found = {}
+    for numbers, hashes, counts, bounds in near_copies.shingle_sets(texts):
+        for i, a, b in zip(numbers, bounds, bounds[1:]):
+            found[i] = list(zip(hashes[a:b].tolist(), counts[a:b].tolist()))
+    assert sorted(found) == [i for i, text in enumerate(texts) if text]
+    assert [found.get(i, []) for i in range(len(texts))] == [plain_shingles(text) for text in texts]
+
+
 def plain_classes(rows, idf, threshold=near_copies.THRESHOLD):
     """Smallest doc_id reachable by links, over every pair."""
     rows = [(i, t) for i, t in rows if i is not None]
