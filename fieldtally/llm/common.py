@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 BATCH_BYTES = 4 << 20
@@ -39,6 +40,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def every_pair(index: DataFrame, blocks: DataFrame, fits: str) -> DataFrame:
+    """Each row of ``index`` beside each staged block that ``fits`` it. A task takes
+    a part of either (a Cartesian product) and reads the blocks itself: they are
+    neither copied per part nor broadcast, so no memory grows with their number."""
+    return index.join(blocks.hint("shuffle_replicate_nl"), F.expr(fits))
+
+
 def prepare_python(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it
     (on a cluster: a shared folder, ``--py-files`` or an installed copy) and

@@ -10,9 +10,8 @@ sum slice downward, the k-th highest sum is found by counting bits; rows
 within the possible rest of it are the boundary, and their scores are computed
 exactly. So the result is exact whatever the cut.
 
-Queries travel in blocks and meet every index block once, by a hash join on a
-shard number: the shards only spread the work. Each pair of blocks gives at most
-k rows per query.
+Queries travel in blocks and meet every index block once. Each pair of blocks gives
+at most k rows per query.
 
 Defined results: vectors that are null or empty, or hold null or non-finite
 components, take no part; where a score could pass a long (dimensions times the
@@ -28,18 +27,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import arrow_schema, map_batches, prepare_python, staged
+from fieldtally.llm.common import arrow_schema, every_pair, map_batches, prepare_python, staged
 
 SCALE = 1024
 BLOCK_ROWS = 1 << 14
 QUERY_ROWS = 128
 LOW_SLICES = 4
 LARGEST = 2.0 ** 40
-INDEX = ("shard int, dims int, offset long, bits int, n_rows int, vec_ids binary, slices binary")
+INDEX = "dims int, offset long, bits int, n_rows int, vec_ids binary, slices binary"
 
 
 def quantised(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -74,7 +72,7 @@ def pack_slices(values: np.ndarray) -> tuple[int, int, np.ndarray]:
     return offset, bits, slices.view(np.uint64)
 
 
-def build_index(vectors: DataFrame, shards: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per block of at most ``block_rows`` rows."""
     spark = vectors.sparkSession
     prepare_python(spark)
@@ -83,15 +81,12 @@ def build_index(vectors: DataFrame, shards: int, block_rows: int = BLOCK_ROWS) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
-        made = 0
 
         def close(dims: int) -> pa.RecordBatch:
             ids, values = (np.concatenate(x) for x in held.pop(dims))
             offset, bits, slices = pack_slices(values)
-            # Blocks of one task go to neighbouring shards.
-            shard = (TaskContext.get().partitionId() * 7919 + made) % shards
             return pa.RecordBatch.from_pylist([{
-                "shard": shard, "dims": dims, "offset": offset, "bits": bits, "n_rows": len(ids),
+                "dims": dims, "offset": offset, "bits": bits, "n_rows": len(ids),
                 "vec_ids": ids.astype(np.int64).tobytes(), "slices": slices.tobytes()}], schema=arrow)
 
         for batch in batches:
@@ -103,10 +98,8 @@ def build_index(vectors: DataFrame, shards: int, block_rows: int = BLOCK_ROWS) -
                     parts[1].append(values[at:at + block_rows])
                     if sum(map(len, parts[0])) >= block_rows:
                         yield close(dims)
-                        made += 1
         for dims in list(held):
             yield close(dims)
-            made += 1
 
     return vectors.select("vec_id", "embedding").mapInArrow(run, schema)
 
@@ -230,11 +223,10 @@ def block_topk(query: np.ndarray, offset: int, slices: np.ndarray, ids: np.ndarr
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` best rows."""
     spark = vectors.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = staged(build_index(vectors, shards), "slices")
-    blocks = staged(query_blocks(queries), "queries").withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    joined = index.join(blocks, "shard").where("dims = query_dims").select(
+    index, blocks = staged(build_index(vectors), "slices"), staged(query_blocks(queries), "queries")
+    # one file may hold many blocks: they are dealt anew, a few tasks a core
+    parts = max(1, min(index.count(), 3 * spark.sparkContext.defaultParallelism))
+    joined = every_pair(index.repartition(parts), blocks, "dims = query_dims").select(
         "dims", "offset", "bits", "vec_ids", "slices", "query_ids", "query_values")
 
     def work(batch: pa.RecordBatch) -> dict:

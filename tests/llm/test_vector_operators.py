@@ -185,3 +185,13 @@ def test_topk_of_an_id_with_usable_and_unusable_rows(spark):
         "vec_id long, embedding array<double>")
     found = sliced_topk.top_k(vectors, vectors.where("vec_id = 100")).collect()
     assert [tuple(r) for r in found] == [(100, 1, 1, 2 * 1024 * 1024)]
+
+
+def test_query_blocks_are_not_broadcast(spark):
+    rng = np.random.default_rng(21)
+    rows = [(i, rng.normal(size=4).tolist(), 0) for i in range(60)]
+    frame = vectors(spark, rows)
+    found = sliced_topk.top_k(frame, frame.where("vec_id % 2 = 0"))
+    assert {tuple(r) for r in found.collect()} == plain_topk(rows, set(range(0, 60, 2)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
