@@ -29,11 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import arrow_schema, map_batches, prepare_python, staged
+from fieldtally.llm.common import arrow_schema, every_pair, map_batches, prepare_python, staged
 
 SCALE = 256
 BLOCK_ROWS = 1 << 14
@@ -48,8 +47,7 @@ LARGEST = 2.0 ** 62
 #: No bound.
 NONE_BELOW, NONE_ABOVE = -(1 << 63), (1 << 63) - 1
 
-BLOCK = ("part int, place int, dims int, labels binary, vec_ids binary, kind string, vectors binary, "
-         "orders binary")
+BLOCK = "dims int, labels binary, vec_ids binary, kind string, vectors binary, orders binary"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -90,7 +88,7 @@ def build_buckets(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        count, made, last = 0, 0, None
+        count, last = 0, None
 
         def close() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
@@ -100,7 +98,7 @@ def build_buckets(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             orders = np.argsort(direction, axis=0, kind="stable").T.astype(np.uint16)
             kind = smallest_kind(vectors)
             return pa.RecordBatch.from_pylist([{
-                "part": TaskContext.get().partitionId(), "place": made, "dims": vectors.shape[1],
+                "dims": vectors.shape[1],
                 "labels": labels.tobytes(), "vec_ids": ids.tobytes(), "kind": kind.str,
                 "vectors": vectors.astype(kind).tobytes(), "orders": orders.tobytes()}], schema=arrow)
 
@@ -119,7 +117,7 @@ def build_buckets(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
                     here = [batch.column(c)[begin].as_py() for c in (0, 1)]
                     if held and (count >= block_rows or here != [held[0].column(c)[0].as_py() for c in (0, 1)]):
                         yield close()
-                        held, count, made = [], 0, made + 1
+                        held, count = [], 0
                     size = min(end - begin, block_rows - count)
                     held.append(batch.slice(begin, size))
                     count += size
@@ -273,13 +271,8 @@ def anchor_blocks(anchors: DataFrame, size: int = QUERY_ROWS) -> DataFrame:
 
 
 def meet(index: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Every bucket beside every block of anchors of its length. Blocks are
-    copied once per shard; there are no more shards than buckets."""
-    buckets = index.count()
-    shards = max(1, min(buckets, int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    placed = index.withColumn("shard", F.pmod(F.col("part") + 31 * F.col("place"), F.lit(shards)))
-    copied = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    return placed.join(copied, "shard").where("dims = anchor_dims").select(
+    """Every bucket beside every block of anchors of its length."""
+    return every_pair(index, blocks, "dims = anchor_dims").select(
         "dims", "labels", "vec_ids", "kind", "vectors", "orders", "anchors", "positives")
 
 
@@ -348,5 +341,5 @@ def mine(vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives:
     # at most ``positives`` of them an anchor
     listed = found.groupBy(F.col("anchor_id").alias("vec_id")).agg(
         F.collect_list(F.struct("place", "positive_id", "positive_score")).alias("positives"))
-    return find_negatives(index, known.join(listed, "vec_id"), negatives, least, most).select(
+    return find_negatives(index, known.hint("merge").join(listed, "vec_id"), negatives, least, most).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -97,6 +97,16 @@ def test_negatives_of_empty_and_clashing_tables(spark):
         (0, 1, 1, 2, 65536, 32768)]
 
 
+def test_anchor_blocks_are_not_broadcast(spark):
+    rng = np.random.default_rng(22)
+    rows = [(i, rng.normal(size=4).tolist(), i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = hard_negatives.mine(df, df.where("vec_id % 3 = 0"))
+    assert sorted(map(tuple, found.collect())) == mined([(r.vec_id, r.embedding, r.label) for r in df.collect()])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
+
+
 def test_coordinate_slices_lose_no_candidate():
     rng = np.random.default_rng(8)
     for _ in range(60):
