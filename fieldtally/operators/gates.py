@@ -39,7 +39,9 @@ def quarantine_rows(judged: DataFrame, copies: str = "copies") -> DataFrame:
         F.struct(F.lit(EXACT).alias("reason"),
                  F.when(kept, F.col(copies) - 1).otherwise(0).cast("long").alias("times")))
     columns = [name for name in judged.columns if name not in ("outcome", copies)]
-    rows = judged.select(*columns, F.inline(F.filter(parts, lambda part: part["times"] > 0)))
+    # most rows are clean and were sent once: they go before anything is made of them
+    rejects = judged.filter(~F.col("outcome").eqNullSafe(CLEAN) | (F.col(copies) > 1))
+    rows = rejects.select(*columns, F.inline(parts)).filter("times > 0")
     return expand_copies(rows, "times", judged.agg(F.max(copies)).first()[0] or 0)
 
 

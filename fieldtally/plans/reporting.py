@@ -181,8 +181,8 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
     raw = raw_values(values)
 
     hierarchy = tables.materialize(build_hierarchy(org_units), "hierarchy")
-    staged = tables.materialize(
-        judge_raw(raw, elements, combos, hierarchy), "judged", ["outcome"])
+    # outcomes stay mixed: with a folder each, the small ones would be one task's work
+    staged = tables.materialize(judge_raw(raw, elements, combos, hierarchy), "judged")
     judged, counts = with_derived(staged), tables.materialize(outcome_counts(staged), "counts")
     # one load time for the whole run
     loaded_at = F.lit(spark.sql("select current_timestamp() as now").first().now)
@@ -192,7 +192,7 @@ def stage_run(spark: SparkSession, inputs: Inputs, release: publish.Release,
     if not lost:
         gathered = clean_rows(staged).hint("rebalance", F.col("period"))
         fact = build_fact(with_derived(gathered), loaded_at)
-    stage_quarantine(release, judged, corrupt, lost)
+    stage_quarantine(release, staged, corrupt, lost)
     documents.require_rows(parsed.rows, f"{inputs.data_values} dataValues")
 
     # rows without a readable period never load, so they alone are no reason to run
@@ -294,13 +294,20 @@ def merge_reopened(fact: DataFrame, judged: DataFrame, statistics: DataFrame,
     return rows.pop(incremental.KEPT), rows
 
 
-def stage_quarantine(release: publish.Release, judged: DataFrame, corrupt: DataFrame,
+def rejects_of(staged: DataFrame) -> DataFrame:
+    """Rejects of rows judged without what a row alone decides, which is added to the
+    rejects only."""
+    rejects = with_derived(quarantine_rows(staged))
+    return rejects.select(*[name for name in rejects.columns if name != "reason"], "reason")
+
+
+def stage_quarantine(release: publish.Release, staged: DataFrame, corrupt: DataFrame,
                      lost: dict[str, DataFrame]) -> None:
     """Rejects of a run in a folder of their own, with their ``reason``; earlier
     runs keep theirs. The folder can be read when there are none. Rows that lost
     against the stored fact (or were replaced in it) carry its columns."""
     names = {fact: raw for raw, fact in FACT_COLUMNS.items()}
-    rejected = quarantine_rows(judged).unionByName(
+    rejected = rejects_of(staged).unionByName(
         corrupt.withColumn("reason", F.lit(CORRUPT)), allowMissingColumns=True)
     if lost:
         late = quarantine_union({

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fieldtally import constants as C
 from fieldtally.operators.contract import ContractError
 from fieldtally.operators.gates import GateError, quarantine_rows
+from fieldtally.plans import reporting
 from fieldtally.plans.reporting import Inputs, Options, run_reporting
 from fieldtally.sources import documents, incremental, publish, tables
 
@@ -485,3 +486,21 @@ def test_a_failed_gate_or_contract_publishes_no_fact(spark, export, tmp_path):
     with pytest.raises(ContractError, match="numeric ranges violation: numeric_value"):
         run_reporting(spark, export.inputs(), output)
     assert incremental.read_fact(spark, f"{output}/facts/fact_service_delivery") is None
+
+
+def test_clean_rows_go_before_rejects_are_made(spark):
+    rows = [("DE1", "202401", "clean", 1, "1"), ("DE1", "202401", "clean", 3, "2"),
+            ("DE1", "202402", "superseded_records", 2, "x"), ("DE1", "bad", "bad_period", 2, None)]
+    staged = tables.materialize(spark.createDataFrame(
+        [(*row, datetime(2024, 5, 1), "INTEGER") for row in rows],
+        "dataelement string, period string, outcome string, copies long, value string, "
+        "lastupdated timestamp, value_type string"), "judged")
+    found = reporting.rejects_of(staged)
+    derived = quarantine_rows(reporting.with_derived(staged))
+    assert found.columns == derived.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, derived.collect()))
+    assert Counter((r.reason, r.value) for r in found.collect()) == {
+        ("exact_duplicates", "2"): 2, ("superseded_records", "x"): 1, ("exact_duplicates", "x"): 1,
+        ("bad_period", None): 2}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(copies,1)" in plan and "filter(array" not in plan
